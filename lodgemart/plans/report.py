@@ -1,0 +1,51 @@
+"""The report's tables: two ordered series and two top lists."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lodgemart.schemas import Columns
+from lodgemart.sources.layers import Layer
+
+TOP_ROWS = 20
+
+
+def top_by(df: DataFrame, metric: str, key: str, n: int = TOP_ROWS) -> DataFrame:
+    """The ``n`` rows with the highest ``metric``; NaN and null last, ties by ``key``."""
+    known = F.when(~F.isnan(F.col(metric).cast("double")), F.col(metric))
+    return df.orderBy(known.desc_nulls_last(), key).limit(n)
+
+
+def report_sections(cols: Columns = Columns()) -> dict[str, tuple[str, Callable[[DataFrame], DataFrame]]]:
+    """Section name to (gold table, ordering of that table)."""
+    return {
+        "daily_revenue": ("daily_revenue", lambda t: t.orderBy("date")),
+        "cancellation_rate": (
+            "cancellation_rate_by_source",
+            lambda t: t.orderBy(F.desc_nulls_last("cancellation_rate_pct"), cols.source),
+        ),
+        "top_collection": (
+            "collection_rate",
+            lambda t: top_by(t, "collection_rate", cols.hotel_id),
+        ),
+        "top_customers": (
+            "customer_value_enriched",
+            lambda t: top_by(t, "revenue_sum", cols.customer_id),
+        ),
+    }
+
+
+def write_report(gold: Layer, report: Layer, cols: Columns = Columns()) -> dict[str, str]:
+    """Write every section that can be built; returns the reason per skipped section."""
+    report.prepare()
+    skipped = {}
+    for section, (table, order) in report_sections(cols).items():
+        try:
+            report.write(order(gold.read(table)), section)
+        except PySparkException as error:
+            skipped[section] = str(error)
+    return skipped

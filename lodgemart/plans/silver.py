@@ -1,0 +1,127 @@
+"""Cleaning chains of the five booking tables."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import partial
+
+from pyspark.sql import DataFrame
+
+from lodgemart.operators.dedup import keep_any, keep_latest
+from lodgemart.operators.integrity import flag_orphans, flag_over
+from lodgemart.operators.rules import (
+    MissingColumnsError,
+    Rule,
+    apply_rules,
+    blank_to_null,
+    check_domain,
+    drop_sentinel,
+    null_negative,
+    parse_date,
+    swap_inverted,
+)
+from lodgemart.operators.skew import HOT_ROWS
+from lodgemart.schemas import SENTINEL_COUNTRY, VALID_CURRENCIES, Columns, find_column
+
+PARENT_TOTAL = "bk_total_amount"
+
+
+def _currency_rule(cols: Columns, valid: Sequence[str]) -> Rule:
+    check = partial(check_domain, col=cols.currency, valid=valid, flag="dq_invalid_currency")
+    return Rule("valid currency", (cols.currency,), check)
+
+
+def clean_hotels(df: DataFrame, cols: Columns = Columns(), strict: bool = False) -> DataFrame:
+    known = partial(drop_sentinel, col=cols.country, value=SENTINEL_COUNTRY)
+    return apply_rules(df, [Rule("known country", (cols.country,), known)], strict)
+
+
+def clean_customers(df: DataFrame, cols: Columns = Columns(), strict: bool = False) -> DataFrame:
+    """Blank e-mail to null, then one row per customer: the last one loaded."""
+    def one_each(table: DataFrame) -> DataFrame:
+        if find_column(table, cols.ingested) is None:
+            return keep_any(table, [cols.customer_id], deterministic=True)
+        return keep_latest(table, [cols.customer_id], cols.ingested)
+
+    rules = [
+        Rule("blank e-mail", (cols.email,), partial(blank_to_null, col=cols.email)),
+        Rule("one row per customer", (cols.customer_id,), one_each),
+    ]
+    return apply_rules(df, rules, strict)
+
+
+def clean_rooms(df: DataFrame, cols: Columns = Columns(), strict: bool = False) -> DataFrame:
+    one_each = partial(keep_any, keys=[cols.room_id], deterministic=True)
+    return apply_rules(df, [Rule("one row per room", (cols.room_id,), one_each)], strict)
+
+
+def booking_rules(
+    cols: Columns,
+    currencies: Sequence[str] = VALID_CURRENCIES,
+    bad_date_flags: tuple[str | None, str | None] = (None, None),
+) -> list[Rule]:
+    lo, hi = cols.checkin, cols.checkout
+    return [
+        Rule("check-in date", (lo,), partial(parse_date, col=lo, flag=bad_date_flags[0])),
+        Rule("check-out date", (hi,), partial(parse_date, col=hi, flag=bad_date_flags[1])),
+        Rule("date order", (lo, hi), partial(swap_inverted, lo=lo, hi=hi, flag="dq_swapped_dates")),
+        Rule(
+            "total sign",
+            (cols.total,),
+            partial(null_negative, col=cols.total, flag="dq_negative_total"),
+        ),
+        _currency_rule(cols, currencies),
+    ]
+
+
+def clean_bookings(
+    df: DataFrame,
+    cols: Columns = Columns(),
+    strict: bool = False,
+    currencies: Sequence[str] = VALID_CURRENCIES,
+    bad_date_flags: tuple[str | None, str | None] = (None, None),
+) -> DataFrame:
+    """Parse and order the dates, null negative totals and unknown currencies, mark each.
+
+    One narrow pass. A malformed date becomes null; ``bad_date_flags`` names optional
+    marks for the two dates.
+    """
+    return apply_rules(df, booking_rules(cols, currencies, bad_date_flags), strict)
+
+
+def clean_payments(
+    df: DataFrame,
+    bookings: DataFrame,
+    cols: Columns = Columns(),
+    strict: bool = False,
+    currencies: Sequence[str] = VALID_CURRENCIES,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Mark payments without a booking, above its total, or in an unknown currency.
+
+    ``bookings`` must be clean already: a total nulled there can not be exceeded.
+    """
+    absent = [c for c in (cols.booking_id, cols.total) if find_column(bookings, c) is None]
+    if absent and strict:
+        raise MissingColumnsError(f"bookings: no column {', '.join(absent)}")
+    match = partial(
+        flag_orphans,
+        parent=bookings,
+        child_key=cols.booking_id,
+        parent_key=cols.booking_id,
+        carry={cols.total: PARENT_TOTAL},
+        flag="dq_orphan_payment",
+        hot_rows=hot_rows,
+    )
+    compare = partial(
+        flag_over,
+        amount=cols.amount,
+        limit=PARENT_TOTAL,
+        orphan="dq_orphan_payment",
+        flag="dq_over_amount",
+    )
+    linked = [
+        Rule("booking exists", (cols.booking_id,), match),
+        Rule("within total", (cols.amount, PARENT_TOTAL), compare),
+    ]
+    return apply_rules(df, [*([] if absent else linked), _currency_rule(cols, currencies)], strict)
