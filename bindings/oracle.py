@@ -222,6 +222,7 @@ def all_oracles() -> dict[str, str]:
         "customer_value_confirmed": CUSTOMER_VALUE.format(where="WHERE o_orderstatus = 'F'"),
         "sentiment_score": SCORES,
         "sentiment_score_joined": SCORES,
+        "sentiment_score_spread": SCORES,
         "sentiment_label": f"SELECT *, {LABEL} FROM ({SCORES})",
         "sentiment_by_customer": TURNS,
         "customer_value_enriched": ENRICHED,

@@ -287,8 +287,17 @@ def sentiment_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentiment_score_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = B.load(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = spark.createDataFrame(list(B.LEXICON.items()), "word string, valence double")
-    scored = score_by_join(documents, "doc_id", lexicon, DOCUMENTS)
-    return scored.select("doc_id", "sentiment_score")
+    return score_by_join(documents, "doc_id", lexicon, DOCUMENTS).drop("predicted_sentiment")
+
+
+def sentiment_score_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join for a lexicon too large to broadcast, common words spread over tasks."""
+    documents = B.load(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = spark.createDataFrame(list(B.LEXICON.items()), "word string, valence double")
+    scored = score_by_join(
+        documents, "doc_id", lexicon, DOCUMENTS, broadcast_words=0, hot_rows=10_000
+    )
+    return scored.drop("predicted_sentiment")
 
 
 def sentiment_label(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,6 +450,7 @@ def all_queries() -> dict[str, Query]:
         "customer_value_confirmed": customer_value_confirmed,
         "sentiment_score": sentiment_score,
         "sentiment_score_joined": sentiment_score_joined,
+        "sentiment_score_spread": sentiment_score_spread,
         "sentiment_label": sentiment_label,
         "sentiment_by_customer": sentiment_by_customer_,
         "customer_value_enriched": customer_value_enriched,

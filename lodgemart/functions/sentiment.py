@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,10 +18,9 @@ MAX_NATIVE_WORDS = 20_000
 
 
 def _alternatives(words: list[str]) -> str:
-    """A pattern for ``words`` that branches once per letter, longest word first.
+    """A pattern for ``words`` that branches once per letter, the longest word first.
 
-    A flat ``a|b|c`` would try every entry at every word of the text; sharing prefixes
-    keeps the work per word near the word's own length.
+    A flat ``a|b|c`` would try every entry at every word of the text.
     """
     by_head: dict[str, list[str]] = {}
     for word in words:
@@ -39,43 +38,50 @@ def _alternatives(words: list[str]) -> str:
     return f"(?:{'|'.join(branches)}){optional}"
 
 
-def normalise_entry(word: str) -> str:
-    return " ".join(word.lower().split())
+def normalise_entry(entry: str) -> str:
+    return " ".join(entry.lower().split())
 
 
-def lexicon_pattern(lexicon: Mapping[str, float]) -> str:
-    """Whole-word matches of the entries, phrases and hyphenated words included."""
-    entries = sorted({normalise_entry(w) for w in lexicon} - {""})
-    return f"(?<!{WORD_CHARS})(?:{_alternatives(entries)})(?!{WORD_CHARS})"
+def _is_word(entry: str) -> bool:
+    return re.fullmatch(r"\w+", entry) is not None
 
 
-def _valence(word: Column, lexicon: Mapping[str, float]) -> Column:
-    """The value of a matched entry; one hash-set test per distinct value."""
-    groups: dict[float, list[str]] = {}
+def unit_pattern(entries: Iterable[str]) -> str:
+    """Cuts text into the units that are looked up: an entry that is more than one plain
+    word (a phrase, a hyphenated word) where one stands, a whole word everywhere else."""
+    phrases = sorted({e for e in entries if e and not _is_word(e)})
+    word = f"{WORD_CHARS}+"
+    return f"{_alternatives(phrases)}(?!{WORD_CHARS})|{word}" if phrases else word
+
+
+def _valence(unit: Column, lexicon: Mapping[str, float]) -> Column:
+    """The value of a lexicon entry, one hash-set test per distinct value."""
+    by_value: dict[float, list[str]] = {}
     for entry, value in lexicon.items():
-        groups.setdefault(float(value), []).append(normalise_entry(entry))
-    result = None
-    for value, entries in sorted(groups.items()):
-        test = word.isin(*sorted(entries))
-        result = F.when(test, F.lit(value)) if result is None else result.when(test, F.lit(value))
+        by_value.setdefault(value, []).append(entry)
+    result = F.when(F.lit(False), F.lit(0.0))
+    for value, entries in sorted(by_value.items()):
+        result = result.when(unit.isin(*entries), F.lit(value))
     return result.otherwise(F.lit(0.0))
 
 
 def sentiment_score(text: Column | str, lexicon: Mapping[str, float]) -> Column:
     """Sum of the valences of all lexicon entries found in the whole text.
 
-    Matching ignores case and runs left to right, the longest entry winning at each
-    position. Null text scores 0.
+    Matching ignores case, takes whole words only and runs left to right, the longest
+    entry winning at each position. Null text scores 0.
     """
-    if not lexicon:
-        return F.lit(0.0)
     if len(lexicon) > MAX_NATIVE_WORDS:
         raise ValueError("lexicon too large for an expression; use score_by_join")
+    entries = {normalise_entry(e): float(v) for e, v in lexicon.items() if normalise_entry(e)}
+    if not entries:
+        return F.lit(0.0)
     text = F.col(text) if isinstance(text, str) else text
-    found = F.regexp_extract_all(F.lower(text), F.lit(lexicon_pattern(lexicon)), F.lit(0))
-    if any(" " in normalise_entry(w) for w in lexicon):
-        found = F.transform(found, lambda hit: F.regexp_replace(hit, r"\s+", " "))
-    total = F.aggregate(found, F.lit(0.0), lambda acc, hit: acc + _valence(hit, lexicon))
+    units = F.regexp_extract_all(F.lower(text), F.lit(unit_pattern(entries)), F.lit(0))
+    if any(" " in e for e in entries):
+        units = F.transform(units, lambda u: F.regexp_replace(u, r"\s+", " "))
+    found = F.filter(units, lambda u: u.isin(*entries))
+    total = F.aggregate(found, F.lit(0.0), lambda acc, u: acc + _valence(u, entries))
     return F.coalesce(total, F.lit(0.0))
 
 

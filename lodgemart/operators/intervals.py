@@ -11,11 +11,13 @@ all rows of a key with each other.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgemart.operators.skew import hot_grid, hot_groups, on_grid, row_spread
+from lodgemart.operators.skew import hot_grid, hot_groups, on_grid, repeat_rows, row_spread
 from lodgemart.schemas import column_type
 
 # Cells of level n are bucket_days * GROWTH**n days wide. An interval lives on the
@@ -25,114 +27,141 @@ BUCKET_DAYS = 8
 GROWTH = 8
 TOP_LEVEL = 6
 
-# A cell with more intervals or starts than this is cut into a grid of tasks.
+# A key with more rows than this uses cells below bucket_days too, and a cell with more
+# rows than this is cut into a grid of tasks.
 SPLIT_ROWS = 20_000
 
 _CELL = ["_key", "_level", "_cell"]
+_STAY = ["_key", "_id", "_lo", "_hi"]
+
+
+@dataclass(frozen=True)
+class _Clock:
+    """Positions in time as whole units: days for dates, seconds for timestamps."""
+
+    kind: T.DataType
+    bucket_days: int
+
+    @property
+    def bucket(self) -> int:
+        return self.bucket_days * (1 if isinstance(self.kind, T.DateType) else 86_400)
+
+    @property
+    def finest(self) -> int:
+        """The lowest level whose cells are not narrower than a unit."""
+        level = 0
+        while self.bucket / GROWTH ** (1 - level) >= 1:
+            level -= 1
+        return level
+
+    def unit(self, moment: Column) -> Column:
+        if isinstance(self.kind, T.DateType):
+            return F.unix_date(moment)
+        if isinstance(self.kind, T.TimestampType):
+            return F.unix_seconds(moment)
+        minutes = F.hour(moment) * 60 + F.minute(moment)
+        days = F.unix_date(moment.cast("date")).cast("bigint")
+        return days * 86_400 + minutes * 60 + F.second(moment)
+
+    def last_unit(self, hi: Column) -> Column:
+        """The last unit an interval touches; ``hi`` itself is outside."""
+        if isinstance(self.kind, T.DateType):
+            return F.unix_date(hi) - 1
+        return self.unit(hi - F.expr("INTERVAL '0.000001' SECOND"))
+
+    def level(self, units: Column, lowest: int) -> Column:
+        result = F.when(units <= self.bucket * GROWTH ** (lowest + 1), lowest)
+        for level in range(lowest + 1, TOP_LEVEL):
+            result = result.when(units <= self.bucket * GROWTH ** (level + 1), level)
+        return result.otherwise(TOP_LEVEL)
+
+    def cell(self, unit: Column, level: Column) -> Column:
+        width = F.lit(float(self.bucket)) * F.pow(F.lit(float(GROWTH)), level)
+        return F.floor(unit / width)
 
 
-def _day(moment: Column, kind: T.DataType) -> Column:
-    return F.unix_date(moment if isinstance(kind, T.DateType) else moment.cast("date"))
-
-
-def _last_day(hi: Column, kind: T.DataType) -> Column:
-    """The last day the interval touches; ``hi`` itself is outside."""
-    if isinstance(kind, T.DateType):
-        return F.unix_date(hi) - 1
-    return _day(hi - F.expr("INTERVAL '0.000001' SECOND"), kind)
+def _side(stays: DataFrame, tag: str) -> DataFrame:
+    own = ("_id", "_lo", "_hi", "_open", "_copies")
+    return stays.withColumnsRenamed({c: f"{c}{tag}" for c in own})
 
 
-def _level(days: Column, bucket_days: int) -> Column:
-    result = F.when(days <= bucket_days * GROWTH, 0)
-    for level in range(1, TOP_LEVEL):
-        result = result.when(days <= bucket_days * GROWTH ** (level + 1), level)
-    return result.otherwise(TOP_LEVEL)
+def _in_cells(stays: DataFrame, clock: _Clock, lowest: int) -> tuple[DataFrame, DataFrame]:
+    """The intervals, once per cell they touch, and the starts, once per level in use."""
+    placed = stays.withColumns(
+        {"_first": clock.unit(F.col("_lo")), "_last": clock.last_unit(F.col("_hi"))}
+    ).withColumn("_own", clock.level(F.col("_last") - F.col("_first"), lowest))
+    # A handful of level numbers, as a scalar subquery.
+    levels = placed.agg(F.sort_array(F.collect_set("_own"))).scalar()
+    cells = F.sequence(
+        clock.cell(F.col("_first"), F.col("_own")), clock.cell(F.col("_last"), F.col("_own"))
+    )
+    covers = placed.withColumn("_level", F.col("_own")).withColumn("_cell", F.explode(cells))
+    starts = (
+        placed.withColumn("_levels", levels)
+        .withColumn("_level", F.explode("_levels"))
+        .withColumn("_cell", clock.cell(F.col("_first"), F.col("_level")))
+    )
+    spare = ("_first", "_last", "_own", "_levels")
+    return covers.drop(*spare), starts.drop(*spare)
 
 
-def _cell(day: Column, level: Column, bucket_days: int) -> Column:
-    width = F.lit(bucket_days).cast("double") * F.pow(F.lit(float(GROWTH)), level)
-    return F.floor(day / width).cast("int")
+def _start_inside() -> Column:
+    """The b side starts inside the a side; on equal starts the lower id is a."""
+    earlier = F.col("_lo_a") < F.col("_lo_b")
+    tied = (F.col("_lo_a") == F.col("_lo_b")) & (F.col("_id_a") < F.col("_id_b"))
+    inside = F.col("_lo_b") < F.col("_hi_a")
+    return inside & (F.col("_id_a") != F.col("_id_b")) & (earlier | tied)
 
 
-def _pairs(
-    covers: DataFrame, starts: DataFrame, tally: DataFrame, keys: list[str], meet: Column,
-    split_rows: int | None,
+def _grid_join(
+    left: DataFrame, right: DataFrame, tally: DataFrame, keys: list[str], split_rows: int
 ) -> DataFrame:
-    """Join both sides on ``keys`` and ``meet``, hot groups cut into a grid."""
-    if split_rows is None:
-        return covers.drop("_spread").join(starts.drop("_spread"), keys).filter(meet)
+    """Equi-join on ``keys``, groups that ``tally`` shows to be large cut into a grid."""
     grid = hot_grid(tally, keys, split_rows)
-    left = on_grid(covers, grid, keys, "_rows", "_cols")
-    right = on_grid(starts, grid, keys, "_cols", "_rows")
-    return left.join(right, [*keys, "_row", "_col"]).filter(meet)
+    left = on_grid(left, grid, keys, "_rows", "_cols")
+    right = on_grid(right, grid, keys, "_cols", "_rows")
+    return left.join(right, [*keys, "_row", "_col"])
 
 
-def _side(stays: DataFrame, tag: str) -> DataFrame:
-    return stays.withColumnsRenamed({c: f"{c}{tag}" for c in ("_id", "_lo", "_hi", "_open")})
+def _calm_pairs(stays: DataFrame, clock: _Clock) -> DataFrame:
+    covers, starts = _in_cells(stays, clock, 0)
+    return _side(covers, "_a").join(_side(starts, "_b"), _CELL).filter(_start_inside())
 
 
-def _in_cells(stays: DataFrame, levels: Column, bucket_days: int) -> tuple[DataFrame, DataFrame]:
-    """The intervals, once per cell they touch, and the starts, once per level in use."""
-    cells = F.sequence(
-        _cell(F.col("_first"), F.col("_own"), bucket_days),
-        _cell(F.col("_last"), F.col("_own"), bucket_days),
-    )
-    used = ("_first", "_last", "_own", "_levels")
-    covers = stays.withColumn("_level", F.col("_own")).withColumn("_cell", F.explode(cells))
-    starts = (
-        stays.withColumn("_levels", levels)
-        .withColumn("_level", F.explode("_levels"))
-        .withColumn("_cell", _cell(F.col("_first"), F.col("_level"), bucket_days))
-    )
-    return covers.drop(*used), starts.drop(*used)
-
+def _crowded_pairs(stays: DataFrame, clock: _Clock, split_rows: int) -> DataFrame:
+    """For keys with very many rows.
 
-def _dated_pairs(
-    stays: DataFrame, kind: T.DataType, bucket_days: int, split_rows: int | None
-) -> DataFrame:
-    stays = (
-        stays.filter(F.col("_lo") < F.col("_hi"))
-        .drop("_open")
-        .withColumns({"_first": _day(F.col("_lo"), kind), "_last": _last_day(F.col("_hi"), kind)})
-        .withColumn("_own", _level(F.col("_last") - F.col("_first"), bucket_days))
-    )
-    # At most TOP_LEVEL + 1 numbers, as a scalar subquery.
-    levels = stays.agg(F.sort_array(F.collect_set("_own"))).scalar()
-    covers, starts = _in_cells(stays, levels, bucket_days)
-    # Only a key with many rows can fill a cell, so only its cells are counted.
-    busy = F.broadcast(hot_groups(stays, ["_key"], split_rows or SPLIT_ROWS))
-    busy_covers, busy_starts = _in_cells(
-        stays.join(busy, "_key", "left_semi"), levels, bucket_days
-    )
+    Copies of a row are joined once and repeated afterwards, and the cells start at the
+    finest level: nearly every comparison then yields a pair.
+    """
+    single = stays.groupBy(*_STAY).agg(F.count(F.lit(1)).alias("_copies"))
+    single = single.withColumn("_spread", F.xxhash64("_id", "_lo", "_hi"))
+    covers, starts = _in_cells(single, clock, clock.finest)
     tally = (
-        busy_covers.select(*_CELL, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-        .union(busy_starts.select(*_CELL, F.lit(0), F.lit(1)))
+        covers.select(*_CELL, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+        .union(starts.select(*_CELL, F.lit(0), F.lit(1)))
         .groupBy(*_CELL)
         .agg(F.sum("_l").alias("_left"), F.sum("_r").alias("_right"))
     )
-    earlier = F.col("_lo_a") < F.col("_lo_b")
-    tied = (F.col("_lo_a") == F.col("_lo_b")) & (F.col("_id_a") < F.col("_id_b"))
-    meet = (
-        (F.col("_lo_b") < F.col("_hi_a"))
-        & (F.col("_id_a") != F.col("_id_b"))
-        & (earlier | tied)
-    )
-    return _pairs(_side(covers, "_a"), _side(starts, "_b"), tally, _CELL, meet, split_rows)
+    met = _grid_join(_side(covers, "_a"), _side(starts, "_b"), tally, _CELL, split_rows)
+    return repeat_rows(met.filter(_start_inside()), F.col("_copies_a") * F.col("_copies_b"))
 
 
-def _open_pairs(stays: DataFrame, split_rows: int | None) -> DataFrame:
+def _open_pairs(stays: DataFrame, split_rows: int) -> DataFrame:
     """Pairs with at least one interval that lacks a bound and so reaches without end."""
+    stays = stays.withColumn("_spread", row_spread(stays))
     partners = stays.filter(F.col("_open") | (F.col("_lo") < F.col("_hi")))
-    tally = partners.groupBy("_key").agg(
-        F.count_if("_open").alias("_left"), F.count(F.lit(1)).alias("_right")
-    ).filter(F.col("_left") > 0)
-    start = F.greatest("_lo_a", "_lo_b")
-    end = F.least("_hi_a", "_hi_b")
+    tally = (
+        partners.groupBy("_key")
+        .agg(F.count_if("_open").alias("_left"), F.count(F.lit(1)).alias("_right"))
+        .filter(F.col("_left") > 0)
+    )
     once = F.when(F.col("_open_b"), F.col("_id_a") < F.col("_id_b")).otherwise(
         F.col("_id_a") != F.col("_id_b")
     )
-    left = _side(partners.filter("_open"), "_a")
-    return _pairs(left, _side(partners, "_b"), tally, ["_key"], once & (start < end), split_rows)
+    left, right = _side(partners.filter("_open"), "_a"), _side(partners, "_b")
+    met = _grid_join(left, right, tally, ["_key"], split_rows)
+    return met.filter(once & (F.greatest("_lo_a", "_lo_b") < F.least("_hi_a", "_hi_b")))
 
 
 def overlaps(
@@ -143,7 +172,7 @@ def overlaps(
     hi: str,
     bucket_days: int = BUCKET_DAYS,
     null_bounds: str = "drop",
-    split_rows: int | None = SPLIT_ROWS,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """All pairs of rows with one key, different ids and overlapping intervals.
 
@@ -154,20 +183,18 @@ def overlaps(
     ``null_bounds="drop"`` leaves out rows without both bounds; ``"open"`` takes a
     missing bound as unlimited, and a pair counts if the overlap itself has two bounds.
 
-    ``split_rows`` bounds the intervals and starts that one task takes from a hot cell;
-    ``None`` leaves skew to adaptive execution.
+    ``bucket_days`` is the cell width for keys of up to ``split_rows`` rows; no task
+    compares more than ``split_rows`` intervals with as many starts of one cell.
     """
     if null_bounds not in ("drop", "open"):
         raise ValueError(f"null_bounds is 'drop' or 'open', not {null_bounds!r}")
-    kind = column_type(df, lo)
+    clock = _Clock(column_type(df, lo), bucket_days)
     stays = df.select(
         F.col(key).alias("_key"),
         F.col(id).alias("_id"),
         F.col(lo).alias("_lo"),
         F.col(hi).alias("_hi"),
-        (F.col(lo).isNull() | F.col(hi).isNull()).alias("_open"),
-    ).filter(F.col("_key").isNotNull())
-    stays = stays.withColumn("_spread", row_spread(stays))
+    ).filter(F.col("_key").isNotNull() & F.col("_id").isNotNull())
     columns = [
         F.col("_key").alias(key),
         F.least("_id_a", "_id_b").alias(f"{id}_1"),
@@ -175,7 +202,13 @@ def overlaps(
         F.greatest("_lo_a", "_lo_b").alias("overlap_start"),
         F.least("_hi_a", "_hi_b").alias("overlap_end"),
     ]
-    pairs = _dated_pairs(stays, kind, bucket_days, split_rows).select(*columns)
+    dated = stays.filter(F.col("_lo") < F.col("_hi"))
+    crowded = F.broadcast(hot_groups(dated, ["_key"], split_rows))
+    calm_rows = dated.join(crowded, "_key", "left_anti")
+    crowded_rows = dated.join(crowded, "_key", "left_semi")
+    pairs = _calm_pairs(calm_rows, clock).select(*columns)
+    pairs = pairs.union(_crowded_pairs(crowded_rows, clock, split_rows).select(*columns))
     if null_bounds == "open":
-        pairs = pairs.union(_open_pairs(stays, split_rows).select(*columns))
+        loose = stays.withColumn("_open", F.col("_lo").isNull() | F.col("_hi").isNull())
+        pairs = pairs.union(_open_pairs(loose, split_rows).select(*columns))
     return pairs

@@ -50,6 +50,18 @@ def copies(splits: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), F.coalesce(splits, F.lit(1)) - 1))
 
 
+def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
+    """Every row ``times`` times, in blocks so that no array grows with ``times``."""
+    block = 4096
+    blocks = df.withColumn("_times", times).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / block)))
+    )
+    in_block = F.least(F.lit(block), F.col("_times") - F.col("_block") * block)
+    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), in_block))).drop(
+        "_times", "_block", "_copy"
+    )
+
+
 def hot_grid(tally: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
     """(keys, _rows, _cols): into how many parts each side of a hot group is cut.
 

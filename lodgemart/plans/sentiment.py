@@ -17,6 +17,9 @@ from lodgemart.operators.integrity import one_row_per_key
 from lodgemart.operators.skew import HOT_ROWS, left_lookup
 from lodgemart.schemas import Columns
 
+# A lexicon up to this size is sent whole to every task: some tens of megabytes.
+BROADCAST_WORDS = 500_000
+
 SCORE = "sentiment_score"
 LABEL = "predicted_sentiment"
 
@@ -48,27 +51,28 @@ def score_by_join(
     cols: Columns = Columns(),
     word: str = "word",
     valence: str = "valence",
+    broadcast_words: int = BROADCAST_WORDS,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """``score_reviews`` for a lexicon of any size, of single words.
+    """(key, score, label) for a lexicon of any size, of single words.
 
-    ``key`` identifies a review. Words are joined to the lexicon, common words spread
-    over several tasks, and summed back per review.
+    ``key`` identifies a review. A lexicon of at most ``broadcast_words`` words, which
+    is counted first, goes to every task and the text is not shuffled. A larger one is
+    joined by word, the common words of the text spread over several tasks.
     """
     tokens = F.regexp_extract_all(F.lower(cols.review_text), F.lit(f"{WORD_CHARS}+"), F.lit(0))
-    words = reviews.select(F.col(key).alias("_review"), F.explode(tokens).alias("_token"))
+    words = reviews.select(key, F.explode_outer(tokens).alias("_token"))
     entries = one_row_per_key(
         lexicon.select(F.lower(word).alias("_entry"), F.col(valence).cast("double").alias("_v")),
         "_entry",
         {"_v": "_valence"},
     )
-    found = left_lookup(words, entries, "_token", "_parent_key", hot_rows)
-    scores = found.groupBy("_review").agg(F.sum("_valence").alias("_score"))
-    joined = reviews.join(scores, F.col(key) == F.col("_review"), "left")
-    scored = joined.select(
-        *reviews.columns, F.coalesce(F.col("_score"), F.lit(0.0)).alias(SCORE)
-    )
-    return scored.withColumn(LABEL, sentiment_label(SCORE))
+    if lexicon.limit(broadcast_words + 1).count() <= broadcast_words:
+        found = words.join(F.broadcast(entries), F.col("_token") == F.col("_parent_key"), "left")
+    else:
+        found = left_lookup(words, entries, "_token", "_parent_key", hot_rows)
+    score = F.coalesce(F.sum("_valence"), F.lit(0.0))
+    return found.groupBy(key).agg(score.alias(SCORE)).withColumn(LABEL, sentiment_label(SCORE))
 
 
 def sentiment_by_customer(scored: DataFrame, cols: Columns = Columns()) -> DataFrame:
