@@ -80,29 +80,32 @@ class _Clock:
         return F.floor(unit / width)
 
 
-def _side(stays: DataFrame, tag: str) -> DataFrame:
-    own = ("_id", "_lo", "_hi", "_open", "_copies")
-    return stays.withColumnsRenamed({c: f"{c}{tag}" for c in own})
+def _tagged(columns: list[str], tag: str) -> list[Column]:
+    """Key and routing columns as they are, the stay's own with its side's tag."""
+    shared = ("_key", "_spread")
+    return [F.col(c) if c in shared else F.col(c).alias(c + tag) for c in columns]
 
 
 def _in_cells(stays: DataFrame, clock: _Clock, lowest: int) -> tuple[DataFrame, DataFrame]:
     """The intervals, once per cell they touch, and the starts, once per level in use."""
-    placed = stays.withColumns(
-        {"_first": clock.unit(F.col("_lo")), "_last": clock.last_unit(F.col("_hi"))}
-    ).withColumn("_own", clock.level(F.col("_last") - F.col("_first"), lowest))
+    carried = stays.columns
+    first, last = clock.unit(F.col("_lo")), clock.last_unit(F.col("_hi"))
+    span = F.col("_last") - F.col("_first")
+    placed = stays.select("*", first.alias("_first"), last.alias("_last")).select(
+        "*", clock.level(span, lowest).alias("_own")
+    )
     # A handful of level numbers, as a scalar subquery.
     levels = placed.agg(F.sort_array(F.collect_set("_own"))).scalar()
     cells = F.sequence(
         clock.cell(F.col("_first"), F.col("_own")), clock.cell(F.col("_last"), F.col("_own"))
     )
-    covers = placed.withColumn("_level", F.col("_own")).withColumn("_cell", F.explode(cells))
-    starts = (
-        placed.withColumn("_levels", levels)
-        .withColumn("_level", F.explode("_levels"))
-        .withColumn("_cell", clock.cell(F.col("_first"), F.col("_level")))
+    covers = placed.select(
+        *_tagged(carried, "_a"), F.col("_own").alias("_level"), F.explode(cells).alias("_cell")
     )
-    spare = ("_first", "_last", "_own", "_levels")
-    return covers.drop(*spare), starts.drop(*spare)
+    starts = placed.select(
+        *_tagged(carried, "_b"), "_first", F.explode(levels).alias("_level")
+    ).withColumn("_cell", clock.cell(F.col("_first"), F.col("_level")))
+    return covers, starts
 
 
 def _start_inside() -> Column:
@@ -125,7 +128,7 @@ def _grid_join(
 
 def _calm_pairs(stays: DataFrame, clock: _Clock) -> DataFrame:
     covers, starts = _in_cells(stays, clock, 0)
-    return _side(covers, "_a").join(_side(starts, "_b"), _CELL).filter(_start_inside())
+    return covers.join(starts, _CELL).filter(_start_inside())
 
 
 def _crowded_pairs(stays: DataFrame, clock: _Clock, split_rows: int) -> DataFrame:
@@ -134,8 +137,9 @@ def _crowded_pairs(stays: DataFrame, clock: _Clock, split_rows: int) -> DataFram
     Copies of a row are joined once and repeated afterwards, and the cells start at the
     finest level: nearly every comparison then yields a pair.
     """
-    single = stays.groupBy(*_STAY).agg(F.count(F.lit(1)).alias("_copies"))
-    single = single.withColumn("_spread", F.xxhash64("_id", "_lo", "_hi"))
+    single = stays.groupBy(*_STAY).agg(
+        F.count(F.lit(1)).alias("_copies"), F.xxhash64("_id", "_lo", "_hi").alias("_spread")
+    )
     covers, starts = _in_cells(single, clock, clock.finest)
     tally = (
         covers.select(*_CELL, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
@@ -143,7 +147,7 @@ def _crowded_pairs(stays: DataFrame, clock: _Clock, split_rows: int) -> DataFram
         .groupBy(*_CELL)
         .agg(F.sum("_l").alias("_left"), F.sum("_r").alias("_right"))
     )
-    met = _grid_join(_side(covers, "_a"), _side(starts, "_b"), tally, _CELL, split_rows)
+    met = _grid_join(covers, starts, tally, _CELL, split_rows)
     return repeat_rows(met.filter(_start_inside()), F.col("_copies_a") * F.col("_copies_b"))
 
 
@@ -159,7 +163,8 @@ def _open_pairs(stays: DataFrame, split_rows: int) -> DataFrame:
     once = F.when(F.col("_open_b"), F.col("_id_a") < F.col("_id_b")).otherwise(
         F.col("_id_a") != F.col("_id_b")
     )
-    left, right = _side(partners.filter("_open"), "_a"), _side(partners, "_b")
+    left = partners.filter("_open").select(*_tagged(partners.columns, "_a"))
+    right = partners.select(*_tagged(partners.columns, "_b"))
     met = _grid_join(left, right, tally, ["_key"], split_rows)
     return met.filter(once & (F.greatest("_lo_a", "_lo_b") < F.least("_hi_a", "_hi_b")))
 

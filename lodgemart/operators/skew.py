@@ -88,8 +88,10 @@ def on_grid(df: DataFrame, grid: DataFrame, keys: list[str], own: str, other: st
     """
     place = {"_rows": "_row", "_cols": "_col"}
     part = F.pmod(F.col("_spread"), F.coalesce(F.col(own), F.lit(1))).cast("int")
-    placed = df.join(F.broadcast(grid), keys, "left").withColumn(place[own], part)
-    return placed.withColumn(place[other], copies(F.col(other))).drop("_rows", "_cols", "_spread")
+    kept = [c for c in df.columns if c != "_spread"]
+    return df.join(F.broadcast(grid), keys, "left").select(
+        *kept, part.alias(place[own]), copies(F.col(other)).alias(place[other])
+    )
 
 
 def left_lookup(
