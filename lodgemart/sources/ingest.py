@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +33,11 @@ BOOKING_TABLES: dict[str, TableSpec] = {
 def stamp(
     df: DataFrame, run_ts: datetime | Column | None = None, name: str = "ingestion_date"
 ) -> DataFrame:
-    """Add the load time; pass ``run_ts`` to replay a load with its old time."""
+    """Add the load time; pass ``run_ts``, in UTC unless it has a zone, to replay a load."""
     if run_ts is None:
         run_ts = F.current_timestamp()
     elif isinstance(run_ts, datetime):
-        run_ts = F.lit(run_ts)
+        run_ts = F.lit(run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=timezone.utc))
     return df.withColumn(name, run_ts)
 
 

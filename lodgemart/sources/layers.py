@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,8 @@ class TableLayer:
 
     ``fmt`` may be any table format on the class path; parquet needs no extra jar.
     ``bucket_by`` maps a table to its join key: bucketed tables join on that key
-    without a shuffle.
+    without a shuffle. Each bucket is written by its own tasks, an oversized one by
+    several, so the number of files does not grow with the number of input tasks.
     """
 
     spark: SparkSession
@@ -68,11 +69,11 @@ class TableLayer:
         return self.spark.table(f"{self.identity}.{name}")
 
     def write(self, df: DataFrame, name: str) -> None:
-        writer: DataFrameWriter = (
-            df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", "true")
-        )
-        key = dict(self.bucket_by).get(name)
-        if key and self.buckets:
+        key = dict(self.bucket_by).get(name) if self.buckets else None
+        if key:
+            df = df.hint("rebalance", self.buckets, key)
+        writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", "true")
+        if key:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
         writer.saveAsTable(f"{self.identity}.{name}")
 
