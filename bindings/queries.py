@@ -408,7 +408,7 @@ def layers_collection_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, clean, gold, report = (
         PathLayer(spark, f"{base}/{name}") for name in ("bronze", "silver", "gold", "report")
     )
-    job = Job(f"{base}/raw", bronze, clean, gold, report, specs=STAGE_SPECS, reviews_file=None)
+    job = Job(f"{base}/raw", bronze, clean, gold, report, specs=STAGE_SPECS, reviews=None)
     run_bronze(spark, job)
     run_silver(job)
     run_gold(job)

@@ -25,7 +25,6 @@ from lodgemart.schemas import column_type
 # year 9999 costs no more rows than a short one.
 BUCKET_DAYS = 8
 GROWTH = 8
-TOP_LEVEL = 6
 
 # A key with more rows than this uses cells below bucket_days too, and a cell with more
 # rows than this is cut into a grid of tasks.
@@ -70,10 +69,9 @@ class _Clock:
         return self.unit(hi - F.expr("INTERVAL '0.000001' SECOND"))
 
     def level(self, units: Column, lowest: int) -> Column:
-        result = F.when(units <= self.bucket * GROWTH ** (lowest + 1), lowest)
-        for level in range(lowest + 1, TOP_LEVEL):
-            result = result.when(units <= self.bucket * GROWTH ** (level + 1), level)
-        return result.otherwise(TOP_LEVEL)
+        """The finest level, from ``lowest`` up, where so many units fit GROWTH cells."""
+        needed = F.ceil(F.log(float(GROWTH), units / self.bucket)) - 1
+        return F.greatest(F.lit(lowest), needed).cast("int")
 
     def cell(self, unit: Column, level: Column) -> Column:
         width = F.lit(float(self.bucket)) * F.pow(F.lit(float(GROWTH)), level)
@@ -123,12 +121,13 @@ def _grid_join(
     grid = hot_grid(tally, keys, split_rows)
     left = on_grid(left, grid, keys, "_rows", "_cols")
     right = on_grid(right, grid, keys, "_cols", "_rows")
-    return left.join(right, [*keys, "_row", "_col"])
+    return left.hint("merge").join(right, [*keys, "_row", "_col"])
 
 
 def _calm_pairs(stays: DataFrame, clock: _Clock) -> DataFrame:
     covers, starts = _in_cells(stays, clock, 0)
-    return covers.join(starts, _CELL).filter(_start_inside())
+    # The pairs may far outnumber the rows: shuffled, they are made by all tasks.
+    return covers.hint("merge").join(starts, _CELL).filter(_start_inside())
 
 
 def _crowded_pairs(stays: DataFrame, clock: _Clock, split_rows: int) -> DataFrame:

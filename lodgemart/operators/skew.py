@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
 
-# Rows of the broadcast list of hot keys. A key beyond the list holds less than one
-# part in HOT_LIST of all rows, which is an ordinary task's share.
+# Rows of the broadcast list of hot groups. A group beyond the list is smaller than
+# HOT_LIST others, so it costs less than one part in HOT_LIST of the whole job and needs
+# no splitting; it takes the ordinary path with the same result.
 HOT_LIST = 50_000
 
 # Rows without a key match nothing, so they may go anywhere.

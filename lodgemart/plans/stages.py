@@ -24,20 +24,25 @@ from lodgemart.sources.readers import read_csv
 
 @dataclass(frozen=True)
 class Job:
-    """Where the data lies and how it is named."""
+    """Where the data lies and how it is named.
 
-    source: str
+    ``source`` is a folder of CSV files or a layer of raw tables. ``reviews`` names the
+    reviews in it, a file or a table; None leaves the sentiment stage out.
+    """
+
+    source: str | Layer
     bronze: Layer
     silver: Layer
     gold: Layer
     report: Layer
     cols: Columns = Columns()
     specs: Mapping[str, TableSpec] = field(default_factory=lambda: BOOKING_TABLES)
-    reviews_file: str | None = "reviews.csv"
+    reviews: str | None = "reviews.csv"
     strict: bool = False
 
     def __post_init__(self) -> None:
-        require_distinct([self.bronze, self.silver, self.gold, self.report])
+        raw = [] if isinstance(self.source, str) else [self.source]
+        require_distinct([*raw, self.bronze, self.silver, self.gold, self.report])
 
 
 def run_bronze(spark: SparkSession, job: Job, run_ts: datetime | None = None) -> dict[str, int]:
@@ -70,7 +75,10 @@ def run_sentiment(spark: SparkSession, job: Job, lexicon: Mapping[str, float]) -
     """Score the reviews and enrich the customers from the scores just written."""
     gold, cols = job.gold, job.cols
     gold.prepare()
-    reviews = read_csv(spark, f"{job.source.rstrip('/')}/{job.reviews_file}")
+    if isinstance(job.source, str):
+        reviews = read_csv(spark, f"{job.source.rstrip('/')}/{job.reviews}")
+    else:
+        reviews = job.source.read(job.reviews)
     gold.write(score_reviews(reviews, lexicon, cols), "reviews_sentiment")
     enriched = enrich_sentiment(gold.read("customer_value"), gold.read("reviews_sentiment"), cols)
     gold.write(enriched, "customer_value_enriched")
@@ -87,6 +95,6 @@ def run_all(
     counts = run_bronze(spark, job, run_ts)
     run_silver(job)
     run_gold(job)
-    if job.reviews_file:
+    if job.reviews:
         run_sentiment(spark, job, lexicon)
     return counts, write_report(job.gold, job.report, job.cols)

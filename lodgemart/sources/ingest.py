@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgemart import schemas as S
-from lodgemart.sources.layers import Layer
+from lodgemart.sources.layers import Layer, require_distinct
 from lodgemart.sources.readers import read_csv
 
 
@@ -57,18 +57,34 @@ def audit_frame(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     )
 
 
+def load_tables(
+    frames: Mapping[str, DataFrame], layer: Layer, run_ts: datetime | None = None
+) -> dict[str, int]:
+    """Stamp and write each table; returns the rows per table."""
+    layer.prepare()
+    return {name: write_counted(stamp(df, run_ts), layer, name) for name, df in frames.items()}
+
+
 def ingest(
     spark: SparkSession,
-    source: str,
+    source: str | Layer,
     layer: Layer,
     specs: Mapping[str, TableSpec] = BOOKING_TABLES,
     run_ts: datetime | None = None,
     infer: bool = False,
 ) -> dict[str, int]:
-    """Load every file of ``specs`` into ``layer``; returns the rows per table."""
-    layer.prepare()
-    counts = {}
-    for name, spec in specs.items():
-        raw = read_csv(spark, f"{source.rstrip('/')}/{spec.file}", None if infer else spec.schema, infer)
-        counts[name] = write_counted(stamp(raw, run_ts), layer, name)
-    return counts
+    """Load every table of ``specs`` into ``layer``, one job per table.
+
+    ``source`` is a folder of CSV files, or a layer that already holds raw tables of the
+    same names. It must not be ``layer`` itself: a write replaces its target.
+    """
+    if not isinstance(source, str):
+        require_distinct([source, layer])
+        return load_tables({name: source.read(name) for name in specs}, layer, run_ts)
+    frames = {
+        name: read_csv(
+            spark, f"{source.rstrip('/')}/{spec.file}", None if infer else spec.schema, infer
+        )
+        for name, spec in specs.items()
+    }
+    return load_tables(frames, layer, run_ts)

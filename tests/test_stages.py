@@ -10,7 +10,9 @@ from booking_files import write_files
 from conftest import rows
 from lodgemart.plans.report import write_report
 from lodgemart.plans.stages import Job, run_all
+from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest
 from lodgemart.sources.layers import PathLayer, TableLayer
+from lodgemart.sources.readers import read_csv
 
 LEXICON = {"great": 3, "bad": -3, "not bad": 2, "awful": -4}
 CENT, TENTH = Decimal("0.01"), Decimal("0.0001")
@@ -44,10 +46,13 @@ def run(request, spark, tmp_path_factory):
     lines = write_files(str(raw))
     names = ("bronze", "silver", "gold", "report")
     if request.param == "files":
-        layers = [PathLayer(spark, str(base / n)) for n in names]
+        job = Job(str(raw), *[PathLayer(spark, str(base / n)) for n in names])
     else:
-        layers = [TableLayer(spark, f"stay_{n}", location=str(base / n)) for n in names]
-    job = Job(str(raw), *layers)
+        layers = [TableLayer(spark, f"stay_{n}", location=str(base / n)) for n in ("raw", *names)]
+        for name, spec in {**BOOKING_TABLES, "reviews": TableSpec("reviews.csv")}.items():
+            layers[0].prepare()
+            layers[0].write(read_csv(spark, f"{raw}/{spec.file}", spec.schema), name)
+        job = Job(*layers, reviews="reviews")
     counts, skipped = run_all(spark, job, LEXICON, datetime(2024, 6, 1))
     return lines, job, counts, skipped
 
@@ -192,3 +197,9 @@ def test_job_refuses_overlapping_layers(spark, tmp_path):
     same = PathLayer(spark, str(tmp_path))
     with pytest.raises(ValueError):
         Job("raw", same, same, same, same)
+
+
+def test_ingest_refuses_its_own_target(spark, tmp_path):
+    layer = PathLayer(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        ingest(spark, layer, layer)
