@@ -22,8 +22,9 @@ from lodgemart.schemas import column_type
 
 # Cells of level n are bucket_days * GROWTH**n days wide. An interval lives on the
 # finest level where it touches at most GROWTH + 1 cells, so a stay that ends in the
-# year 9999 costs no more rows than a short one.
-BUCKET_DAYS = 8
+# year 9999 costs no more rows than a short one. Levels below 0 are for crowded keys;
+# 64 days make the lowest of them one day.
+BUCKET_DAYS = 64
 GROWTH = 8
 
 # A key with more rows than this uses cells below bucket_days too, and a cell with more
@@ -31,7 +32,7 @@ GROWTH = 8
 SPLIT_ROWS = 20_000
 
 _CELL = ["_key", "_level", "_cell"]
-_STAY = ["_key", "_id", "_lo", "_hi"]
+_STAY = ["_key", "_id", "_lo", "_hi", "_first", "_last"]
 
 
 @dataclass(frozen=True)
@@ -86,12 +87,9 @@ def _tagged(columns: list[str], tag: str) -> list[Column]:
 
 def _in_cells(stays: DataFrame, clock: _Clock, lowest: int) -> tuple[DataFrame, DataFrame]:
     """The intervals, once per cell they touch, and the starts, once per level in use."""
-    carried = stays.columns
-    first, last = clock.unit(F.col("_lo")), clock.last_unit(F.col("_hi"))
+    carried = [c for c in stays.columns if c not in ("_first", "_last")]
     span = F.col("_last") - F.col("_first")
-    placed = stays.select("*", first.alias("_first"), last.alias("_last")).select(
-        "*", clock.level(span, lowest).alias("_own")
-    )
+    placed = stays.withColumn("_own", clock.level(span, lowest))
     # A handful of level numbers, as a scalar subquery.
     levels = placed.agg(F.sort_array(F.collect_set("_own"))).scalar()
     cells = F.sequence(
@@ -206,7 +204,11 @@ def overlaps(
         F.greatest("_lo_a", "_lo_b").alias("overlap_start"),
         F.least("_hi_a", "_hi_b").alias("overlap_end"),
     ]
-    dated = stays.filter(F.col("_lo") < F.col("_hi"))
+    dated = stays.filter(F.col("_lo") < F.col("_hi")).select(
+        "*",
+        clock.unit(F.col("_lo")).alias("_first"),
+        clock.last_unit(F.col("_hi")).alias("_last"),
+    )
     crowded = F.broadcast(hot_groups(dated, ["_key"], split_rows))
     calm_rows = dated.join(crowded, "_key", "left_anti")
     crowded_rows = dated.join(crowded, "_key", "left_semi")

@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lodgemart.plans import kpi, silver
 from lodgemart.plans.report import write_report
@@ -20,6 +21,7 @@ from lodgemart.schemas import Columns
 from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest
 from lodgemart.sources.layers import Layer, require_distinct
 from lodgemart.sources.readers import read_csv
+from lodgemart.sources.together import side_by_side
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,8 @@ class Job:
     """Where the data lies and how it is named.
 
     ``source`` is a folder of CSV files or a layer of raw tables. ``reviews`` names the
-    reviews in it, a file or a table; None leaves the sentiment stage out.
+    reviews in it, a file or a table; None leaves the sentiment stage out. ``parallel``
+    tables of a stage are written at the same time.
     """
 
     source: str | Layer
@@ -39,6 +42,7 @@ class Job:
     specs: Mapping[str, TableSpec] = field(default_factory=lambda: BOOKING_TABLES)
     reviews: str | None = "reviews.csv"
     strict: bool = False
+    parallel: int = 4
 
     def __post_init__(self) -> None:
         raw = [] if isinstance(self.source, str) else [self.source]
@@ -46,29 +50,39 @@ class Job:
 
 
 def run_bronze(spark: SparkSession, job: Job, run_ts: datetime | None = None) -> dict[str, int]:
-    return ingest(spark, job.source, job.bronze, job.specs, run_ts)
+    return ingest(spark, job.source, job.bronze, job.specs, run_ts, parallel=job.parallel)
+
+
+def _write_all(layer: Layer, tables: Mapping[str, DataFrame], parallel: int) -> None:
+    layer.prepare()
+    side_by_side([partial(layer.write, df, name) for name, df in tables.items()], parallel)
 
 
 def run_silver(job: Job) -> None:
+    """Payments come last: they are checked against the written bookings."""
     bronze, out, cols, strict = job.bronze, job.silver, job.cols, job.strict
-    out.prepare()
-    out.write(silver.clean_hotels(bronze.read("hotels"), cols, strict), "hotels")
-    out.write(silver.clean_customers(bronze.read("customers"), cols, strict), "customers")
-    out.write(silver.clean_rooms(bronze.read("rooms"), cols, strict), "rooms")
-    out.write(silver.clean_bookings(bronze.read("bookings"), cols, strict), "bookings")
+    cleaned = {
+        "bookings": silver.clean_bookings(bronze.read("bookings"), cols, strict),
+        "customers": silver.clean_customers(bronze.read("customers"), cols, strict),
+        "rooms": silver.clean_rooms(bronze.read("rooms"), cols, strict),
+        "hotels": silver.clean_hotels(bronze.read("hotels"), cols, strict),
+    }
+    _write_all(out, cleaned, job.parallel)
     payments = silver.clean_payments(bronze.read("payments"), out.read("bookings"), cols, strict)
     out.write(payments, "payments")
 
 
 def run_gold(job: Job) -> None:
     bookings, payments = job.silver.read("bookings"), job.silver.read("payments")
-    out, cols = job.gold, job.cols
-    out.prepare()
-    out.write(kpi.daily_revenue(bookings, cols), "daily_revenue")
-    out.write(kpi.cancellation_rate(bookings, cols), "cancellation_rate_by_source")
-    out.write(kpi.collection_rate(bookings, payments, cols), "collection_rate")
-    out.write(kpi.overbooking_alerts(bookings, cols), "overbooking_alerts")
-    out.write(kpi.customer_value(bookings, cols), "customer_value")
+    cols = job.cols
+    figures = {
+        "overbooking_alerts": kpi.overbooking_alerts(bookings, cols),
+        "collection_rate": kpi.collection_rate(bookings, payments, cols),
+        "customer_value": kpi.customer_value(bookings, cols),
+        "daily_revenue": kpi.daily_revenue(bookings, cols),
+        "cancellation_rate_by_source": kpi.cancellation_rate(bookings, cols),
+    }
+    _write_all(job.gold, figures, job.parallel)
 
 
 def run_sentiment(spark: SparkSession, job: Job, lexicon: Mapping[str, float]) -> None:

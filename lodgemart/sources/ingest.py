@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from lodgemart import schemas as S
 from lodgemart.sources.layers import Layer, require_distinct
 from lodgemart.sources.readers import read_csv
+from lodgemart.sources.together import side_by_side
 
 
 @dataclass(frozen=True)
@@ -58,11 +60,15 @@ def audit_frame(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
 
 
 def load_tables(
-    frames: Mapping[str, DataFrame], layer: Layer, run_ts: datetime | None = None
+    frames: Mapping[str, DataFrame],
+    layer: Layer,
+    run_ts: datetime | None = None,
+    parallel: int = 1,
 ) -> dict[str, int]:
     """Stamp and write each table; returns the rows per table."""
     layer.prepare()
-    return {name: write_counted(stamp(df, run_ts), layer, name) for name, df in frames.items()}
+    loads = [partial(write_counted, stamp(df, run_ts), layer, name) for name, df in frames.items()]
+    return dict(zip(frames, side_by_side(loads, parallel)))
 
 
 def ingest(
@@ -72,6 +78,7 @@ def ingest(
     specs: Mapping[str, TableSpec] = BOOKING_TABLES,
     run_ts: datetime | None = None,
     infer: bool = False,
+    parallel: int = 1,
 ) -> dict[str, int]:
     """Load every table of ``specs`` into ``layer``, one job per table.
 
@@ -80,11 +87,12 @@ def ingest(
     """
     if not isinstance(source, str):
         require_distinct([source, layer])
-        return load_tables({name: source.read(name) for name in specs}, layer, run_ts)
+        frames = {name: source.read(name) for name in specs}
+        return load_tables(frames, layer, run_ts, parallel)
     frames = {
         name: read_csv(
             spark, f"{source.rstrip('/')}/{spec.file}", None if infer else spec.schema, infer
         )
         for name, spec in specs.items()
     }
-    return load_tables(frames, layer, run_ts)
+    return load_tables(frames, layer, run_ts, parallel)
