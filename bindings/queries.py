@@ -22,8 +22,8 @@ from lodgemart.operators.rules import (
     parse_date,
     swap_inverted,
 )
-from lodgemart.plans import kpi, silver
-from lodgemart.plans.report import top_by
+from lodgemart.plans import cleaning, kpi
+from lodgemart.plans.top_lists import top_by
 from lodgemart.plans.sentiment import (
     enrich_sentiment,
     score_by_join,
@@ -170,7 +170,7 @@ def dq_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_bookings_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     bookings = B.raw_bookings(spark, sf_dir)
-    return plain_numbers(silver.clean_bookings(bookings, strict=True, currencies=B.CURRENCIES))
+    return plain_numbers(cleaning.clean_bookings(bookings, strict=True, currencies=B.CURRENCIES))
 
 
 def _orphans(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -179,7 +179,7 @@ def _orphans(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
         B.parent_bookings(spark, sf_dir),
         "booking_id",
         "booking_id",
-        {"total_amount": silver.PARENT_TOTAL},
+        {"total_amount": cleaning.PARENT_TOTAL},
         "dq_orphan_payment",
         **options,
     )
@@ -196,13 +196,13 @@ def dq_orphan_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_over_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = flag_over(
-        _orphans(spark, sf_dir), "amount", silver.PARENT_TOTAL, "dq_orphan_payment", "dq_over_amount"
+        _orphans(spark, sf_dir), "amount", cleaning.PARENT_TOTAL, "dq_orphan_payment", "dq_over_amount"
     )
     return plain_numbers(marked.drop("currency"))
 
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.clean_payments(
+    return cleaning.clean_payments(
         B.raw_payments(spark, sf_dir),
         B.parent_bookings(spark, sf_dir),
         strict=True,

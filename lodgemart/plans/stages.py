@@ -14,8 +14,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgemart.plans import kpi, silver
-from lodgemart.plans.report import write_report
+from lodgemart.plans import cleaning, kpi
+from lodgemart.plans.top_lists import write_report
 from lodgemart.plans.sentiment import enrich_sentiment, score_reviews
 from lodgemart.schemas import Columns
 from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest
@@ -62,13 +62,13 @@ def run_silver(job: Job) -> None:
     """Payments come last: they are checked against the written bookings."""
     bronze, out, cols, strict = job.bronze, job.silver, job.cols, job.strict
     cleaned = {
-        "bookings": silver.clean_bookings(bronze.read("bookings"), cols, strict),
-        "customers": silver.clean_customers(bronze.read("customers"), cols, strict),
-        "rooms": silver.clean_rooms(bronze.read("rooms"), cols, strict),
-        "hotels": silver.clean_hotels(bronze.read("hotels"), cols, strict),
+        "bookings": cleaning.clean_bookings(bronze.read("bookings"), cols, strict),
+        "customers": cleaning.clean_customers(bronze.read("customers"), cols, strict),
+        "rooms": cleaning.clean_rooms(bronze.read("rooms"), cols, strict),
+        "hotels": cleaning.clean_hotels(bronze.read("hotels"), cols, strict),
     }
     _write_all(out, cleaned, job.parallel)
-    payments = silver.clean_payments(bronze.read("payments"), out.read("bookings"), cols, strict)
+    payments = cleaning.clean_payments(bronze.read("payments"), out.read("bookings"), cols, strict)
     out.write(payments, "payments")
 
 

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from conftest import rows
 from lodgemart.operators.dedup import keep_any, keep_latest
-from lodgemart.plans.silver import clean_customers, clean_rooms
+from lodgemart.plans.cleaning import clean_customers, clean_rooms
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 

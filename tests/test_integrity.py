@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from lodgemart.operators.integrity import flag_orphans, flag_over, one_row_per_key
 from lodgemart.operators.skew import hot_groups, left_lookup, row_spread
-from lodgemart.plans.silver import clean_payments
+from lodgemart.plans.cleaning import clean_payments
 
 PAYMENTS = "payment_id string, booking_id string, amount decimal(12,2), currency string"
 

@@ -5,7 +5,7 @@ import pytest
 
 from conftest import rows
 from lodgemart.plans import kpi
-from lodgemart.plans.report import top_by
+from lodgemart.plans.top_lists import top_by
 from lodgemart.schemas import Columns
 
 BOOKINGS = (

@@ -16,7 +16,7 @@ from lodgemart.operators.rules import (
     parse_date,
     swap_inverted,
 )
-from lodgemart.plans.silver import clean_bookings, clean_hotels, clean_payments
+from lodgemart.plans.cleaning import clean_bookings, clean_hotels, clean_payments
 from lodgemart.schemas import BOOKINGS
 
 spark_property = settings(

@@ -8,7 +8,7 @@ import pytest
 
 from booking_files import write_files
 from conftest import rows
-from lodgemart.plans.report import write_report
+from lodgemart.plans.top_lists import write_report
 from lodgemart.plans.stages import Job, run_all
 from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest
 from lodgemart.sources.layers import PathLayer, TableLayer
