@@ -30,14 +30,17 @@ SELECT {ID} AS payment_id, l_orderkey AS booking_id, {AMOUNT_CENTS} AS amount_ce
        o_total AS total_cents,
        o_orderkey IS NULL AS dq_orphan_payment,
        COALESCE({AMOUNT_CENTS} > o_total, false) AS dq_over_amount,
-       l_returnflag NOT IN ('A', 'N') AS dq_invalid_currency
+       COALESCE(l_returnflag NOT IN ('A', 'N'), false) AS dq_invalid_currency
 FROM lineitem LEFT JOIN (
     SELECT o_orderkey, MAX({TOTAL_CENTS}) AS o_total
     FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderkey
 ) ON l_orderkey = o_orderkey
 """
 
-VALID = "NOT dq_orphan_payment AND NOT dq_over_amount AND NOT dq_invalid_currency"
+VALID = (
+    "amount_cents IS NOT NULL "
+    "AND NOT dq_orphan_payment AND NOT dq_over_amount AND NOT dq_invalid_currency"
+)
 
 
 def payments(columns: str, where: str = "true") -> str:
@@ -70,7 +73,8 @@ FROM totals LEFT JOIN paid USING (hotel_id)
 
 HOTELS = f"""
 SELECT o_orderkey AS booking_id, c_nationkey AS hotel_id, {TOTAL_CENTS} AS cents
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P'
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE o_totalprice IS NOT NULL AND o_orderstatus <> 'P'
 """
 
 COLLECTION = collection(HOTELS)
@@ -79,7 +83,7 @@ CUSTOMER_VALUE = f"""
 SELECT o_custkey AS customer_id, COUNT(DISTINCT o_orderkey) AS bookings_count,
        {dollars(f'SUM({TOTAL_CENTS})')} AS revenue_sum,
        {half_up(f'SUM({TOTAL_CENTS})', 'COUNT(*)', 1)} / 100 AS avg_ticket
-FROM orders {{where}} GROUP BY o_custkey
+FROM orders WHERE o_totalprice IS NOT NULL {{and_also}} GROUP BY o_custkey
 """
 
 WORD_VALUE = (
@@ -103,7 +107,7 @@ FROM conversations GROUP BY conv_id
 """
 ENRICHED = f"""
 SELECT v.*, COALESCE(avg_sentiment_score, 0.0) AS avg_sentiment_score
-FROM ({CUSTOMER_VALUE.format(where='')}) AS v LEFT JOIN ({TURNS}) AS t USING (customer_id)
+FROM ({CUSTOMER_VALUE.format(and_also='')}) AS v LEFT JOIN ({TURNS}) AS t USING (customer_id)
 """
 
 OVERLAPS = f"""
@@ -161,27 +165,29 @@ def all_oracles() -> dict[str, str]:
                               ELSE strftime(o_orderdate, '%Y-%m-%d') END AS t
                   FROM orders)""",
         "dq_swap_dates": f"""
-            SELECT {ID} AS booking_id, o_orderdate > l_shipdate AS dq_swapped_dates,
+            SELECT {ID} AS booking_id,
+                   COALESCE(o_orderdate > l_shipdate, false) AS dq_swapped_dates,
                    LEAST(o_orderdate, l_shipdate) AS o_orderdate,
                    GREATEST(o_orderdate, l_shipdate) AS l_shipdate
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
         "dq_negative": """
             SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal,
-                   c_acctbal < 0 AS dq_negative_total
+                   COALESCE(c_acctbal < 0, false) AS dq_negative_total
             FROM customer""",
         "dq_domain": f"""
             SELECT {ID} AS payment_id,
                    CASE WHEN l_returnflag IN ('A', 'N') THEN l_returnflag END AS currency,
-                   l_returnflag NOT IN ('A', 'N') AS dq_invalid_currency
+                   COALESCE(l_returnflag NOT IN ('A', 'N'), false) AS dq_invalid_currency
             FROM lineitem""",
         "dq_bookings_full": f"""
             SELECT {ID} AS booking_id,
-                   CAST(o_orderdate AS DATE) > CAST(l_shipdate AS DATE) AS dq_swapped_dates,
+                   COALESCE(CAST(o_orderdate AS DATE) > CAST(l_shipdate AS DATE), false)
+                       AS dq_swapped_dates,
                    LEAST(CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS checkin_date,
                    GREATEST(CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS checkout_date,
-                   c_acctbal < 0 AS dq_negative_total,
+                   COALESCE(c_acctbal < 0, false) AS dq_negative_total,
                    CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS total_amount,
-                   l_returnflag NOT IN ('A', 'N') AS dq_invalid_currency,
+                   COALESCE(l_returnflag NOT IN ('A', 'N'), false) AS dq_invalid_currency,
                    CASE WHEN l_returnflag IN ('A', 'N') THEN l_returnflag END AS currency
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey
                           JOIN customer ON o_custkey = c_custkey""",
@@ -207,7 +213,7 @@ def all_oracles() -> dict[str, str]:
             SELECT CAST(o_orderdate AS DATE) AS date,
                    {dollars(f'SUM({TOTAL_CENTS})')} AS gross_revenue,
                    COUNT(DISTINCT o_orderkey) AS bookings_count
-            FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""",
+            FROM orders WHERE o_orderstatus = 'F' AND o_totalprice IS NOT NULL GROUP BY 1""",
         "cancellation_rate": f"""
             SELECT source, total_bookings, cancelled,
                    {half_up('cancelled * 100', 'total_bookings', 100)} AS cancellation_rate_pct
@@ -218,8 +224,8 @@ def all_oracles() -> dict[str, str]:
         "overlap_alerts": OVERLAPS,
         "overlap_alerts_bucketed": OVERLAPS,
         "overlap_alerts_levels": OVERLAPS,
-        "customer_value": CUSTOMER_VALUE.format(where=""),
-        "customer_value_confirmed": CUSTOMER_VALUE.format(where="WHERE o_orderstatus = 'F'"),
+        "customer_value": CUSTOMER_VALUE.format(and_also=""),
+        "customer_value_confirmed": CUSTOMER_VALUE.format(and_also="AND o_orderstatus = 'F'"),
         "sentiment_score": SCORES,
         "sentiment_score_joined": SCORES,
         "sentiment_score_spread": SCORES,
@@ -231,7 +237,7 @@ def all_oracles() -> dict[str, str]:
             ORDER BY collection_rate DESC NULLS LAST, hotel_id LIMIT 20""",
         "top_customers": f"""
             SELECT * FROM ({ENRICHED}) ORDER BY revenue_sum DESC NULLS LAST, customer_id LIMIT 20""",
-        "layers_collection_rate": collection(HOTELS.replace("WHERE o_orderstatus <> 'P'", "")).replace(
+        "layers_collection_rate": collection(HOTELS.replace("AND o_orderstatus <> 'P'", "")).replace(
             "WHERE o_orderstatus <> 'P' GROUP BY o_orderkey", "GROUP BY o_orderkey"
         ),
     }

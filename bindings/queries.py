@@ -394,7 +394,10 @@ def _raw_files(spark: SparkSession, sf_dir: str, target: str) -> None:
             F.col("o_orderpriority").alias("source"),
         ),
         "payments": B.raw_payments(spark, sf_dir).withColumn(
-            "currency", F.when(F.col("currency").isin(*B.CURRENCIES), "USD").otherwise("ZZZ")
+            "currency",
+            F.when(F.col("currency").isin(*B.CURRENCIES), "USD").when(
+                F.col("currency").isNotNull(), "ZZZ"
+            ),
         ),
     }
     for name, table in raw.items():

@@ -1,26 +1,25 @@
-"""The registered queries against their SQL twins on the smallest driver tables."""
+"""The registered queries against their SQL twins, on plain and on skewed tables."""
 
-import glob
 import os
 
 import pytest
 
 import __spark_entry__ as registry
+from driver_tables import SF_DIR, connect, write_skewed
 
-SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
+pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables absent")
 
 
-@pytest.fixture(scope="module")
-def db():
-    duckdb = pytest.importorskip("duckdb")
-    connection = duckdb.connect()
-    for path in glob.glob(f"{SF_DIR}/*.parquet"):
-        name = os.path.basename(path).removesuffix(".parquet")
-        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
-    return connection
+@pytest.fixture(scope="module", params=["plain", "skewed"])
+def tables(request, tmp_path_factory):
+    folder = SF_DIR
+    if request.param == "skewed":
+        folder = str(tmp_path_factory.mktemp("skewed"))
+        write_skewed(folder)
+    return folder, connect(folder)
 
 
 def in_order(columns, found):
@@ -33,8 +32,9 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_sql(spark, db, name):
-    df, answer = QUERIES[name](spark, SF_DIR), db.sql(ORACLES[name])
+def test_query_equals_sql(spark, tables, name):
+    folder, db = tables
+    df, answer = QUERIES[name](spark, folder), db.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(answer.columns)
     mine = in_order(df.columns, [tuple(r) for r in df.collect()])
     assert mine == in_order(answer.columns, answer.fetchall())
