@@ -6,18 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_UNORDERED = (T.MapType, T.VariantType)
+from lodgemart.schemas import comparable
 
 
 def _orderable(df: DataFrame, skip: Sequence[str]) -> list[str]:
     left_out = {c.lower() for c in skip}
-    return [
-        f.name
-        for f in df.schema
-        if f.name.lower() not in left_out and not isinstance(f.dataType, _UNORDERED)
-    ]
+    return [f.name for f in df.schema if f.name.lower() not in left_out and comparable(f.dataType)]
 
 
 def keep_latest(

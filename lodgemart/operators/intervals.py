@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgemart.operators.skew import hot_grid, hot_groups, on_grid, repeat_rows, row_spread
+from lodgemart.operators.skew import hot_grid, hot_groups, on_grid, repeat_rows
 from lodgemart.schemas import column_type
 
 # Cells of level n are bucket_days * GROWTH**n days wide. An interval lives on the
@@ -112,6 +112,14 @@ def _start_inside() -> Column:
     return inside & (F.col("_id_a") != F.col("_id_b")) & (earlier | tied)
 
 
+def _tally(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact row counts of both sides per group."""
+    both = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).union(
+        right.select(*keys, F.lit(0), F.lit(1))
+    )
+    return both.groupBy(*keys).agg(F.sum("_l").alias("_left"), F.sum("_r").alias("_right"))
+
+
 def _grid_join(
     left: DataFrame, right: DataFrame, tally: DataFrame, keys: list[str], split_rows: int
 ) -> DataFrame:
@@ -138,32 +146,34 @@ def _crowded_pairs(stays: DataFrame, clock: _Clock, split_rows: int) -> DataFram
         F.count(F.lit(1)).alias("_copies"), F.xxhash64("_id", "_lo", "_hi").alias("_spread")
     )
     covers, starts = _in_cells(single, clock, clock.finest)
-    tally = (
-        covers.select(*_CELL, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-        .union(starts.select(*_CELL, F.lit(0), F.lit(1)))
-        .groupBy(*_CELL)
-        .agg(F.sum("_l").alias("_left"), F.sum("_r").alias("_right"))
-    )
-    met = _grid_join(covers, starts, tally, _CELL, split_rows)
+    met = _grid_join(covers, starts, _tally(covers, starts, _CELL), _CELL, split_rows)
     return repeat_rows(met.filter(_start_inside()), F.col("_copies_a") * F.col("_copies_b"))
 
 
 def _open_pairs(stays: DataFrame, split_rows: int) -> DataFrame:
-    """Pairs with at least one interval that lacks a bound and so reaches without end."""
-    stays = stays.withColumn("_spread", row_spread(stays))
-    partners = stays.filter(F.col("_open") | (F.col("_lo") < F.col("_hi")))
-    tally = (
-        partners.groupBy("_key")
-        .agg(F.count_if("_open").alias("_left"), F.count(F.lit(1)).alias("_right"))
-        .filter(F.col("_left") > 0)
+    """Pairs with at least one interval that lacks a bound and so reaches without end.
+
+    Only two combinations give an overlap with two bounds: a loose interval with a dated
+    one, and one without start with one without end. Others are never compared.
+    """
+    single = stays.groupBy("_key", "_id", "_lo", "_hi").agg(
+        F.count(F.lit(1)).alias("_copies"), F.xxhash64("_id", "_lo", "_hi").alias("_spread")
     )
-    once = F.when(F.col("_open_b"), F.col("_id_a") < F.col("_id_b")).otherwise(
-        F.col("_id_a") != F.col("_id_b")
+    no_lo, no_hi = F.col("_lo").isNull(), F.col("_hi").isNull()
+    sides = [
+        (single.filter(no_lo | no_hi), single.filter(F.col("_lo") < F.col("_hi"))),
+        (single.filter(no_lo & ~no_hi), single.filter(no_hi & ~no_lo)),
+    ]
+    meet = (F.col("_id_a") != F.col("_id_b")) & (
+        F.greatest("_lo_a", "_lo_b") < F.least("_hi_a", "_hi_b")
     )
-    left = partners.filter("_open").select(*_tagged(partners.columns, "_a"))
-    right = partners.select(*_tagged(partners.columns, "_b"))
-    met = _grid_join(left, right, tally, ["_key"], split_rows)
-    return met.filter(once & (F.greatest("_lo_a", "_lo_b") < F.least("_hi_a", "_hi_b")))
+    found = []
+    for loose, partners in sides:
+        left = loose.select(*_tagged(loose.columns, "_a"))
+        right = partners.select(*_tagged(partners.columns, "_b"))
+        tally = _tally(loose, partners, ["_key"])
+        found.append(_grid_join(left, right, tally, ["_key"], split_rows).filter(meet))
+    return repeat_rows(found[0].union(found[1]), F.col("_copies_a") * F.col("_copies_b"))
 
 
 def overlaps(
@@ -215,6 +225,5 @@ def overlaps(
     pairs = _calm_pairs(calm_rows, clock).select(*columns)
     pairs = pairs.union(_crowded_pairs(crowded_rows, clock, split_rows).select(*columns))
     if null_bounds == "open":
-        loose = stays.withColumn("_open", F.col("_lo").isNull() | F.col("_hi").isNull())
-        pairs = pairs.union(_open_pairs(loose, split_rows).select(*columns))
+        pairs = pairs.union(_open_pairs(stays, split_rows).select(*columns))
     return pairs

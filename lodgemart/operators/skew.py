@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from lodgemart.schemas import comparable
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
@@ -17,8 +18,6 @@ HOT_LIST = 50_000
 # Rows without a key match nothing, so they may go anywhere.
 NULL_SPREAD = 1 << 20
 
-_HASHABLE_OUT = (T.MapType, T.VariantType)
-
 
 def row_spread(df: DataFrame) -> Column:
     """A number that differs between rows, and between copies of a row in different tasks.
@@ -27,8 +26,8 @@ def row_spread(df: DataFrame) -> Column:
     after an executor is lost sends every row to the same place as before; a random
     number would not.
     """
-    plain = [f.name for f in df.schema if not isinstance(f.dataType, _HASHABLE_OUT)]
-    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in plain])
+    plain = [F.col(f.name) for f in df.schema if comparable(f.dataType)]
+    return F.xxhash64(F.spark_partition_id(), *plain)
 
 
 def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:

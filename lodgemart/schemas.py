@@ -105,3 +105,12 @@ def sum_type(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.DecimalType):
         return T.DecimalType(min(38, kind.precision + 10), kind.scale)
     return T.DoubleType() if isinstance(kind, (T.FloatType, T.DoubleType)) else T.LongType()
+
+
+def comparable(kind: T.DataType) -> bool:
+    """Whether Spark can hash and order values of this type; maps and variants it can not."""
+    if isinstance(kind, T.StructType):
+        return all(comparable(field.dataType) for field in kind)
+    if isinstance(kind, T.ArrayType):
+        return comparable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))

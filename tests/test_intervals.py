@@ -66,6 +66,9 @@ LOOSE = [
     ("r1", "none2", None, None),
     ("r1", "nolo", None, day(2)),
     ("r1", "nohi", day(1), None),
+    ("r1", "none", None, None),
+    ("r1", "nohi2", day(0), None),
+    ("r2", "nolo2", None, day(1)),
 ]
 
 

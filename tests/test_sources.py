@@ -5,7 +5,15 @@ import pytest
 from pyspark.sql import types as T
 
 from conftest import rows
-from lodgemart.schemas import MONEY, PAYMENTS, column_type, find_column, sum_type, table_schema
+from lodgemart.schemas import (
+    MONEY,
+    PAYMENTS,
+    column_type,
+    comparable,
+    find_column,
+    sum_type,
+    table_schema,
+)
 from lodgemart.sources.ingest import TableSpec, audit_frame, ingest, stamp, write_counted
 from lodgemart.sources.layers import PathLayer, TableLayer, require_distinct
 from lodgemart.sources.readers import read_csv
@@ -143,3 +151,6 @@ def test_schema_helpers(spark):
     assert sum_type(MONEY) == T.DecimalType(22, 2)
     assert sum_type(T.DecimalType(38, 2)) == T.DecimalType(38, 2)
     assert sum_type(T.FloatType()) == T.DoubleType() and sum_type(T.IntegerType()) == T.LongType()
+    assert comparable(T.ArrayType(T.StringType())) and not comparable(T.VariantType())
+    nested = T.ArrayType(table_schema(("m", T.MapType(T.StringType(), T.IntegerType()))))
+    assert not comparable(nested)
