@@ -5,43 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgemart.schemas import comparable
-
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 1_000_000
+# A key with more rows than this does not go to one task.
+HOT_ROWS = 200_000
 
 # Rows of the broadcast list of hot groups. A group beyond the list is smaller than
 # HOT_LIST others, so it costs less than one part in HOT_LIST of the whole job and needs
 # no splitting; it takes the ordinary path with the same result.
 HOT_LIST = 50_000
 
-# Rows without a key match nothing, so they may go anywhere.
-NULL_SPREAD = 1 << 20
-
-
-def row_spread(df: DataFrame) -> Column:
-    """A number that differs between rows, and between copies of a row in different tasks.
-
-    It depends only on the row and its input partition, so a task that is run again
-    after an executor is lost sends every row to the same place as before; a random
-    number would not.
-    """
-    plain = [F.col(f.name) for f in df.schema if comparable(f.dataType)]
-    return F.xxhash64(F.spark_partition_id(), *plain)
-
-
 def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """(keys, _splits) of the groups above ``hot_rows``, hottest first, at most HOT_LIST.
+    """The groups with more than ``hot_rows`` rows, hottest first, at most HOT_LIST.
 
     The counts are exact and the order is total, so every evaluation gives the same
-    list: the two sides of a join must agree on it.
+    list: all branches that split rows by it must agree.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return (
         counted.filter(F.col("_rows") > hot_rows)
         .orderBy(F.col("_rows").desc(), *keys)
         .limit(HOT_LIST)
-        .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_splits"))
+        .select(*keys)
     )
 
 
@@ -103,27 +86,22 @@ def left_lookup(
 ) -> DataFrame:
     """``child`` left join ``parent``, whose key must be unique; parent names must be new.
 
-    Child rows of a hot key are spread over ``rows / hot_rows`` tasks and only that
-    key's single parent row is repeated to meet them. Child rows without a key are
-    spread as well. ``None`` leaves skew to adaptive execution.
+    Child rows of a key with more than ``hot_rows`` rows, and rows without a key, are not
+    shuffled: they stay in the tasks that read them. The few parent rows of such keys are
+    sent there. All other rows are joined by key. ``None`` leaves skew to adaptive
+    execution.
     """
-    if hot_rows is None:
-        return child.join(parent, F.col(child_key) == F.col(parent_key), "left")
-    keyed = child.select(F.col(child_key).alias("_hot_key")).filter(F.col("_hot_key").isNotNull())
-    hot = F.broadcast(hot_groups(keyed, ["_hot_key"], hot_rows))
-    spread = row_spread(child)
     key = F.col(child_key)
-    part = (
-        F.when(key.isNull(), F.pmod(spread, F.lit(NULL_SPREAD)))
-        .when(F.col("_splits").isNotNull(), F.pmod(spread, F.col("_splits")))
-        .otherwise(F.lit(0))
-        .cast("int")
-    )
-    routed = child.join(hot, key == F.col("_hot_key"), "left").select(
-        *child.columns, part.alias("_part")
-    )
-    targets = parent.join(hot, F.col(parent_key) == F.col("_hot_key"), "left").select(
-        *parent.columns, copies(F.col("_splits")).alias("_parent_part")
-    )
-    meet = (F.col(child_key) == F.col(parent_key)) & (F.col("_part") == F.col("_parent_part"))
-    return routed.join(targets, meet, "left").drop("_part", "_parent_part")
+    by_key = key == F.col(parent_key)
+    if hot_rows is None:
+        return child.join(parent, by_key, "left")
+    keyed = child.filter(key.isNotNull())
+    hot = F.broadcast(hot_groups(keyed.select(key.alias("_hot")), ["_hot"], hot_rows))
+    hot_parents = parent.join(hot, F.col(parent_key) == F.col("_hot"), "left_semi")
+    sent = hot.join(F.broadcast(hot_parents), F.col("_hot") == F.col(parent_key), "left")
+    columns = [*child.columns, *parent.columns]
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in parent.schema]
+    ordinary = keyed.join(hot, key == F.col("_hot"), "left_anti").join(parent, by_key, "left")
+    crowded = keyed.join(F.broadcast(sent), key == F.col("_hot")).select(*columns)
+    keyless = child.filter(key.isNull()).select(*child.columns, *absent)
+    return ordinary.select(*columns).union(crowded).union(keyless)
