@@ -5,9 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as registry
+from bindings.oracle import all_oracles
+from bindings.queries import all_queries
 from driver_tables import SF_DIR, connect, write_skewed
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables absent")
@@ -41,5 +43,10 @@ def test_query_equals_sql(spark, tables, name):
     assert mine
 
 
+def test_registry_holds_them():
+    assert set(QUERIES) <= set(registry.queries())
+    assert set(ORACLES) <= set(registry.oracle_sql())
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
