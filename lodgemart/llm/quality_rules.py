@@ -89,18 +89,20 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in X.slices(batch, "text"):
             parts = parsed(piece.column("text"))
-            found = [dict() for _ in range(piece.num_rows)]
+            all_keys: list[list] = [[] for _ in range(piece.num_rows)]
+            all_values: list[list] = [[] for _ in range(piece.num_rows)]
             for keys, bounds in feature_keys(*parts):
-                for row, mine in enumerate(found):
+                for row in range(piece.num_rows):
                     own = keys[bounds[row] : bounds[row + 1]]
-                    for k, n in zip(*np.unique(own, return_counts=True), strict=True):
-                        mine[int(k)] = mine.get(int(k), 0.0) + n / len(own)
+                    found, n = np.unique(own, return_counts=True)
+                    all_keys[row].append(found.astype(np.uint16))
+                    all_values[row].append((n / max(len(own), 1)).astype(np.float32))
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("id"),
                     piece.column("label"),
-                    pa.array([list(m) for m in found], pa.list_(pa.int32())),
-                    pa.array([list(m.values()) for m in found], pa.list_(pa.float64())),
+                    pa.array([np.concatenate(k).tobytes() for k in all_keys], pa.binary()),
+                    pa.array([np.concatenate(v).tobytes() for v in all_values], pa.binary()),
                 ],
                 ["id", "label", "keys", "values"],
             )
@@ -115,9 +117,9 @@ def fit(rows: list, rounds: int = 300) -> Model:
     held = np.arange(len(rows)) % 5 == 4
     if len(set(y[held])) < 2:
         held = np.ones(len(rows), bool)
-    sizes = np.array([len(r["keys"]) for r in rows])
-    keys = np.concatenate([np.asarray(r["keys"], np.int64) for r in rows] or [np.zeros(0, np.int64)])
-    values = np.concatenate([np.asarray(r["values"], float) for r in rows])
+    sizes = np.array([len(r["keys"]) // 2 for r in rows])
+    keys = np.frombuffer(b"".join(r["keys"] for r in rows), np.uint16)
+    values = np.frombuffer(b"".join(r["values"] for r in rows), np.float32)
     used, local = np.unique(keys, return_inverse=True)
     owner = np.repeat(np.arange(len(rows)), sizes)
     learn = ~held if not held.all() else held
@@ -182,7 +184,7 @@ def train(
     """The classifier, from sparse features of a bounded sample."""
     sample = labelled(docs, labels, id_col, text, label, train_rows)
     kind = dict(sample.dtypes)["id"]
-    rows = sample.mapInArrow(features, f"id {kind}, label int, keys array<int>, values array<double>")
+    rows = sample.mapInArrow(features, f"id {kind}, label int, keys binary, values binary")
     return fit(rows.collect())
 
 
