@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgemart.llm import chat_collapse, pfair_mix, quality_rules
+from lodgemart.llm import chat_collapse, pfair_mix, quality_rules, token_prefix
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs, model)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_prefix.count_tokens(load(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix_ids(load(spark, sf_dir, "documents"))
 
@@ -32,6 +38,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op3_quality_rules": op3_quality_rules,
+        "op4_token_counts": op4_token_counts,
         "op5_source_mixing": op5_source_mixing,
         "op8_chat_formatting": op8_chat_formatting,
     }
