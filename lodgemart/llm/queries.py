@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgemart.llm import chat_collapse, pfair_mix, quality_rules, token_prefix
+from lodgemart.llm import (
+    chat_collapse,
+    license_scan,
+    passage_attention,
+    pfair_mix,
+    quality_rules,
+    token_prefix,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,16 +38,28 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix_ids(load(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(load(spark, sf_dir, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_collapse.collapse_and_render(load(spark, sf_dir, "conversations"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = passage_attention.train(docs, load(spark, sf_dir, "labels"))
+    return passage_attention.score_documents(docs, model)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op3_quality_rules": op3_quality_rules,
         "op4_token_counts": op4_token_counts,
         "op5_source_mixing": op5_source_mixing,
+        "op7_license_scan": op7_license_scan,
         "op8_chat_formatting": op8_chat_formatting,
+        "op9_quality_classifier": op9_quality_classifier,
     }
 
 

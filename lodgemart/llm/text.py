@@ -106,3 +106,21 @@ def sums_by_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def char_grams(
+    buf: np.ndarray, offsets: np.ndarray, size: int, buckets: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets (a power of two) of all ``size``-byte n-grams within one text, and each text's bounds in them."""
+    n = max(len(buf) - size + 1, 0)
+    keys = np.full(n, size, np.uint64)
+    for k in range(size):
+        keys = keys * np.uint64(0x100000001B3) + buf[k : k + n]
+    keys = (mix(keys) >> np.uint64(65 - buckets.bit_length())).astype(np.int32)
+    if size == 1:
+        return keys, offsets
+    cut = np.zeros(len(buf) + 1, np.int32)
+    np.add.at(cut, offsets[1:-1], 1)
+    text = np.cumsum(cut)
+    inside = np.flatnonzero(text[:n] == text[size - 1 : size - 1 + n])
+    return keys[inside], np.searchsorted(inside, offsets)
