@@ -13,8 +13,10 @@ from lodgemart.llm import (
     passage_attention,
     pfair_mix,
     quality_rules,
+    repair_ids,
     token_prefix,
 )
+from lodgemart.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +54,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_attention.score_documents(docs, model)
 
 
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-ids")
+    repair_ids.write_ids(load(spark, sf_dir, "documents"), out, TOKENIZER)
+    return repair_ids.read_ids(spark, out, with_ids=False)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op3_quality_rules": op3_quality_rules,
@@ -60,6 +68,7 @@ def llm_queries() -> dict[str, Query]:
         "op7_license_scan": op7_license_scan,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_token_ids": op10_token_ids,
     }
 
 
