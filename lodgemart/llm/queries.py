@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodgemart.llm import (
     chat_collapse,
+    jaccard_join,
     license_scan,
     passage_attention,
     pfair_mix,
@@ -40,6 +41,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix_ids(load(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(load(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(load(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def llm_queries() -> dict[str, Query]:
         "op3_quality_rules": op3_quality_rules,
         "op4_token_counts": op4_token_counts,
         "op5_source_mixing": op5_source_mixing,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_license_scan": op7_license_scan,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_quality_classifier": op9_quality_classifier,
