@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodgemart.llm.common import ascii_lower, size_checked
+from lodgemart.llm.common import ascii_lower, row_key, size_checked
 
 GRAM = 4
 NEIGHBOUR = 3
@@ -156,14 +156,6 @@ def verified_spans(
     )
 
 
-def row_key(id_col: str, text: str) -> list[Column]:
-    """128 bits that rows of equal id and text share."""
-    return [
-        F.xxhash64(F.col(id_col), F.col(text)).alias("k1"),
-        F.xxhash64(F.lit(5), F.col(text), F.col(id_col)).alias("k2"),
-    ]
-
-
 def scan(
     docs: DataFrame,
     templates: dict[str, tuple[str, ...]] | None = None,

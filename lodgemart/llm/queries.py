@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodgemart.llm import (
     chat_collapse,
+    decontaminate,
     jaccard_join,
     license_scan,
     passage_attention,
@@ -27,6 +28,10 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = quality_rules.train(docs, load(spark, sf_dir, "labels"))
@@ -67,6 +72,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op3_quality_rules": op3_quality_rules,
         "op4_token_counts": op4_token_counts,
         "op5_source_mixing": op5_source_mixing,
