@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgemart.llm import (
+    attention_lm,
     chat_collapse,
     decontaminate,
     jaccard_join,
@@ -32,6 +33,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(load(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = quality_rules.train(docs, load(spark, sf_dir, "labels"))
@@ -73,6 +78,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_quality_rules": op3_quality_rules,
         "op4_token_counts": op4_token_counts,
         "op5_source_mixing": op5_source_mixing,
