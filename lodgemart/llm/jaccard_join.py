@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgemart.llm import text as X
-from lodgemart.llm.common import size_checked
+from lodgemart.llm.common import row_key, size_checked
 from lodgemart.llm.components import components, written
 
 SHINGLE = 5
@@ -322,16 +322,17 @@ def jaccard_components(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose id names their component, columns unchanged.
 
-    Rows without id are kept; of rows equal in id and text one is kept.
+    Rows without id are kept. Rows that share an id are one document: of those equal in text
+    too one is kept.
     """
     found = jaccard_components(docs, id_col, text, percent)
     dropped = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone")).distinct()
-    kept = docs.join(dropped, docs[id_col] == F.col("gone"), "left_anti")
-    key = [F.col(id_col).alias("k0"), F.xxhash64(F.col(text)).alias("k1"), F.xxhash64(F.lit(1), F.col(text)).alias("k2")]
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = kept.groupBy(*[F.col(id_col).alias("k")]).count().where("count > 1 and k is not null")
-    if again.isEmpty():
+    dropped = size_checked(written(dropped, "jaccard-dropped"), BROADCAST_SETS)
+    kept = docs.join(dropped, F.col(id_col) == F.col("gone"), "left_anti")
+    repeated = docs.groupBy(F.col(id_col).alias("id")).count().where("count > 1 and id is not null")
+    if repeated.isEmpty():
         return kept
-    one = kept.select(*key, row.alias("row"))
-    copies = one.where("k0 is not null").groupBy("k0", "k1", "k2").agg(F.any_value("row").alias("row"))
-    return copies.select("row.*").union(one.where("k0 is null").select("row.*"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = kept.select(F.col(id_col).alias("id"), *row_key(id_col, text), row)
+    one = keyed.where("id is not null").groupBy("k1", "k2").agg(F.any_value("row").alias("row"))
+    return one.select("row.*").union(keyed.where("id is null").select("row.*"))
