@@ -231,4 +231,4 @@ def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     found = leaks(docs, items, id_col, text).select(F.col("k1").alias("leak1"), F.col("k2").alias("leak2"))
     found = size_checked(written(found.distinct(), "leaked"), BROADCAST_TEXTS)
     key1, key2 = row_key(id_col, text)
-    return docs.join(found, (key1 == F.col("leak1")) & (key2 == F.col("leak2")), "left_anti")
+    return docs.join(found, (key1 == found["leak1"]) & (key2 == found["leak2"]), "left_anti")

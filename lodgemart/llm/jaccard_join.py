@@ -328,7 +328,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     found = jaccard_components(docs, id_col, text, percent)
     dropped = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone")).distinct()
     dropped = size_checked(written(dropped, "jaccard-dropped"), BROADCAST_SETS)
-    kept = docs.join(dropped, F.col(id_col) == F.col("gone"), "left_anti")
+    kept = docs.join(dropped, docs[id_col] == dropped["gone"], "left_anti")
     repeated = docs.groupBy(F.col(id_col).alias("id")).count().where("count > 1 and id is not null")
     if repeated.isEmpty():
         return kept

@@ -1,0 +1,121 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_cases import empty, odd, odd_rows, sf, texts  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+
+from lodgemart.llm import pieces, repair_ids, token_prefix  # noqa: E402
+from lodgemart.llm.queries import TOKENIZER, llm_queries  # noqa: E402
+from lodgemart.sources.scratch import scratch_path  # noqa: E402
+
+LIBRARY = tokenizers.Tokenizer.from_file(TOKENIZER)
+
+
+def ids_of(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+alphabet = st.sampled_from([*"ab e'rlvstmd \n\t.!é1日", "the", "ing", "  ", " <|endoftext|>", "'ll", "　", "\x1c"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(alphabet, max_size=25).map("".join), min_size=1, max_size=6))
+def test_ids_and_prefix_counts_equal_the_library(texts):
+    column = pa.array([None, *texts], pa.string())
+    ids, bounds = pieces.table_of(TOKENIZER).run(column)
+    counts, edges = pieces.table_of(TOKENIZER, token_prefix.PrefixTable).texts(column)
+    for k, text in enumerate(["", *texts]):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == ids_of(text)
+        expected = [len(ids_of(text[:n])) for n in range(1, len(text) + 1)]
+        assert counts[edges[k] : edges[k + 1]].tolist() == expected
+
+
+def test_counts_query(spark, sf, texts):
+    found = {r["doc_id"]: r for r in llm_queries()["op4_token_counts"](spark, sf).collect()}
+    assert len(found) == len(texts)
+    for doc, text in texts:
+        n = len(ids_of(text))
+        r = found[doc]
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(text.encode()), n, n > 1024)
+        if n > 1024:
+            assert len(ids_of(text[: r["limit_chars"]])) <= 1024
+        else:
+            assert r["limit_chars"] == len(text)
+
+
+def test_stored_counts_answer_cuts_and_budgets(spark, odd, odd_rows, empty):
+    stored = token_prefix.prefix_counts(odd.where("n_chars < 1000 or n_chars is null"), TOKENIZER)
+    asked = stored.select(
+        "counts", token_prefix.tokens_at(F.col("counts"), 3).alias("cut"),
+        token_prefix.chars_within(F.col("counts"), 2).alias("fit"),
+    ).collect()
+    short = [r[1] or "" for r in odd_rows if r[4] is None or r[4] < 1000]
+    expected = [[len(ids_of(t[:n])) for n in range(len(t) + 1)] for t in short]
+    assert sorted(r["counts"] for r in asked) == sorted(expected)
+    for r in asked:
+        assert r["cut"] == r["counts"][min(3, len(r["counts"]) - 1)]
+        assert r["fit"] == max(k for k, n in enumerate(r["counts"]) if n <= 2)
+    whole = token_prefix.count_tokens(odd, TOKENIZER).collect()
+    assert sorted(r["n_tokens"] for r in whole) == sorted(len(ids_of(r[1])) for r in odd_rows)
+    assert token_prefix.count_tokens(empty, TOKENIZER).count() == 0
+    assert token_prefix.prefix_counts(empty, TOKENIZER).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_grammar_round_trip(seed):
+    rng = np.random.default_rng(seed)
+    base = [50, 50_257, 70_000, 4][seed]
+    for ids in (
+        rng.integers(0, min(base, 9), 4_000),
+        np.tile([1, 1, 2], 500),
+        np.zeros(777),
+        rng.integers(0, base, 3),
+        np.zeros(0),
+    ):
+        ids = ids.astype(np.uint32)
+        symbols, rules, lengths = repair_ids.compress(ids, base, min_count=4, min_gain=0.0)
+        width = 2 if not len(symbols) or symbols.max() < 1 << 16 else 4
+        block = repair_ids.Block(
+            {
+                "base": base, "width": width, "rules": rules.tobytes(), "lengths": lengths.tobytes(),
+                "symbols": symbols.astype(f"<u{width}").tobytes(),
+            }
+        )
+        assert block.ids(0, len(ids)).tolist() == ids.tolist()
+        for _ in range(20):
+            a = random.randrange(len(ids) + 1)
+            b = random.randrange(a, len(ids) + 1)
+            assert block.ids(a, b).tolist() == ids[a:b].tolist()
+        if len(ids) > 1_000:
+            assert len(symbols) < 0.7 * len(ids)
+
+
+def test_ids_query(spark, sf, texts):
+    found = {r["doc_id"]: r for r in llm_queries()["op10_token_ids"](spark, sf).collect()}
+    start = 0
+    for doc, text in sorted(texts):
+        ids = [*ids_of(text), 0]
+        r = found[doc]
+        assert (r["start"], r["n_tokens"]) == (start, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
+def test_ids_of_odd_rows(spark, odd, odd_rows, empty):
+    out = scratch_path(spark, "odd-ids")
+    repair_ids.write_ids(odd, out, TOKENIZER)
+    found = repair_ids.read_ids(spark, out).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted([r[0] for r in odd_rows], key=lambda i: (i is not None, i))
+    assert sorted(r["ids"] for r in found) == sorted([*ids_of(r[1]), 0] for r in odd_rows)
+    assert [r["start"] for r in found] == np.cumsum([0, *[r["n_tokens"] for r in found]])[:-1].tolist()
+    out = scratch_path(spark, "no-ids")
+    repair_ids.write_ids(empty, out, TOKENIZER)
+    assert repair_ids.read_ids(spark, out).count() == 0
