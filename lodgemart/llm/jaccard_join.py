@@ -45,7 +45,7 @@ PERCENT = 80
 SUBSET = 2
 ZONE_SHARE = 4  # one shingle in so many lies in the counted zone
 LARGEST_BOUNDARY = 64
-BLOCK_SHINGLES = 1_500_000
+BLOCK_SHINGLES = 400_000
 #: Names of clustered sets that may be sent to all tasks; more are joined by shuffling.
 BROADCAST_SETS = 1_000_000
 
@@ -146,7 +146,10 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefixes(texts: DataFrame, percent: int) -> DataFrame:
-    """(c, n, keys): the shingles (f, h, extension) of each set's prefix that other rows hold too."""
+    """(c, n, base, keys): the shingles (kind, f, h) of each set's prefix that other rows hold too.
+
+    The first ``base`` of them lie in the prefix proper, the others in its extension for subsets.
+    """
     sent = texts.select("text").mapInArrow(_posted(percent), "h long, c long, meta long")
     held = sent.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     meta = F.col("meta")
@@ -158,27 +161,31 @@ def prefixes(texts: DataFrame, percent: int) -> DataFrame:
         "f",
         "h",
     )
-    # The kind comes first: shingles of the zone stand before all others.
+    # The kind comes first: shingles of the zone stand before all others, extensions last.
     keys = F.array_sort(F.collect_set(F.struct("kind", "f", "h")))
     sets = shared.groupBy("c", "n", "z").agg(keys.alias("all"))
-    inside = F.size(F.filter("all", lambda k: k["kind"] == IN_ZONE))
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+
+    def of_kind(kind: int) -> Column:
+        return F.size(F.filter("all", lambda k: k["kind"] == kind))
+
+    sets = sets.withColumns({"inside": of_kind(IN_ZONE), "outside": of_kind(OUT_OF_ZONE)})
     # Places of the prefix left after the zone's shingles that no other row holds.
-    room = (prefix - F.col("z") + inside).cast("int")
-    place = F.transform("all", lambda k, i: F.struct(k["f"].alias("f"), k["h"].alias("h"), (
-        F.when(k["kind"] == IN_ZONE, i >= room).otherwise(k["kind"] == EXTENSION)).alias("extension"), (
-        (k["kind"] != IN_ZONE) | (i < room + (SUBSET - 1))).alias("taken")))
-    return (
-        sets.select("c", "n", F.filter(place, lambda k: k["taken"]).alias("keys"))
-        .where(F.size("keys") > 0)
-        .select("c", "n", F.transform("keys", lambda k: F.struct(k["f"], k["h"], k["extension"])).alias("keys"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    sets = sets.withColumn("room", (prefix - F.col("z") + F.col("inside")).cast("int"))
+    base = F.when(F.col("room") <= F.col("inside"), F.greatest("room", F.lit(0))).otherwise(
+        F.col("inside") + F.col("outside")
+    )
+    longer = F.col("room") + (SUBSET - 1)
+    taken = F.when(longer <= F.col("inside"), F.greatest(longer, F.lit(0))).otherwise(F.size("all"))
+    return sets.withColumns({"base": base, "taken": taken}).where("taken > 0").select(
+        "c", "n", "base", F.slice("all", F.lit(1), F.col("taken")).alias("keys")
     )
 
 
 def cheapest_boundary(prefix: DataFrame) -> int:
     """The size up to which subsets cost less than inverted lists, over all sets; at most 64 rows are read."""
     m = F.size("keys").cast("long")
-    lists = F.aggregate("keys", F.lit(0).cast("long"), lambda s, k: s + k["f"])
+    lists = F.aggregate(F.slice("keys", F.lit(1), F.col("base")), F.lit(0).cast("long"), lambda s, k: s + k["f"])
     costs = (
         prefix.where(F.col("n") <= LARGEST_BOUNDARY)
         .groupBy("n")
@@ -195,8 +202,8 @@ def cheapest_boundary(prefix: DataFrame) -> int:
 
 def meetings(prefix: DataFrame, boundary: int, percent: int) -> DataFrame:
     """Edges (a, b) that tie each set to the first of every list or subset it is in."""
-    single = prefix.where(F.col("n") * 100 >= (boundary + 1) * percent).select(
-        "c", F.explode(F.filter("keys", lambda k: ~k["extension"])).alias("k")
+    single = prefix.where((F.col("base") > 0) & (F.col("n") * 100 >= (boundary + 1) * percent)).select(
+        "c", F.explode(F.slice("keys", F.lit(1), F.col("base"))).alias("k")
     )
     lists = single.select("c", F.xxhash64(F.lit(1), F.col("k.h")).alias("key"))
 
