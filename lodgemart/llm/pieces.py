@@ -43,7 +43,9 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     ends = np.cumsum(sizes)
     if not len(ends) or not ends[-1]:
         return flat[:0]
-    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])]
+    at = np.repeat(starts - ends + sizes, sizes)
+    at += np.arange(ends[-1])
+    return flat.take(at)
 
 
 def upto(sizes: np.ndarray) -> np.ndarray:
@@ -68,32 +70,29 @@ class Cuts:
                 classes[point] = classify(chr(point))
             kinds = classes[points]
         n = len(points)
+        begins = np.zeros(n + 4, bool)  # where a text begins
+        begins[self.texts] = True
         edge = np.ones(n + 1, bool)
-        edge[1:n] = kinds[1:] != kinds[:-1]
-        edge[self.texts] = True
-        runs = np.flatnonzero(edge)
-        last = runs[1:] - 1
-        white = last[kinds[last] == SPACE] if n else last
-        white = white[~np.isin(white + 1, self.texts)]  # white space with more text behind it
+        np.not_equal(kinds[1:], kinds[:-1], out=edge[1:n])
+        edge |= begins[: n + 1]
+        space = kinds == SPACE
+        white = np.flatnonzero(space & edge[1:] & ~begins[1 : n + 1])  # ends a run, more text behind it
         edge[white] = True
         edge[white[points[white] == 0x20] + 1] = False
-        quote = np.flatnonzero(edge[:n] & (points == 0x27))
-        quote = quote[(quote + 1 < n) & edge[np.minimum(quote + 1, n)]]
-        quote = quote[~np.isin(quote + 1, self.texts)]
-        padded = np.append(points, [0, 0, 0])
+        quote = np.flatnonzero(points == 0x27)
+        quote = quote[edge[quote] & edge[quote + 1] & ~begins[quote + 1] & (quote + 1 < n)]
+        padded = np.append(points, np.zeros(3, np.uint32))
         one, two = padded[quote + 1], padded[quote + 2]
         short = np.isin(one, [ord(c) for c in "stmd"])
         long = ((one == 0x72) | (one == 0x76)) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)
-        long &= ~np.isin(quote + 2, self.texts)
+        long &= ~begins[quote + 2]
         for at, size in ((quote[short], 2), (quote[long], 3)):
             edge[at + 1] = False
             edge[at + size] = True
-        # A letter run that a contraction has taken whole ends where the next run begins.
         self.chars = np.flatnonzero(edge)
         self.points = points
         self.first = np.searchsorted(self.chars, self.texts)
-        at = self.char_at[self.chars]
-        self.starts, self.ends = at[:-1], at[1:]
+        self.bounds = self.char_at[self.chars]
 
     def word(self, k: int) -> str:
         return self.string[self.chars[k] : self.chars[k + 1]]
@@ -132,39 +131,43 @@ class PieceTable:
 
     def lookup(self, cuts: Cuts) -> np.ndarray:
         """The place of each pre-token in the table; new ones are added."""
-        hashes = X.word_hashes(cuts.bytes, cuts.starts, cuts.ends)
-        codes, found = pd.factorize(hashes)
+        codes, found = pd.factorize(X.stretch_hashes(cuts.bytes, cuts.bounds))
         if not len(found):
             return codes
         if len(self.keys) + len(found) > MAX_PIECES:
             self.clear()
-        at = np.searchsorted(self.keys, found)
+        order = np.argsort(found)
+        ranked = found[order]
+        at = np.searchsorted(self.keys, ranked)
         known = np.zeros(len(found), bool)
         inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == found[inside]
-        place = np.zeros(len(found), np.int64)
-        place[known] = self.place[at[known]]
-        new = np.flatnonzero(~known)
+        known[inside] = self.keys[at[inside]] == ranked[inside]
+        place = np.empty(len(found), np.int64)
+        place[order[known]] = self.place[at[known]]
+        new = order[~known]
         if len(new):
             first = np.empty(len(found), np.int64)
             first[codes[::-1]] = np.arange(len(codes))[::-1]
             place[new] = len(self.bounds) - 1 + np.arange(len(new))
-            for stretch in self.values([cuts.word(k) for k in first[new]]):
+            ends = []
+            size = len(self.flat)
+            for stretch in self.values([cuts.word(k) for k in first[new].tolist()]):
                 self.flat.extend(stretch)
-                self.bounds.append(len(self.flat))
-            order = np.argsort(found[new])
-            spots = np.searchsorted(self.keys, found[new][order])
-            self.keys = np.insert(self.keys, spots, found[new][order])
-            self.place = np.insert(self.place, spots, place[new][order])
+                size += len(stretch)
+                ends.append(size)
+            self.bounds.extend(ends)
+            self.keys = np.insert(self.keys, at[~known], ranked[~known])
+            self.place = np.insert(self.place, at[~known], place[new])
         return place[codes]
 
-    def stretches(self, cuts: Cuts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The numbers of all pre-tokens in a row, the size of each stretch, the last number of each."""
+    def stretches(self, cuts: Cuts) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all pre-tokens in a row, and the size of each stretch of them."""
         place = self.lookup(cuts)
         at = np.frombuffer(self.bounds, np.int64)
         flat = np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.zeros(1, np.uint32)
-        sizes = at[place + 1] - at[place]
-        return gather(flat, at[place], sizes), sizes, flat[np.maximum(at[place + 1] - 1, 0)]
+        starts = at[place]
+        sizes = at[place + 1] - starts
+        return gather(flat, starts, sizes), sizes
 
     def cut(self, column: pa.Array) -> Cuts:
         return Cuts(column, self.classes, self.classify)
@@ -183,7 +186,7 @@ class PieceTable:
     def run(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row and the bounds of each text in them."""
         cuts = self.cut(column)
-        out, sizes, _ = self.stretches(cuts)
+        out, sizes = self.stretches(cuts)
         return self.patched(cuts, out, upto(sizes)[cuts.first])
 
 

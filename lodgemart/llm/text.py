@@ -74,17 +74,23 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    if not len(starts):
+def stretch_hashes(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of the stretches that ``bounds`` cut the bytes into, none of them empty."""
+    if len(bounds) < 2:
         return np.zeros(0, np.uint64)
-    sizes = ends - starts
-    first = np.zeros(len(sizes), np.int64)
-    np.cumsum(sizes[:-1], out=first[1:])
-    at = np.arange(first[-1] + sizes[-1]) - np.repeat(first, sizes)
-    values = _BYTE_KEYS[buf[at + np.repeat(starts, sizes)]]
+    sizes = np.diff(bounds)
+    at = np.arange(len(buf), dtype=np.int32)
+    at -= np.repeat(bounds[:-1].astype(np.int32), sizes)
+    values = _BYTE_KEYS[buf]
     values *= powers(int(sizes.max()))[at]
-    return mix(np.add.reduceat(values, first) + sizes.astype(np.uint64))
+    return mix(np.add.reduceat(values, bounds[:-1]) + sizes.astype(np.uint64))
+
+
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word; the words are all of ``buf`` but its white space."""
+    bounds = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=bounds[1:])
+    return stretch_hashes(buf[IS_WORD[buf]], bounds)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -114,8 +114,9 @@ class PrefixTable(P.PieceTable):
         return counts[bounds[0] : bounds[1]].tolist()
 
     def columns(self, cuts: P.Cuts) -> tuple[np.ndarray, np.ndarray]:
-        own, sizes, full = self.stretches(cuts)
-        own, full = own.astype(np.int64), P.upto(full)
+        own, sizes = self.stretches(cuts)
+        own = own.astype(np.int64)
+        full = P.upto(own[np.cumsum(sizes) - 1])
         of = np.repeat(np.arange(len(cuts.texts) - 1), np.diff(cuts.first))
         own += np.repeat(full[:-1] - full[cuts.first[:-1]][of], sizes)
         for run in WHITE_RUN.finditer(cuts.string):
