@@ -1,9 +1,9 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact check.
 
 1. Texts and items are words (ASCII lower case, punctuation cut off) and their 5-word shingles.
-   A window that is similar to an item holds one of its shingles, so windows are laid at all
-   places around the shingles that items and texts share (a join of all shingles): as many
-   words as the item has, or the whole text if that is shorter.
+   A window that is similar to an item holds some of its shingles at its head and at its tail, so
+   windows are laid at all places that fit the shingles that items and texts share (a join of
+   all shingles): as many words as the item has, or the whole text if that is shorter.
 2. Every window and every item gets a SimHash of ``BITS`` bits over its shingles, each counted
    as often as it occurs.
 3. The fingerprint is cut into ``RADIUS`` + 1 blocks. Two fingerprints that differ in at most
@@ -35,7 +35,6 @@ from lodgemart.llm.components import written
 SHINGLE = 5
 SIMILAR = 0.8
 BITS = 48
-LANES, LANE_BITS = 3, 16
 RADIUS = 15
 #: Rows of the item side, and names of texts with hits, that may be sent to all tasks.
 BROADCAST_SHINGLES = 500_000
@@ -63,35 +62,36 @@ def by_size(size: Column, sizes: list[int], make) -> Column:
     return F.coalesce(*[F.when(size == k, make(k)) for k in sizes])
 
 
-def simhash(grams: Column) -> Column:
-    """The fingerprint of a list of shingle hashes.
+def simhash(grams: Column, longest: int) -> Column:
+    """The fingerprint of a list of at most ``longest`` shingle hashes.
 
-    The counts of three bits stand in lanes of 16 bits of one number, so sixteen sums count
-    all bits; lists of up to 65,535 shingles fit.
+    The counts of several bits stand in lanes of one number, so a few sums count all bits.
+    The list is named once in the expression: where it is itself an expression, Spark would
+    work it out anew for every mention.
     """
-    mask = F.lit(sum(1 << (LANE_BITS * k) for k in range(LANES))).cast("long")
-    zero = F.struct(*[F.lit(0).cast("long").alias(f"c{j}") for j in range(LANE_BITS)])
+    width = max(longest, 1).bit_length()
+    lanes = 63 // width
+    sums = -(-BITS // lanes)
+    mask = F.lit(sum(1 << (width * k) for k in range(lanes))).cast("long")
+    names = [f"c{j}" for j in range(sums)]
+    zero = F.struct(*[F.lit(0).cast("long").alias(c) for c in [*names, "n"]])
 
     def add(acc: Column, h: Column) -> Column:
-        return F.struct(
-            *[
-                (acc[f"c{j}"] + F.shiftrightunsigned(h, j).bitwiseAND(mask)).alias(f"c{j}")
-                for j in range(LANE_BITS)
-            ]
-        )
+        added = [
+            (acc[c] + F.shiftrightunsigned(h, j).bitwiseAND(mask)).alias(c) for j, c in enumerate(names)
+        ]
+        return F.struct(*added, (acc["n"] + 1).alias("n"))
 
     def finish(acc: Column) -> Column:
-        n = F.size(grams)
-        low = F.lit((1 << LANE_BITS) - 1).cast("long")
+        low = F.lit((1 << width) - 1).cast("long")
         bits = [
             F.when(
-                F.shiftrightunsigned(acc[f"c{j}"], LANE_BITS * k).bitwiseAND(low) * 2 > n,
-                F.lit(1 << (LANE_BITS * k + j)).cast("long"),
+                F.shiftrightunsigned(acc[f"c{b % sums}"], width * (b // sums)).bitwiseAND(low) * 2 > acc["n"],
+                F.lit(1 << b).cast("long"),
             ).otherwise(F.lit(0).cast("long"))
-            for k in range(LANES)
-            for j in range(LANE_BITS)
+            for b in range(BITS)
         ]
-        return reduce(lambda a, b: a.bitwiseOR(b), bits)
+        return reduce(lambda x, y: x.bitwiseOR(y), bits)
 
     return F.aggregate(grams, zero, add, finish)
 
@@ -104,9 +104,11 @@ def block_masks(radius: int) -> list[int]:
 
 def blocked(df: DataFrame, radius: int) -> DataFrame:
     """One row per block of the fingerprint ``fp``."""
-    masks = F.array(*[F.lit(m).cast("long") for m in block_masks(radius)])
-    blocks = F.transform(masks, lambda m, k: F.struct(k.alias("block"), F.col("fp").bitwiseAND(m).alias("bits")))
-    return df.select("*", F.inline(blocks))
+    blocks = [
+        F.struct(F.lit(k).alias("block"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("bits"))
+        for k, m in enumerate(block_masks(radius))
+    ]
+    return df.select("*", F.inline(F.array(*blocks)))
 
 
 def occurrences(grams: Column) -> Column:
@@ -140,6 +142,33 @@ def shared_places(worded: DataFrame, items: DataFrame, sizes: list[int]) -> Data
     return reduce(DataFrame.union, found).join(known, "h").select("k1", "k2", "n", "m", "k", "at")
 
 
+def possible_windows(places: DataFrame, similar: float) -> DataFrame:
+    """(k1, k2, m, k, start) of the windows that can be similar to an item of m words.
+
+    At most a share of 1 - similar of such a window's shingles is not the item's, so a shared
+    one stands among that many and one more at its head, and as well at its tail.
+    """
+    last = F.greatest(F.col("n") - F.col("m"), F.lit(0))
+    held = F.least("m", "n") - F.col("k") + 1
+    foreign = F.floor(held * (1 - similar) + 1e-9).cast("int")
+
+    def starts(lowest: Column, highest: Column) -> Column:
+        low, high = F.greatest(lowest, F.lit(0)), F.least(highest, last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    head = starts(F.col("at") - foreign, F.col("at"))
+    tail = starts(F.col("at") - held + 1, F.col("at") - held + 1 + foreign)
+    key = ["k1", "k2", "m", "k", "start"]
+    laid = [
+        places.select(*key[:-1], F.explode(s).alias("start"), F.lit(side).alias("side"))
+        for side, s in enumerate((head, tail))
+    ]
+    return (
+        laid[0].union(laid[1]).groupBy(*key).agg(F.min("side").alias("a"), F.max("side").alias("b"))
+        .where("a < b").select(*key)
+    )
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -152,6 +181,8 @@ def leaks(
 ) -> DataFrame:
     """One row per text and item it holds: k1, k2 (the text's key), id, item, similarity, first_word, n_words."""
     item_rows, sizes = item_table(items, item_id, item_text)
+    item_rows = written(item_rows, "leak-items")
+    longest = item_rows.agg(F.max("m")).first()[0]
     if not sizes:
         schema = f"k1 long, k2 long, id {dict(docs.dtypes)[id_col]}, item {dict(items.dtypes)[item_id]}"
         empty = docs.sparkSession.createDataFrame([], schema + ", similarity double, first_word int, n_words int")
@@ -159,13 +190,8 @@ def leaks(
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), *row_key(id_col, text))
     worded = keyed.select("k1", "k2", words_of(F.col("text")).alias("words"))
     places = written(shared_places(worded, item_rows, sizes), "leak-places")
-    last = F.greatest(F.col("n") - F.col("m"), F.lit(0))
-    starts = F.sequence(
-        F.least(F.greatest(F.col("at") - F.col("m") + F.col("k"), F.lit(0)), last), F.least("at", last)
-    )
     around = (
-        places.select("k1", "k2", "m", "k", F.explode(starts).alias("start"))
-        .distinct()
+        possible_windows(places, similar)
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("m", "k", "start")).alias("windows"))
     )
@@ -180,8 +206,8 @@ def leaks(
     cut = F.least("m", "n") - F.col("k") + 1
     grams = by_size(F.col("k"), sizes, lambda k: F.slice(f"grams{k}", F.col("start") + 1, cut))
     windows = laid.select("k1", "k2", "id", "m", "start", F.least("m", "n").alias("n_words"), grams.alias("grams"))
-    windows = windows.select("*", simhash(F.col("grams")).alias("fp"))
-    searched = item_rows.select("item", "m", F.col("grams").alias("item_grams"), simhash(F.col("grams")).alias("fp"))
+    windows = windows.select("*", simhash(F.col("grams"), longest).alias("fp"))
+    searched = item_rows.select("item", "m", F.col("grams").alias("item_grams"), simhash(F.col("grams"), longest).alias("fp"))
     index = size_checked(blocked(searched, radius).withColumnRenamed("fp", "item_fp"), BROADCAST_BLOCKS)
     apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
     first = F.coalesce(*[F.when(apart.bitwiseAND(F.lit(m)) == 0, k) for k, m in enumerate(block_masks(radius))])
