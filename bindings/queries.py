@@ -190,8 +190,8 @@ def dq_orphan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_orphan_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``dq_orphan`` with every order of more than two lines treated as a hot key."""
-    return plain_numbers(_orphans(spark, sf_dir, hot_rows=2).drop("currency", "amount"))
+    """``dq_orphan`` with the lines of every order dealt over four places."""
+    return plain_numbers(_orphans(spark, sf_dir, splits=4).drop("currency", "amount"))
 
 
 def dq_over_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,12 +256,12 @@ def overlap_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlap_alerts_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``overlap_alerts`` on 16-day cells, every cell of more than two stays cut up."""
-    return kpi.overbooking_alerts(B.room_stays(spark, sf_dir), bucket_days=16, split_rows=2)
+    """``overlap_alerts`` on 64-day cells."""
+    return kpi.overbooking_alerts(B.room_stays(spark, sf_dir), bucket_days=64)
 
 
 def overlap_alerts_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``overlap_alerts`` on one-day cells, so that longer stays use the coarser levels."""
+    """``overlap_alerts`` on one-day cells, so that longer stays use the wider ones."""
     return kpi.overbooking_alerts(B.room_stays(spark, sf_dir), bucket_days=1)
 
 
@@ -295,7 +295,7 @@ def sentiment_score_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = B.load(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = spark.createDataFrame(list(B.LEXICON.items()), "word string, valence double")
     scored = score_by_join(
-        documents, "doc_id", lexicon, DOCUMENTS, broadcast_words=0, hot_rows=10_000
+        documents, "doc_id", lexicon, DOCUMENTS, broadcast_words=0, splits=4
     )
     return scored.drop("predicted_sentiment")
 

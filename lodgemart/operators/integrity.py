@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgemart.functions.quality import holds
-from lodgemart.operators.skew import HOT_ROWS, left_lookup
+from lodgemart.operators.skew import left_lookup
 
 
 def one_row_per_key(parent: DataFrame, key: str, carry: Mapping[str, str]) -> DataFrame:
@@ -34,15 +34,15 @@ def flag_orphans(
     parent_key: str,
     carry: Mapping[str, str],
     flag: str,
-    hot_rows: int | None = HOT_ROWS,
+    splits: int = 1,
 ) -> DataFrame:
     """Mark child rows without a parent and bring the parent's ``carry`` columns along.
 
     ``carry`` maps parent columns to their names in the result. A null child key is an
-    orphan. Every child row comes out exactly once.
+    orphan. Every child row comes out exactly once. ``splits``: see ``left_lookup``.
     """
     known = one_row_per_key(parent, parent_key, carry)
-    joined = left_lookup(child, known, child_key, "_parent_key", hot_rows)
+    joined = left_lookup(child, known, child_key, "_parent_key", splits)
     return joined.select(
         *child.columns, *carry.values(), F.col("_parent_key").isNull().alias(flag)
     )

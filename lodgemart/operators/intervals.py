@@ -1,12 +1,16 @@
 """Overlap self-join of half-open intervals ``[lo, hi)`` within a key.
 
 Two intervals overlap exactly when the later start lies inside the other interval. So
-one side of the join is the starts, one row each, and the other side is the intervals,
-one row per time cell they touch. A pair can only meet in the cell of that later start,
-hence once, and no distinct is needed.
-
-Cells keep the work near the size of the result. Joining on the key alone would compare
-all rows of a key with each other.
+one side of the join is the starts and the other side is the intervals, one row per time
+cell they touch. A pair can only meet in the cell of that later start, hence once, and no
+distinct is needed.
+
+Cells come in a fixed ladder of widths, and an interval uses the narrowest whose cells it
+touches only a few of, so rows that are compared lie close together and the work stays near
+the size of the result, however many rows a key has. What is longer than the ladder, or has
+no bound, goes to one cell for all time. The table is read twice, once for each side, and
+nothing is counted beforehand; a cell that is still large is split by adaptive execution,
+both sides of it.
 """
 
 from __future__ import annotations
@@ -17,22 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgemart.operators.skew import hot_grid, hot_groups, on_grid, repeat_rows
 from lodgemart.schemas import column_type
 
-# Cells of level n are bucket_days * GROWTH**n days wide. An interval lives on the
-# finest level where it touches at most GROWTH + 1 cells, so a stay that ends in the
-# year 9999 costs no more rows than a short one. Levels below 0 are for crowded keys;
-# 64 days make the lowest of them one day.
-BUCKET_DAYS = 64
-GROWTH = 8
-
-# A key with more rows than this uses cells below bucket_days too, and a cell with more
-# rows than this is cut into a grid of tasks.
-SPLIT_ROWS = 20_000
-
-_CELL = ["_key", "_level", "_cell"]
-_STAY = ["_key", "_id", "_lo", "_hi", "_first", "_last"]
+# Widths of the ladder: bucket_days, bucket_days * GROWTH; an interval touches at most
+# GROWTH + 1 cells, so a stay that ends in the year 9999 costs no more rows than a short one.
+BUCKET_DAYS = 16
+GROWTH = 16
+RUNGS = 2
 
 
 @dataclass(frozen=True)
@@ -40,19 +35,11 @@ class _Clock:
     """Positions in time as whole units: days for dates, seconds for timestamps."""
 
     kind: T.DataType
-    bucket_days: int
-
-    @property
-    def bucket(self) -> int:
-        return self.bucket_days * (1 if isinstance(self.kind, T.DateType) else 86_400)
+    bucket_days: float
 
-    @property
-    def finest(self) -> int:
-        """The lowest level whose cells are not narrower than a unit."""
-        level = 0
-        while self.bucket / GROWTH ** (1 - level) >= 1:
-            level -= 1
-        return level
+    def width(self, rung: int) -> int:
+        unit = 1 if isinstance(self.kind, T.DateType) else 86_400
+        return max(1, round(self.bucket_days * unit)) * GROWTH**rung
 
     def unit(self, moment: Column) -> Column:
         if isinstance(self.kind, T.DateType):
@@ -69,111 +56,38 @@ class _Clock:
             return F.unix_date(hi) - 1
         return self.unit(hi - F.expr("INTERVAL '0.000001' SECOND"))
 
-    def level(self, units: Column, lowest: int) -> Column:
-        """The finest level, from ``lowest`` up, where so many units fit GROWTH cells."""
-        needed = F.ceil(F.log(float(GROWTH), units / self.bucket)) - 1
-        return F.greatest(F.lit(lowest), needed).cast("int")
+    def cell(self, unit: Column, rung: int) -> Column:
+        return F.floor(unit / self.width(rung)).cast("bigint")
 
-    def cell(self, unit: Column, level: Column) -> Column:
-        width = F.lit(float(self.bucket)) * F.pow(F.lit(float(GROWTH)), level)
-        return F.floor(unit / width)
+    def covered(self, first: Column, last: Column) -> Column:
+        """(rung, cell) of all cells an interval touches on its own rung."""
 
+        def on(rung: int) -> Column:
+            cells = F.sequence(self.cell(first, rung), self.cell(last, rung))
+            return F.transform(cells, lambda c: _place(F.lit(rung), c))
 
-def _tagged(columns: list[str], tag: str) -> list[Column]:
-    """Key and routing columns as they are, the stay's own with its side's tag."""
-    shared = ("_key", "_spread")
-    return [F.col(c) if c in shared else F.col(c).alias(c + tag) for c in columns]
+        found = F.when((last - first) <= GROWTH * self.width(0), on(0))
+        for rung in range(1, RUNGS):
+            found = found.when((last - first) <= GROWTH * self.width(rung), on(rung))
+        return found.otherwise(F.array(_place(F.lit(RUNGS), F.lit(0).cast("bigint"))))
 
+    def started(self, first: Column) -> Column:
+        """(rung, cell) of a start on every rung."""
+        ladder = [_place(F.lit(r), self.cell(first, r)) for r in range(RUNGS)]
+        return F.array(*ladder, _place(F.lit(RUNGS), F.lit(0).cast("bigint")))
 
-def _in_cells(stays: DataFrame, clock: _Clock, lowest: int) -> tuple[DataFrame, DataFrame]:
-    """The intervals, once per cell they touch, and the starts, once per level in use."""
-    carried = [c for c in stays.columns if c not in ("_first", "_last")]
-    span = F.col("_last") - F.col("_first")
-    placed = stays.withColumn("_own", clock.level(span, lowest))
-    # A handful of level numbers, as a scalar subquery.
-    levels = placed.agg(F.sort_array(F.collect_set("_own"))).scalar()
-    cells = F.sequence(
-        clock.cell(F.col("_first"), F.col("_own")), clock.cell(F.col("_last"), F.col("_own"))
-    )
-    covers = placed.select(
-        *_tagged(carried, "_a"), F.col("_own").alias("_level"), F.explode(cells).alias("_cell")
-    )
-    starts = placed.select(
-        *_tagged(carried, "_b"), "_first", F.explode(levels).alias("_level")
-    ).withColumn("_cell", clock.cell(F.col("_first"), F.col("_level")))
-    return covers, starts
+
+def _place(rung: Column, cell: Column) -> Column:
+    return F.struct(rung.alias("_rung"), cell.alias("_cell"))
 
 
 def _start_inside() -> Column:
     """The b side starts inside the a side; on equal starts the lower id is a."""
-    earlier = F.col("_lo_a") < F.col("_lo_b")
+    earlier = F.col("_lo_a").isNull() | (F.col("_lo_a") < F.col("_lo_b"))
     tied = (F.col("_lo_a") == F.col("_lo_b")) & (F.col("_id_a") < F.col("_id_b"))
-    inside = F.col("_lo_b") < F.col("_hi_a")
-    return inside & (F.col("_id_a") != F.col("_id_b")) & (earlier | tied)
-
-
-def _tally(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact row counts of both sides per group."""
-    both = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).union(
-        right.select(*keys, F.lit(0), F.lit(1))
-    )
-    return both.groupBy(*keys).agg(F.sum("_l").alias("_left"), F.sum("_r").alias("_right"))
-
-
-def _grid_join(
-    left: DataFrame, right: DataFrame, tally: DataFrame, keys: list[str], split_rows: int
-) -> DataFrame:
-    """Equi-join on ``keys``, groups that ``tally`` shows to be large cut into a grid."""
-    grid = hot_grid(tally, keys, split_rows)
-    left = on_grid(left, grid, keys, "_rows", "_cols")
-    right = on_grid(right, grid, keys, "_cols", "_rows")
-    return left.hint("merge").join(right, [*keys, "_row", "_col"])
-
-
-def _calm_pairs(stays: DataFrame, clock: _Clock) -> DataFrame:
-    covers, starts = _in_cells(stays, clock, 0)
-    # The pairs may far outnumber the rows: shuffled, they are made by all tasks.
-    return covers.hint("merge").join(starts, _CELL).filter(_start_inside())
-
-
-def _crowded_pairs(stays: DataFrame, clock: _Clock, split_rows: int) -> DataFrame:
-    """For keys with very many rows.
-
-    Copies of a row are joined once and repeated afterwards, and the cells start at the
-    finest level: nearly every comparison then yields a pair.
-    """
-    single = stays.groupBy(*_STAY).agg(
-        F.count(F.lit(1)).alias("_copies"), F.xxhash64("_id", "_lo", "_hi").alias("_spread")
-    )
-    covers, starts = _in_cells(single, clock, clock.finest)
-    met = _grid_join(covers, starts, _tally(covers, starts, _CELL), _CELL, split_rows)
-    return repeat_rows(met.filter(_start_inside()), F.col("_copies_a") * F.col("_copies_b"))
-
-
-def _open_pairs(stays: DataFrame, split_rows: int) -> DataFrame:
-    """Pairs with at least one interval that lacks a bound and so reaches without end.
-
-    Only two combinations give an overlap with two bounds: a loose interval with a dated
-    one, and one without start with one without end. Others are never compared.
-    """
-    single = stays.groupBy("_key", "_id", "_lo", "_hi").agg(
-        F.count(F.lit(1)).alias("_copies"), F.xxhash64("_id", "_lo", "_hi").alias("_spread")
-    )
-    no_lo, no_hi = F.col("_lo").isNull(), F.col("_hi").isNull()
-    sides = [
-        (single.filter(no_lo | no_hi), single.filter(F.col("_lo") < F.col("_hi"))),
-        (single.filter(no_lo & ~no_hi), single.filter(no_hi & ~no_lo)),
-    ]
-    meet = (F.col("_id_a") != F.col("_id_b")) & (
-        F.greatest("_lo_a", "_lo_b") < F.least("_hi_a", "_hi_b")
-    )
-    found = []
-    for loose, partners in sides:
-        left = loose.select(*_tagged(loose.columns, "_a"))
-        right = partners.select(*_tagged(partners.columns, "_b"))
-        tally = _tally(loose, partners, ["_key"])
-        found.append(_grid_join(left, right, tally, ["_key"], split_rows).filter(meet))
-    return repeat_rows(found[0].union(found[1]), F.col("_copies_a") * F.col("_copies_b"))
+    inside = F.col("_hi_a").isNull() | (F.col("_lo_b") < F.col("_hi_a"))
+    bounded = F.col("_hi_a").isNotNull() | F.col("_hi_b").isNotNull()
+    return inside & bounded & (F.col("_id_a") != F.col("_id_b")) & (earlier | F.coalesce(tied, F.lit(False)))
 
 
 def overlaps(
@@ -182,9 +96,8 @@ def overlaps(
     id: str,
     lo: str,
     hi: str,
-    bucket_days: int = BUCKET_DAYS,
+    bucket_days: float = BUCKET_DAYS,
     null_bounds: str = "drop",
-    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """All pairs of rows with one key, different ids and overlapping intervals.
 
@@ -195,8 +108,7 @@ def overlaps(
     ``null_bounds="drop"`` leaves out rows without both bounds; ``"open"`` takes a
     missing bound as unlimited, and a pair counts if the overlap itself has two bounds.
 
-    ``bucket_days`` is the cell width for keys of up to ``split_rows`` rows; no task
-    compares more than ``split_rows`` intervals with as many starts of one cell.
+    ``bucket_days`` is the narrowest cell width; a fraction of a day is possible for timestamps.
     """
     if null_bounds not in ("drop", "open"):
         raise ValueError(f"null_bounds is 'drop' or 'open', not {null_bounds!r}")
@@ -207,23 +119,22 @@ def overlaps(
         F.col(lo).alias("_lo"),
         F.col(hi).alias("_hi"),
     ).filter(F.col("_key").isNotNull() & F.col("_id").isNotNull())
-    columns = [
+    ordered = F.col("_lo") < F.col("_hi")
+    if null_bounds == "open":
+        ordered = ordered | F.col("_lo").isNull() | F.col("_hi").isNull()
+    stays = stays.filter(ordered)
+    first, last = clock.unit(F.col("_lo")), clock.last_unit(F.col("_hi"))
+    own = ("_id", "_lo", "_hi")
+    covers = stays.select("_key", *[F.col(c).alias(f"{c}_a") for c in own], F.inline(clock.covered(first, last)))
+    starts = stays.filter(F.col("_lo").isNotNull()).select(
+        "_key", *[F.col(c).alias(f"{c}_b") for c in own], F.inline(clock.started(first))
+    )
+    # The pairs may far outnumber the rows: shuffled, they are made by all tasks.
+    met = covers.hint("merge").join(starts, ["_key", "_rung", "_cell"]).filter(_start_inside())
+    return met.select(
         F.col("_key").alias(key),
         F.least("_id_a", "_id_b").alias(f"{id}_1"),
         F.greatest("_id_a", "_id_b").alias(f"{id}_2"),
         F.greatest("_lo_a", "_lo_b").alias("overlap_start"),
         F.least("_hi_a", "_hi_b").alias("overlap_end"),
-    ]
-    dated = stays.filter(F.col("_lo") < F.col("_hi")).select(
-        "*",
-        clock.unit(F.col("_lo")).alias("_first"),
-        clock.last_unit(F.col("_hi")).alias("_last"),
     )
-    crowded = F.broadcast(hot_groups(dated, ["_key"], split_rows))
-    calm_rows = dated.join(crowded, "_key", "left_anti")
-    crowded_rows = dated.join(crowded, "_key", "left_semi")
-    pairs = _calm_pairs(calm_rows, clock).select(*columns)
-    pairs = pairs.union(_crowded_pairs(crowded_rows, clock, split_rows).select(*columns))
-    if null_bounds == "open":
-        pairs = pairs.union(_open_pairs(stays, split_rows).select(*columns))
-    return pairs

@@ -5,103 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this does not go to one task.
-HOT_ROWS = 200_000
+from lodgemart.schemas import comparable
 
-# Rows of the broadcast list of hot groups. A group beyond the list is smaller than
-# HOT_LIST others, so it costs less than one part in HOT_LIST of the whole job and needs
-# no splitting; it takes the ordinary path with the same result.
-HOT_LIST = 50_000
+# Rows without a key match nothing; they are dealt over so many places instead of one.
+KEYLESS_PLACES = 1_024
 
-def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """The groups with more than ``hot_rows`` rows, hottest first, at most HOT_LIST.
 
-    The counts are exact and the order is total, so every evaluation gives the same
-    list: all branches that split rows by it must agree.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counted.filter(F.col("_rows") > hot_rows)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(HOT_LIST)
-        .select(*keys)
-    )
-
-
-def copies(splits: Column) -> Column:
-    """One output row per split number."""
-    return F.explode(F.sequence(F.lit(0), F.coalesce(splits, F.lit(1)) - 1))
-
-
-def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
-    """Every row ``times`` times, in blocks so that no array grows with ``times``."""
-    block = 4096
-    blocks = df.withColumn("_times", times).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / block)))
-    )
-    in_block = F.least(F.lit(block), F.col("_times") - F.col("_block") * block)
-    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), in_block))).drop(
-        "_times", "_block", "_copy"
-    )
-
-
-def hot_grid(tally: DataFrame, keys: list[str], split_rows: int) -> DataFrame:
-    """(keys, _rows, _cols): into how many parts each side of a hot group is cut.
-
-    ``tally`` holds the exact counts ``_left`` and ``_right`` per group. A part of one
-    side meets every part of the other, so each pair of rows still meets exactly once.
-    """
-    def parts(side: str) -> Column:
-        return F.greatest(F.ceil(F.col(side) / split_rows), F.lit(1)).cast("int")
-
-    return (
-        tally.filter((F.col("_left") > split_rows) | (F.col("_right") > split_rows))
-        .orderBy((F.col("_left") + F.col("_right")).desc(), *keys)
-        .limit(HOT_LIST)
-        .select(*keys, parts("_left").alias("_rows"), parts("_right").alias("_cols"))
-    )
-
-
-def on_grid(df: DataFrame, grid: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
-    """Place rows on the grid: one part of the ``own`` axis, every part of the ``other``.
-
-    ``own`` and ``other`` are "_rows" and "_cols" for the left side of the join, the
-    reverse for the right; the places come out as ``_row`` and ``_col``. Rows of
-    ordinary groups stay single, at (0, 0). ``df`` brings its ``_spread`` along.
-    """
-    place = {"_rows": "_row", "_cols": "_col"}
-    part = F.pmod(F.col("_spread"), F.coalesce(F.col(own), F.lit(1))).cast("int")
-    kept = [c for c in df.columns if c != "_spread"]
-    return df.join(F.broadcast(grid), keys, "left").select(
-        *kept, part.alias(place[own]), copies(F.col(other)).alias(place[other])
-    )
+def row_hash(df: DataFrame) -> Column:
+    """A number that depends on the row alone, so that a repeated task deals rows as before."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if comparable(f.dataType)])
 
 
 def left_lookup(
-    child: DataFrame,
-    parent: DataFrame,
-    child_key: str,
-    parent_key: str,
-    hot_rows: int | None = HOT_ROWS,
+    child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, splits: int = 1
 ) -> DataFrame:
-    """``child`` left join ``parent``, whose key must be unique; parent names must be new.
+    """``child`` left join ``parent``, whose key must be unique and not null; parent names must be new.
 
-    Child rows of a key with more than ``hot_rows`` rows, and rows without a key, are not
-    shuffled: they stay in the tasks that read them. The few parent rows of such keys are
-    sent there. All other rows are joined by key. ``None`` leaves skew to adaptive
-    execution.
+    Each side is read once. Rows meet by key and place: rows without a key are spread over
+    many places, and both sides come out of a shuffle of the join's own, which adaptive
+    execution can split where a key has too many rows. With ``splits`` above 1 every key is
+    dealt over that many places and each parent row is repeated for them, which needs no
+    adaptive execution.
     """
-    key = F.col(child_key)
-    by_key = key == F.col(parent_key)
-    if hot_rows is None:
-        return child.join(parent, by_key, "left")
-    keyed = child.filter(key.isNotNull())
-    hot = F.broadcast(hot_groups(keyed.select(key.alias("_hot")), ["_hot"], hot_rows))
-    hot_parents = parent.join(hot, F.col(parent_key) == F.col("_hot"), "left_semi")
-    sent = hot.join(F.broadcast(hot_parents), F.col("_hot") == F.col(parent_key), "left")
-    columns = [*child.columns, *parent.columns]
-    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in parent.schema]
-    ordinary = keyed.join(hot, key == F.col("_hot"), "left_anti").join(parent, by_key, "left")
-    crowded = keyed.join(F.broadcast(sent), key == F.col("_hot")).select(*columns)
-    keyless = child.filter(key.isNull()).select(*child.columns, *absent)
-    return ordinary.select(*columns).union(crowded).union(keyless)
+    key, dealt = F.col(f"`{child_key}`"), row_hash(child)
+    place = F.when(key.isNull(), F.pmod(dealt, F.lit(KEYLESS_PLACES))).otherwise(
+        F.pmod(dealt, F.lit(splits))
+    )
+    if splits > 1:
+        parent_place = F.explode(F.array(*[F.lit(n).cast("bigint") for n in range(splits)]))
+    else:  # always 0, but not for the optimizer, which would drop it from the key
+        parent_place = F.pmod(F.xxhash64(parent_key), F.lit(1))
+    placed = child.withColumn("_place", place)
+    known = parent.withColumn("_parent_place", parent_place)
+    same = (key == F.col(f"`{parent_key}`")) & (F.col("_place") == F.col("_parent_place"))
+    return placed.join(known, same, "left").drop("_place", "_parent_place")

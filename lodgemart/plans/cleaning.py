@@ -20,7 +20,6 @@ from lodgemart.operators.rules import (
     parse_date,
     swap_inverted,
 )
-from lodgemart.operators.skew import HOT_ROWS
 from lodgemart.schemas import SENTINEL_COUNTRY, VALID_CURRENCIES, Columns, find_column
 
 PARENT_TOTAL = "bk_total_amount"
@@ -95,7 +94,7 @@ def clean_payments(
     cols: Columns = Columns(),
     strict: bool = False,
     currencies: Sequence[str] = VALID_CURRENCIES,
-    hot_rows: int | None = HOT_ROWS,
+    splits: int = 1,
 ) -> DataFrame:
     """Mark payments without a booking, above its total, or in an unknown currency.
 
@@ -111,7 +110,7 @@ def clean_payments(
         parent_key=cols.booking_id,
         carry={cols.total: PARENT_TOTAL},
         flag="dq_orphan_payment",
-        hot_rows=hot_rows,
+        splits=splits,
     )
     compare = partial(
         flag_over,

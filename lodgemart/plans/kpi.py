@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgemart.operators.intervals import BUCKET_DAYS, SPLIT_ROWS, overlaps
+from lodgemart.operators.intervals import BUCKET_DAYS, overlaps
 from lodgemart.schemas import (
     STATUS_CANCELLED,
     STATUS_CONFIRMED,
@@ -121,9 +121,8 @@ def overbooking_alerts(
     bookings: DataFrame,
     cols: Columns = Columns(),
     exclude_status: Sequence[str] = (),
-    bucket_days: int = BUCKET_DAYS,
+    bucket_days: float = BUCKET_DAYS,
     null_bounds: str = "drop",
-    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Pairs of bookings of one room whose stays overlap.
 
@@ -134,7 +133,7 @@ def overbooking_alerts(
         bookings = bookings.filter(kept)
     return overlaps(
         bookings, cols.room_id, cols.booking_id, cols.checkin, cols.checkout,
-        bucket_days, null_bounds, split_rows,
+        bucket_days, null_bounds,
     )
 
 

@@ -14,7 +14,7 @@ from lodgemart.functions.sentiment import (
     sentiment_score,
 )
 from lodgemart.operators.integrity import one_row_per_key
-from lodgemart.operators.skew import HOT_ROWS, left_lookup
+from lodgemart.operators.skew import left_lookup
 from lodgemart.schemas import Columns
 
 # A lexicon up to this size is sent whole to every task: some tens of megabytes.
@@ -52,7 +52,7 @@ def score_by_join(
     word: str = "word",
     valence: str = "valence",
     broadcast_words: int = BROADCAST_WORDS,
-    hot_rows: int | None = HOT_ROWS,
+    splits: int = 1,
 ) -> DataFrame:
     """(key, score, label) for a lexicon of any size, of single words.
 
@@ -70,7 +70,7 @@ def score_by_join(
     if lexicon.limit(broadcast_words + 1).count() <= broadcast_words:
         found = words.join(F.broadcast(entries), F.col("_token") == F.col("_parent_key"), "left")
     else:
-        found = left_lookup(words, entries, "_token", "_parent_key", hot_rows)
+        found = left_lookup(words, entries, "_token", "_parent_key", splits)
     score = F.coalesce(F.sum("_valence"), F.lit(0.0))
     return found.groupBy(key).agg(score.alias(SCORE)).withColumn(LABEL, sentiment_label(SCORE))
 

@@ -4,7 +4,7 @@ import pytest
 
 from conftest import rows
 from lodgemart.operators.integrity import flag_orphans, flag_over, one_row_per_key
-from lodgemart.operators.skew import hot_groups, left_lookup
+from lodgemart.operators.skew import left_lookup
 from lodgemart.plans.cleaning import clean_payments
 
 PAYMENTS = "payment_id string, booking_id string, amount decimal(12,2), currency string"
@@ -24,8 +24,8 @@ def bookings(spark, *cases):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1, 2, 1_000_000])
-def test_payment_flags(spark, hot_rows):
+@pytest.mark.parametrize("splits", [1, 2, 7])
+def test_payment_flags(spark, splits):
     child = payments(
         spark,
         ("match", "b1", "10.00", "EUR"),
@@ -40,7 +40,7 @@ def test_payment_flags(spark, hot_rows):
     parent = bookings(
         spark, ("b1", "100.00"), ("b2", None), ("b3", "40.00"), ("b3", "60.00"), (None, "1.00")
     )
-    out = clean_payments(child, parent, hot_rows=hot_rows)
+    out = clean_payments(child, parent, splits=splits)
     assert out.columns == [
         "payment_id", "booking_id", "amount", "currency", "bk_total_amount",
         "dq_orphan_payment", "dq_over_amount", "dq_invalid_currency",
@@ -96,33 +96,63 @@ def skewed(spark):
     return child, parent
 
 
-def test_left_lookup_equals_a_left_join(spark, skewed):
+@pytest.mark.parametrize("splits", [1, 5])
+def test_left_lookup_equals_a_left_join(spark, skewed, splits):
     child, parent = skewed
     plain = child.join(parent, child.k == parent.pk, "left")
-    assert rows(left_lookup(child, parent, "k", "pk", hot_rows=50)) == rows(plain)
+    assert rows(left_lookup(child, parent, "k", "pk", splits)) == rows(plain)
 
 
-def test_hot_groups_are_exact_and_ordered(spark, skewed):
-    child, _ = skewed
-    found = hot_groups(child.filter("k is not null"), ["k"], 50).collect()
-    assert [tuple(r) for r in found] == [("hot",)]
+def _sizes(spark, child, parent, splits, **conf):
+    """Rows in each task of the joined table."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"} | conf
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = left_lookup(child, parent, "k", "pk", splits)
+        return [n for _, n in joined.groupBy(_task()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def test_hot_and_keyless_rows_are_spread_over_the_tasks(spark, skewed):
+def test_splits_spread_hot_and_keyless_rows(spark, skewed):
     child, parent = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
-        joined = left_lookup(child, parent, "k", "pk", hot_rows=50)
-        sizes = [n for _, n in joined.groupBy(_task()).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    child = child.withColumn("v", child.v * 1000 + spark_id())
+    sizes = _sizes(spark, child, parent, 32, **{"spark.sql.adaptive.enabled": "false"})
+    assert sum(sizes) == 3000 and max(sizes) < 600
+
+
+def test_adaptive_execution_splits_a_hot_key(spark, skewed):
+    """The join stands right on its own shuffles, so a hot key's rows go to several tasks."""
+    child, parent = skewed
+    child = child.withColumn("v", child.v * 1000 + spark_id())
+    unique = one_row_per_key(parent, "pk", {"w": "w"}).withColumnRenamed("_parent_key", "pk")
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    sizes = _sizes(spark, child, unique, 1, **small)
     assert sum(sizes) == 3000 and max(sizes) < 600
 
 
+def test_one_read_of_each_side(spark, tmp_path, skewed):
+    for name, table in zip(("child", "parent"), skewed):
+        table.write.parquet(str(tmp_path / name))
+    child, parent = (spark.read.parquet(str(tmp_path / name)) for name in ("child", "parent"))
+    out = flag_orphans(child, parent, "k", "pk", {"w": "pw"}, "orphan")
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def spark_id():
+    from pyspark.sql import functions as F
+
+    return F.monotonically_increasing_id() % 997
+
+
 def _task():
     from pyspark.sql import functions as F
 

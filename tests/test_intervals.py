@@ -7,7 +7,6 @@ from hypothesis import strategies as st
 
 from conftest import rows
 from lodgemart.operators.intervals import overlaps
-from lodgemart.operators.skew import repeat_rows
 from lodgemart.plans.kpi import overbooking_alerts
 
 DAY0 = date(2024, 1, 1)
@@ -72,18 +71,18 @@ LOOSE = [
 ]
 
 
-@pytest.mark.parametrize("bucket_days, split_rows", [(1, 20_000), (8, 1), (8, 20_000), (16, 2)])
-def test_fixture(spark, bucket_days, split_rows):
-    got = spark_pairs(spark, FIXTURE, bucket_days=bucket_days, split_rows=split_rows)
+@pytest.mark.parametrize("bucket_days", [1, 8, 16, 1000])
+def test_fixture(spark, bucket_days):
+    got = spark_pairs(spark, FIXTURE, bucket_days=bucket_days)
     assert got == brute(FIXTURE)
     assert ("r1", "touch1", "touch2") not in {p[:3] for p in got}
 
 
-@pytest.mark.parametrize("split_rows", [1, 20_000])
-def test_missing_bounds(spark, split_rows):
+@pytest.mark.parametrize("bucket_days", [1, 16])
+def test_missing_bounds(spark, bucket_days):
     stays = FIXTURE + LOOSE
-    assert spark_pairs(spark, stays, split_rows=split_rows) == brute(FIXTURE)
-    opened = spark_pairs(spark, stays, split_rows=split_rows, null_bounds="open")
+    assert spark_pairs(spark, stays, bucket_days=bucket_days) == brute(FIXTURE)
+    opened = spark_pairs(spark, stays, bucket_days=bucket_days, null_bounds="open")
     assert opened == brute(stays, "open")
     assert len(opened) > len(brute(FIXTURE))
 
@@ -100,28 +99,27 @@ def _random_dates(seed, n):
         yield (f"r{max(0, rng.randrange(-6, 4))}", f"b{i % (n - 3):03}", day(lo), day(lo + rng.choice([0, 1, 2, 7, 30, 300])))
 
 
-@pytest.mark.parametrize("split_rows", [3, 20_000])
-def test_random_stays_with_one_crowded_room(spark, split_rows):
+@pytest.mark.parametrize("bucket_days", [1, 16])
+def test_random_stays_with_one_crowded_room(spark, bucket_days):
     stays = list(_random_dates(7, 250))
-    assert spark_pairs(spark, stays, split_rows=split_rows) == brute(stays)
+    assert spark_pairs(spark, stays, bucket_days=bucket_days) == brute(stays)
 
 
 @pytest.mark.parametrize("schema", [TIMES, TIMES.replace("timestamp_ntz", "timestamp")])
-@pytest.mark.parametrize("split_rows", [3, 20_000])
-def test_random_times(spark, schema, split_rows):
+@pytest.mark.parametrize("bucket_days", [1 / 24, 16])
+def test_random_times(spark, schema, bucket_days):
     rng = Random(3)
     stays = []
     for i in range(150):
         lo = datetime(1969, 12, 30) + timedelta(seconds=rng.randrange(400_000), microseconds=rng.choice([0, 1, 999_999]))
         length = rng.choice([0, 0.000001, 1, 59, 3600, 86_400, 900_000])
         stays.append((f"r{rng.randrange(2)}", f"b{i:03}", lo, lo + timedelta(seconds=length)))
-    assert spark_pairs(spark, stays, schema, split_rows=split_rows) == brute(stays)
+    assert spark_pairs(spark, stays, schema, bucket_days=bucket_days) == brute(stays)
 
 
-@pytest.mark.parametrize("split_rows", [10, 20_000])
-def test_a_third_of_the_rows_are_copies(spark, split_rows):
+def test_a_third_of_the_rows_are_copies(spark):
     stays = [("r", "copy", day(0), day(3))] * 60 + [("r", f"b{i}", day(i), day(i + 2)) for i in range(8)]
-    assert spark_pairs(spark, stays, split_rows=split_rows) == brute(stays)
+    assert spark_pairs(spark, stays) == brute(stays)
 
 
 stay = st.tuples(
@@ -131,8 +129,8 @@ stay = st.tuples(
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(stays=st.lists(stay, min_size=1, max_size=30))
-def test_any_split_gives_the_same_pairs(spark, stays):
-    assert spark_pairs(spark, stays, split_rows=2) == spark_pairs(spark, stays) == brute(stays)
+def test_any_width_gives_the_same_pairs(spark, stays):
+    assert spark_pairs(spark, stays, bucket_days=1) == spark_pairs(spark, stays) == brute(stays)
 
 
 def test_alerts_may_leave_out_a_status(spark):
@@ -147,8 +145,33 @@ def test_alerts_may_leave_out_a_status(spark):
     assert overbooking_alerts(df).columns == ["room_id", *ids, "overlap_start", "overlap_end"]
 
 
-def test_repeat_rows(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 4096), ("c", 10_000)], "k string, n bigint")
-    repeated = repeat_rows(df, df.n)
-    assert repeated.columns == ["k", "n"]
-    assert rows(repeated.groupBy("k").count()) == [("a", 1), ("b", 4096), ("c", 10_000)]
+def _reads_and_plan(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan
+
+
+def test_two_reads_and_no_limit(spark, tmp_path):
+    path = str(tmp_path / "stays")
+    spark.createDataFrame(FIXTURE, DATES).write.parquet(path)
+    df = overlaps(spark.read.parquet(path), "room", "id", "lo", "hi")
+    reads, plan = _reads_and_plan(df)
+    assert reads == 2 and "Limit" not in plan and "Subquery" not in plan
+
+
+def test_many_crowded_rooms_are_shared_out(spark):
+    """More crowded rooms than any list would hold: no task has much more than its share."""
+    from pyspark.sql import functions as F
+
+    stays = spark.range(0, 60_000, 1, 8).selectExpr(
+        "concat('r', id % 600) as room", "id", "date_add(date'2024-01-01', cast((id * 7919) % 400 as int)) as lo"
+    )
+    stays = stays.withColumn("hi", F.date_add("lo", 2))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = overlaps(stays, "room", "id", "lo", "hi")
+        sizes = [r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)

@@ -74,7 +74,7 @@ def test_labels_at_the_band(spark):
     assert labels == ["negative", "neutral", "neutral", "neutral", "positive"]
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_words": 0, "hot_rows": 3}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_words": 0, "splits": 3}])
 def test_join_form_equals_native_form(spark, options):
     single = {w: v for w, v in LEXICON.items() if re.fullmatch(r"\w+", w)}
     lexicon = spark.createDataFrame([(w, float(v)) for w, v in single.items()], "word string, valence double")
