@@ -47,8 +47,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
+def word_hashes(text: Column) -> Column:
+    """One hash for each word of a text, so that a word is read once and not for each shingle."""
+    return F.transform(words_of(text), lambda w: F.xxhash64(w))
+
+
 def shingles(words: Column, size: int) -> Column:
-    """Hashes of all windows of ``size`` words."""
+    """Hashes of all windows of ``size`` word hashes."""
     n = F.size(words) - size
 
     def at(i: Column) -> Column:
@@ -118,9 +123,16 @@ def occurrences(grams: Column) -> Column:
     )
 
 
+def common_weight(a: Column, b: Column) -> Column:
+    """Shingles that two lists share, each as often as it occurs in both."""
+    once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    repeated = F.size(F.array_intersect(occurrences(a), occurrences(b)))
+    return F.when(once, F.size(F.array_intersect(a, b))).otherwise(repeated)
+
+
 def item_table(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, list[int]]:
     """(item, m, k, grams) of the items with words, and the shingle sizes that occur (five at most)."""
-    worded = items.select(F.col(item_id).alias("item"), words_of(F.col(text)).alias("words"))
+    worded = items.select(F.col(item_id).alias("item"), word_hashes(F.col(text)).alias("words"))
     worded = worded.where(F.size("words") > 0).select(
         "item", "words", F.size("words").alias("m"), F.least(F.size("words"), F.lit(SHINGLE)).alias("k")
     )
@@ -188,7 +200,7 @@ def leaks(
         empty = docs.sparkSession.createDataFrame([], schema + ", similarity double, first_word int, n_words int")
         return empty
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), *row_key(id_col, text))
-    worded = keyed.select("k1", "k2", words_of(F.col("text")).alias("words"))
+    worded = keyed.select("k1", "k2", word_hashes(F.col("text")).alias("words"))
     places = written(shared_places(worded, item_rows, sizes), "leak-places")
     around = (
         possible_windows(places, similar)
@@ -197,7 +209,7 @@ def leaks(
     )
     around = size_checked(written(around, "leak-windows"), BROADCAST_TEXTS)
     texts = keyed.join(around, ["k1", "k2"]).select(
-        "k1", "k2", "id", "windows", words_of(F.col("text")).alias("words")
+        "k1", "k2", "id", "windows", word_hashes(F.col("text")).alias("words")
     )
     texts = texts.select("*", *[shingles(F.col("words"), k).alias(f"grams{k}") for k in sizes])
     laid = texts.select(
@@ -217,12 +229,11 @@ def leaks(
         .where((F.bit_count(apart) <= radius) & (first == F.col("block")))
         .select("k1", "k2", "id", "item", "start", "n_words", "grams", "item_grams")
     )
-    both = near.withColumns({"a": occurrences(F.col("grams")), "b": occurrences(F.col("item_grams"))})
-    common = F.size(F.array_intersect("a", "b"))
+    both = near.withColumn("common", common_weight(F.col("grams"), F.col("item_grams")))
+    union = F.size("grams") + F.size("item_grams") - F.col("common")
     exact = both.select(
-        "k1", "k2", "id", "item", "start", "n_words",
-        (common / (F.size("a") + F.size("b") - common)).alias("similarity"),
-    )
+        "k1", "k2", "id", "item", "start", "n_words", (F.col("common") / union).alias("similarity")
+    )
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words"))
     return (
         exact.where(F.col("similarity") >= similar)
