@@ -7,6 +7,7 @@ in integer arithmetic, as Spark rounds decimals.
 from __future__ import annotations
 
 from bindings.tables import LEXICON
+from lodgemart.functions.sentiment import normalised
 
 ID = "l_orderkey * 8 + l_linenumber"
 CENTS = "CAST(ROUND({} * 100) AS BIGINT)"
@@ -74,7 +75,7 @@ FROM totals LEFT JOIN paid USING (hotel_id)
 HOTELS = f"""
 SELECT o_orderkey AS booking_id, c_nationkey AS hotel_id, {TOTAL_CENTS} AS cents
 FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_totalprice IS NOT NULL AND o_orderstatus <> 'P'
+WHERE o_totalprice IS NOT NULL
 """
 
 COLLECTION = collection(HOTELS)
@@ -86,13 +87,17 @@ SELECT o_custkey AS customer_id, COUNT(DISTINCT o_orderkey) AS bookings_count,
 FROM orders WHERE o_totalprice IS NOT NULL {{and_also}} GROUP BY o_custkey
 """
 
-WORD_VALUE = (
-    "CASE w " + " ".join(f"WHEN '{w}' THEN {v}" for w, v in LEXICON.items()) + " ELSE 0.0 END"
-)
+ENTRIES = normalised(LEXICON)
+WORD_VALUE = "CASE w " + " ".join(f"WHEN '{w}' THEN {v}" for w, v in ENTRIES.items()) + " ELSE 0.0 END"
+PHRASES = "|".join(w.replace(" ", r"\s+") for w in sorted(ENTRIES, reverse=True) if not w.isalpha())
+# A phrase takes the character behind it along, as the pattern can't look ahead.
+UNIT = rf"(?:{PHRASES})(?:[^\p{{L}}\p{{N}}_]|$)|[\p{{L}}\p{{N}}_]+"
 
 
 def score(text: str) -> str:
-    words = rf"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}_]+')"
+    units = rf"regexp_extract_all(lower({text}), '{UNIT}')"
+    trimmed = rf"regexp_replace(regexp_replace(u, '[^\p{{L}}\p{{N}}_]$', ''), '\s+', ' ', 'g')"
+    words = f"list_transform({units}, lambda u: {trimmed})"
     return f"CAST(COALESCE(list_sum(list_transform({words}, lambda w: {WORD_VALUE})), 0) AS DOUBLE)"
 
 
@@ -122,6 +127,53 @@ FROM stays AS a JOIN stays AS b
   ON a.room_id = b.room_id AND a.id < b.id AND GREATEST(a.lo, b.lo) < LEAST(a.hi, b.hi)
 """
 
+LOOSE = f"""
+SELECT l_partkey AS room_id, {ID} AS id, l_returnflag AS status,
+       CASE WHEN ({ID}) % 8 <> 6 THEN l_shipdate END AS lo,
+       CASE WHEN ({ID}) % 8 <> 7 THEN l_shipdate + to_days(CAST(l_quantity AS INTEGER)) END AS hi
+FROM lineitem
+"""
+
+
+def loose_pairs(bounds: str, status: str = "true") -> str:
+    return f"""
+WITH stays AS (SELECT * FROM ({LOOSE}) AS s WHERE {status})
+SELECT a.room_id, a.id AS booking_id_1, b.id AS booking_id_2,
+       GREATEST(a.lo, b.lo) AS overlap_start, LEAST(a.hi, b.hi) AS overlap_end
+FROM stays AS a JOIN stays AS b ON a.room_id = b.room_id AND a.id < b.id
+WHERE GREATEST(a.lo, b.lo) < LEAST(a.hi, b.hi)
+  AND COALESCE(a.lo < a.hi, true) AND COALESCE(b.lo < b.hi, true) AND {bounds}
+"""
+
+
+LAYER_BOOKINGS = f"""
+SELECT o_orderkey AS id, o_custkey AS room_id, CAST(o_orderdate AS DATE) AS lo,
+       CAST(o_orderdate AS DATE) + 3 AS hi, o_orderpriority AS source, o_orderstatus AS status,
+       {TOTAL_CENTS} AS cents
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+LAYER_COLLECTION = COLLECTION.replace(
+    "WHERE o_orderstatus <> 'P' GROUP BY o_orderkey", "GROUP BY o_orderkey"
+)
+LAYER_REVENUE = f"""
+SELECT lo AS date, {dollars('SUM(cents)')} AS gross_revenue, COUNT(DISTINCT id) AS bookings_count
+FROM ({LAYER_BOOKINGS}) AS b WHERE status = 'F' AND cents IS NOT NULL GROUP BY lo
+"""
+LAYER_CANCELLED = f"""
+SELECT source, total_bookings, cancelled,
+       {half_up('cancelled * 100', 'total_bookings', 100)} AS cancellation_rate_pct
+FROM (SELECT source, COUNT(*) AS total_bookings,
+             COUNT(*) FILTER (WHERE COALESCE(status <> 'F', true)) AS cancelled
+      FROM ({LAYER_BOOKINGS}) AS b GROUP BY source)
+"""
+LAYER_VALUE = CUSTOMER_VALUE.format(and_also="").replace(
+    "FROM orders WHERE", "FROM orders JOIN customer ON o_custkey = c_custkey WHERE"
+)
+LAYER_ENRICHED = f"""
+SELECT v.*, COALESCE(avg_sentiment_score, 0.0) AS avg_sentiment_score
+FROM ({LAYER_VALUE}) AS v LEFT JOIN ({TURNS}) AS t USING (customer_id)
+"""
+
 CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
 SUPPLIER = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
@@ -143,8 +195,7 @@ def all_oracles() -> dict[str, str]:
                    {dollars(TOTAL_CENTS)} AS total_amount, {dollars('paid')} AS paid
             FROM orders JOIN (
                 SELECT l_orderkey, SUM({AMOUNT_CENTS}) AS paid FROM lineitem GROUP BY l_orderkey
-            ) ON o_orderkey = l_orderkey
-            WHERE o_orderstatus <> 'P'""",
+            ) ON o_orderkey = l_orderkey""",
         "ingest_stamp": "SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS ingestion_date FROM orders",
         "ingest_audit": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
@@ -237,7 +288,48 @@ def all_oracles() -> dict[str, str]:
             ORDER BY collection_rate DESC NULLS LAST, hotel_id LIMIT 20""",
         "top_customers": f"""
             SELECT * FROM ({ENRICHED}) ORDER BY revenue_sum DESC NULLS LAST, customer_id LIMIT 20""",
-        "layers_collection_rate": collection(HOTELS.replace("AND o_orderstatus <> 'P'", "")).replace(
-            "WHERE o_orderstatus <> 'P' GROUP BY o_orderkey", "GROUP BY o_orderkey"
+        "dq_bad_values": f"""
+            SELECT o_orderkey AS booking_id, o_orderstatus = 'P' AS dq_bad_checkin, false AS dq_bad_checkout,
+                   false AS dq_swapped_dates,
+                   CAST(o_orderdate AS DATE) + CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 0 END AS checkin_date,
+                   CAST(o_orderdate AS DATE) + 3 AS checkout_date,
+                   o_custkey % 10 = 0 AS dq_bad_total, false AS dq_negative_total,
+                   CASE WHEN o_custkey % 10 <> 0 THEN {dollars(TOTAL_CENTS)} END AS total_amount
+            FROM orders""",
+        "dq_rules_skipped": f"""
+            SELECT {ID} AS booking_id, CAST(o_orderdate AS DATE) AS checkin_date,
+                   COALESCE(c_acctbal < 0, false) AS dq_negative_total,
+                   CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS total_amount
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                          JOIN customer ON o_custkey = c_custkey""",
+        "payments_status_in": f"""
+            SELECT payment_id, {AMOUNT}, l_linestatus AS status
+            FROM ({PAYMENTS.replace(' AS payment_id,', ' AS payment_id, l_linestatus,', 1)}) AS p
+            WHERE {VALID} AND l_linestatus = 'O'""",
+        "overlap_alerts_exclude_status": loose_pairs(
+            "a.lo IS NOT NULL AND a.hi IS NOT NULL AND b.lo IS NOT NULL AND b.hi IS NOT NULL",
+            "status IS DISTINCT FROM 'R'",
         ),
+        "overlap_alerts_open": loose_pairs("true"),
+        "layers_collection_rate": LAYER_COLLECTION,
+        "layers_daily_revenue": LAYER_REVENUE,
+        "layers_cancellation_rate": LAYER_CANCELLED,
+        "layers_overbooking_alerts": f"""
+            WITH stays AS ({LAYER_BOOKINGS})
+            SELECT a.room_id, a.id AS booking_id_1, b.id AS booking_id_2,
+                   GREATEST(a.lo, b.lo) AS overlap_start, LEAST(a.hi, b.hi) AS overlap_end
+            FROM stays AS a JOIN stays AS b
+              ON a.room_id = b.room_id AND a.id < b.id AND GREATEST(a.lo, b.lo) < LEAST(a.hi, b.hi)""",
+        "layers_customer_value": LAYER_VALUE,
+        "layers_customer_value_enriched": LAYER_ENRICHED,
+        "layers_reviews_sentiment": f"""
+            SELECT *, {LABEL} FROM (
+                SELECT conv_id AS customer_id, {score('text')} AS sentiment_score FROM conversations)""",
+        "report_daily_revenue": LAYER_REVENUE,
+        "report_cancellation_rate": LAYER_CANCELLED,
+        "report_top_collection": f"""
+            SELECT * FROM ({LAYER_COLLECTION})
+            ORDER BY collection_rate DESC NULLS LAST, hotel_id LIMIT 20""",
+        "report_top_customers": f"""
+            SELECT * FROM ({LAYER_ENRICHED}) ORDER BY revenue_sum DESC NULLS LAST, customer_id LIMIT 20""",
     }

@@ -26,13 +26,13 @@ from lodgemart.plans import cleaning, kpi
 from lodgemart.plans.top_lists import top_by
 from lodgemart.plans.sentiment import (
     enrich_sentiment,
-    score_by_join,
+    score_by_table,
     score_reviews,
     sentiment_by_customer,
 )
-from lodgemart.plans.stages import Job, run_bronze, run_gold, run_silver
-from lodgemart.schemas import MONEY, Columns, table_schema
-from lodgemart.sources.ingest import TableSpec, audit_frame, stamp, write_counted
+from lodgemart.plans.stages import Job, run_all
+from lodgemart.schemas import MONEY, ReviewColumns, table_schema
+from lodgemart.sources.ingest import TableSpec, audit_frame, ingest, stamp, write_counted
 from lodgemart.sources.layers import PathLayer, TableLayer
 from lodgemart.sources.readers import read_csv
 from lodgemart.sources.scratch import scratch_path
@@ -105,7 +105,7 @@ def table_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = (("bookings", "booking_id"), ("payments", "booking_id"))
     layer = TableLayer(spark, name, location=place, bucket_by=by, buckets=8)
     layer.prepare()
-    layer.write(B.parent_bookings(spark, sf_dir), "bookings")
+    layer.write(B.all_bookings(spark, sf_dir), "bookings")
     layer.write(B.raw_payments(spark, sf_dir), "payments")
     paid = layer.read("payments").groupBy("booking_id").agg(F.sum("amount").alias("paid"))
     return plain_numbers(layer.read("bookings").join(paid, "booking_id"))
@@ -276,7 +276,7 @@ def customer_value_confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Sentiment
 
-DOCUMENTS = Columns(review_text="text")
+DOCUMENTS = ReviewColumns(text="text")
 
 
 def sentiment_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,20 +284,21 @@ def sentiment_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_reviews(documents, B.LEXICON, DOCUMENTS).select("doc_id", "sentiment_score")
 
 
+def _lexicon_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(B.LEXICON.items()), "word string, valence double")
+
+
 def sentiment_score_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sentiment_score`` with the lexicon as a table."""
     documents = B.load(spark, sf_dir, "documents").select("doc_id", "text")
-    lexicon = spark.createDataFrame(list(B.LEXICON.items()), "word string, valence double")
-    return score_by_join(documents, "doc_id", lexicon, DOCUMENTS).drop("predicted_sentiment")
+    return score_reviews(documents, _lexicon_table(spark), DOCUMENTS).select("doc_id", "sentiment_score")
 
 
 def sentiment_score_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The join for a lexicon too large to broadcast, common words spread over tasks."""
+    """The same with the rows of every word dealt over four places."""
     documents = B.load(spark, sf_dir, "documents").select("doc_id", "text")
-    lexicon = spark.createDataFrame(list(B.LEXICON.items()), "word string, valence double")
-    scored = score_by_join(
-        documents, "doc_id", lexicon, DOCUMENTS, broadcast_words=0, splits=4
-    )
-    return scored.drop("predicted_sentiment")
+    scored = score_by_table(documents, _lexicon_table(spark), DOCUMENTS, splits=4)
+    return scored.select("doc_id", "sentiment_score")
 
 
 def sentiment_label(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,22 +401,101 @@ def _raw_files(spark: SparkSession, sf_dir: str, target: str) -> None:
             ),
         ),
     }
+    reviews = B.turn_reviews(spark, sf_dir).select(
+        "customer_id", F.regexp_replace("review_text", "\\s+", " ").alias("review_text")
+    )
+    raw["reviews.csv"] = reviews
     for name, table in raw.items():
         table.write.option("header", True).csv(f"{target}/{name}")
 
 
-def layers_collection_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files through every written layer to the collection rate in gold."""
-    base = scratch_path(spark, "layers")
-    _raw_files(spark, sf_dir, f"{base}/raw")
-    bronze, clean, gold, report = (
-        PathLayer(spark, f"{base}/{name}") for name in ("bronze", "silver", "gold", "report")
+_RUNS: dict[tuple[str, str], Job] = {}
+
+
+def _whole_run(spark: SparkSession, sf_dir: str) -> Job:
+    """All stages once per session and folder: raw files to bronze, silver, gold and report."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        base = scratch_path(spark, "layers")
+        _raw_files(spark, sf_dir, f"{base}/raw")
+        layers = [PathLayer(spark, f"{base}/{name}") for name in ("bronze", "silver", "gold", "report")]
+        job = Job(f"{base}/raw", *layers, specs=STAGE_SPECS)
+        _, skipped = run_all(spark, job, B.LEXICON)
+        if skipped:
+            raise RuntimeError(f"report sections were skipped: {skipped}")
+        _RUNS[key] = job
+    return _RUNS[key]
+
+
+def _gold(table: str) -> Query:
+    return lambda spark, sf_dir: plain_numbers(_whole_run(spark, sf_dir).gold.read(table))
+
+
+def _report(section: str) -> Query:
+    return lambda spark, sf_dir: plain_numbers(_whole_run(spark, sf_dir).report.read(section))
+
+
+layers_collection_rate = _gold("collection_rate")
+
+
+def layers_reviews_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _whole_run(spark, sf_dir).gold.read("reviews_sentiment").drop("review_text")
+    return scored.withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
+# Options and malformed values
+
+
+def dq_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings from a CSV file: open orders have day-first dates, those of the first customers
+    totals beyond the type; loaded, cleaned, and every loss marked."""
+    orders, base = B.load(spark, sf_dir, "orders"), scratch_path(spark, "bad-values")
+    day_first = F.col("o_orderstatus") == B.NO_PARENT_STATUS
+    too_large = F.col("o_custkey") % 10 == 0
+    text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    orders.select(
+        F.col("o_orderkey").alias("booking_id"),
+        F.when(day_first, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(text).alias("checkin_date"),
+        F.date_format(F.date_add("o_orderdate", 3), "yyyy-MM-dd").alias("checkout_date"),
+        F.when(too_large, F.lit("99999999999.00"))
+        .otherwise(B.money("o_totalprice").cast("string"))
+        .alias("total_amount"),
+    ).write.option("header", True).csv(f"{base}/raw/bookings")
+    spec = TableSpec(
+        "bookings",
+        table_schema(
+            ("booking_id", KEY), ("checkin_date", T.DateType()), ("checkout_date", T.DateType()), ("total_amount", MONEY)
+        ),
+    )
+    bronze = PathLayer(spark, f"{base}/bronze")
+    ingest(spark, f"{base}/raw", bronze, {"bookings": spec})
+    clean = cleaning.clean_bookings(
+        bronze.read("bookings").drop("ingestion_date"),
+        bad_date_flags=cleaning.BAD_DATES,
+        bad_total_flag=cleaning.BAD_TOTAL,
+    )
+    return plain_numbers(clean)
+
+
+def dq_rules_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain over a table without check-out and currency: their rules are passed over."""
+    return plain_numbers(cleaning.clean_bookings(B.raw_bookings(spark, sf_dir).drop("checkout_date", "currency")))
+
+
+def payments_status_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = cleaning.clean_payments(
+        B.status_payments(spark, sf_dir), B.parent_bookings(spark, sf_dir), strict=True, currencies=B.CURRENCIES
     )
-    job = Job(f"{base}/raw", bronze, clean, gold, report, specs=STAGE_SPECS, reviews=None)
-    run_bronze(spark, job)
-    run_silver(job)
-    run_gold(job)
-    return plain_numbers(gold.read("collection_rate"))
+    return plain_numbers(kpi.valid_payments(checked, status_in=["O"]).select("payment_id", "amount", "status"))
+
+
+def overlap_alerts_exclude_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.overbooking_alerts(B.loose_stays(spark, sf_dir), exclude_status=["R"])
+
+
+def overlap_alerts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stays without a start or an end reach without limit."""
+    return kpi.overbooking_alerts(B.loose_stays(spark, sf_dir), null_bounds="open")
 
 
 def all_queries() -> dict[str, Query]:
@@ -459,5 +539,20 @@ def all_queries() -> dict[str, Query]:
         "customer_value_enriched": customer_value_enriched,
         "top_collection": top_collection,
         "top_customers": top_customers,
+        "dq_bad_values": dq_bad_values,
+        "dq_rules_skipped": dq_rules_skipped,
+        "payments_status_in": payments_status_in,
+        "overlap_alerts_exclude_status": overlap_alerts_exclude_status,
+        "overlap_alerts_open": overlap_alerts_open,
         "layers_collection_rate": layers_collection_rate,
+        "layers_daily_revenue": _gold("daily_revenue"),
+        "layers_cancellation_rate": _gold("cancellation_rate_by_source"),
+        "layers_overbooking_alerts": _gold("overbooking_alerts"),
+        "layers_customer_value": _gold("customer_value"),
+        "layers_customer_value_enriched": _gold("customer_value_enriched"),
+        "layers_reviews_sentiment": layers_reviews_sentiment,
+        "report_daily_revenue": _report("daily_revenue"),
+        "report_cancellation_rate": _report("cancellation_rate"),
+        "report_top_collection": _report("top_collection"),
+        "report_top_customers": _report("top_customers"),
     }

@@ -13,8 +13,22 @@ NEUTRAL_BAND = 1.0
 
 WORD_CHARS = r"[\p{L}\p{N}_]"
 
-# The native form holds the whole lexicon in the plan; larger ones are joined instead.
-MAX_NATIVE_WORDS = 20_000
+# A text falls into whole words, runs of white space and single other characters.
+PIECE = rf"{WORD_CHARS}+|\s+|[^\p{{L}}\p{{N}}_\s]"
+
+
+def normalise_entry(entry: str) -> str:
+    return re.sub(r"\s+", " ", entry.lower(), flags=re.ASCII).strip(" ")
+
+
+def normalised(lexicon: Mapping[str, float]) -> dict[str, float]:
+    """Entries in lower case with single spaces; of repeats the largest value holds."""
+    out: dict[str, float] = {}
+    for entry, value in lexicon.items():
+        key = normalise_entry(entry)
+        if key:
+            out[key] = max(float(value), out.get(key, float(value)))
+    return out
 
 
 def _alternatives(words: list[str]) -> str:
@@ -38,10 +52,6 @@ def _alternatives(words: list[str]) -> str:
     return f"(?:{'|'.join(branches)}){optional}"
 
 
-def normalise_entry(entry: str) -> str:
-    return " ".join(entry.lower().split())
-
-
 def _is_word(entry: str) -> bool:
     return re.fullmatch(r"\w+", entry) is not None
 
@@ -55,7 +65,7 @@ def unit_pattern(entries: Iterable[str]) -> str:
 
 
 def _valence(unit: Column, lexicon: Mapping[str, float]) -> Column:
-    """The value of a lexicon entry, one hash-set test per distinct value."""
+    """The value of a lexicon entry, else 0: one hash-set test per distinct value."""
     by_value: dict[float, list[str]] = {}
     for entry, value in lexicon.items():
         by_value.setdefault(value, []).append(entry)
@@ -69,22 +79,26 @@ def sentiment_score(text: Column | str, lexicon: Mapping[str, float]) -> Column:
     """Sum of the valences of all lexicon entries found in the whole text.
 
     Matching ignores case, takes whole words only and runs left to right, the longest
-    entry winning at each position. Null text scores 0.
+    entry winning at each position. Null text scores 0. The lexicon becomes part of the
+    plan; ``score_by_table`` gives the same scores from a table of any size.
     """
-    if len(lexicon) > MAX_NATIVE_WORDS:
-        raise ValueError("lexicon too large for an expression; use score_by_join")
-    entries = {normalise_entry(e): float(v) for e, v in lexicon.items() if normalise_entry(e)}
+    entries = normalised(lexicon)
     if not entries:
         return F.lit(0.0)
     text = F.col(text) if isinstance(text, str) else text
     units = F.regexp_extract_all(F.lower(text), F.lit(unit_pattern(entries)), F.lit(0))
     if any(" " in e for e in entries):
         units = F.transform(units, lambda u: F.regexp_replace(u, r"\s+", " "))
-    found = F.filter(units, lambda u: u.isin(*entries))
-    total = F.aggregate(found, F.lit(0.0), lambda acc, u: acc + _valence(u, entries))
+    total = F.aggregate(units, F.lit(0.0), lambda acc, u: acc + _valence(u, entries))
     return F.coalesce(total, F.lit(0.0))
 
 
+def pieces(text: Column) -> Column:
+    """Words, single spaces and other characters of a text, in lower case and in order."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(PIECE), F.lit(0))
+    return F.transform(found, lambda p: F.regexp_replace(p, r"^\s+$", " "))
+
+
 def sentiment_label(score: Column | str) -> Column:
     score = F.col(score) if isinstance(score, str) else score
     return (

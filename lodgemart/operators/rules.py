@@ -67,6 +67,21 @@ def parse_date(df: DataFrame, col: str, flag: str | None = None) -> DataFrame:
     return df.withColumns(out)
 
 
+def parse_amount(df: DataFrame, col: str, kind: T.DataType, flag: str | None = None) -> DataFrame:
+    """Text to an amount of type ``kind``, null where it is malformed or too large.
+
+    Other types pass unchanged. ``flag`` adds a mark for text that was present but no such amount.
+    """
+    if not isinstance(column_type(df, col), T.StringType):
+        return df.withColumn(flag, F.lit(False)) if flag else df
+    text = F.col(col)
+    parsed = text.try_cast(kind)
+    out = {find_column(df, col): parsed}
+    if flag:
+        out[flag] = text.isNotNull() & (F.trim(text) != "") & parsed.isNull()
+    return df.withColumns(out)
+
+
 def swap_inverted(df: DataFrame, lo: str, hi: str, flag: str) -> DataFrame:
     """Put an inverted pair in order and mark it; the pair moves behind the flag.
 

@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgemart.operators.intervals import BUCKET_DAYS, overlaps
+from lodgemart.operators.skew import left_lookup
 from lodgemart.schemas import (
     STATUS_CANCELLED,
     STATUS_CONFIRMED,
-    Columns,
+    BookingColumns,
+    PaymentColumns,
     column_type,
     sum_type,
 )
@@ -23,12 +25,12 @@ from lodgemart.schemas import (
 PAYMENT_FLAGS = ("dq_orphan_payment", "dq_invalid_currency", "dq_over_amount")
 
 
-def has_total(bookings: DataFrame, cols: Columns = Columns()) -> DataFrame:
+def has_total(bookings: DataFrame, cols: BookingColumns = BookingColumns()) -> DataFrame:
     return bookings.filter(F.col(cols.total).isNotNull())
 
 
 def valid_payments(
-    payments: DataFrame, cols: Columns = Columns(), status_in: Sequence[str] | None = None
+    payments: DataFrame, cols: PaymentColumns = PaymentColumns(), status_in: Sequence[str] | None = None
 ) -> DataFrame:
     """Payments with an amount and no quality mark; ``status_in`` narrows further."""
     passed = F.col(cols.amount).isNotNull()
@@ -40,7 +42,7 @@ def valid_payments(
 
 
 def daily_revenue(
-    bookings: DataFrame, cols: Columns = Columns(), confirmed: str = STATUS_CONFIRMED
+    bookings: DataFrame, cols: BookingColumns = BookingColumns(), confirmed: str = STATUS_CONFIRMED
 ) -> DataFrame:
     """Revenue and distinct bookings per check-in date, confirmed bookings only."""
     return (
@@ -49,16 +51,15 @@ def daily_revenue(
         .groupBy(F.col(cols.checkin).alias("date"))
         .agg(
             F.sum(cols.total).alias("gross_revenue"),
-            F.countDistinct(cols.booking_id).alias("bookings_count"),
+            F.countDistinct(cols.booking).alias("bookings_count"),
         )
-        .orderBy("date")
     )
 
 
 def cancellation_rate(
-    bookings: DataFrame, cols: Columns = Columns(), cancelled: str = STATUS_CANCELLED
+    bookings: DataFrame, cols: BookingColumns = BookingColumns(), cancelled: str = STATUS_CANCELLED
 ) -> DataFrame:
-    """Share of cancelled bookings per source in percent, highest first."""
+    """Share of cancelled bookings per source in percent. Key figures are unordered; the report sorts."""
     share = F.col("cancelled") / F.col("total_bookings") * 100
     return (
         bookings.groupBy(cols.source)
@@ -67,7 +68,6 @@ def cancellation_rate(
             F.count_if(F.col(cols.status) == cancelled).alias("cancelled"),
         )
         .withColumn("cancellation_rate_pct", F.round(share, 2))
-        .orderBy(F.desc("cancellation_rate_pct"))
     )
 
 
@@ -79,35 +79,32 @@ def _ratio(part: Column, whole: Column, digits: int) -> Column:
 def collection_rate(
     bookings: DataFrame,
     payments: DataFrame,
-    cols: Columns = Columns(),
+    cols: BookingColumns = BookingColumns(),
     status_in: Sequence[str] | None = None,
+    paid_cols: PaymentColumns = PaymentColumns(),
 ) -> DataFrame:
     """Valid payments over booked value, per hotel.
 
-    Both tables are summed per booking before they meet, so a booking with very many
-    rows or payments arrives at the join as one row, and one left join and one
-    aggregation give both totals. A repeated booking counts its payments once per
-    repeat, as a row-level join would.
+    Payments are summed per booking before they meet the bookings, so a booking with very
+    many payments arrives as one row, and one left join and one aggregation give both
+    totals. A repeated booking counts its payments once per repeat, as a row-level join would.
     """
     booked_type = sum_type(column_type(bookings, cols.total))
-    paid_type = sum_type(column_type(payments, cols.amount))
-    booked = (
-        has_total(bookings, cols)
-        .groupBy(cols.booking_id, cols.hotel_id)
-        .agg(F.sum(cols.total).alias("_booked"), F.count(F.lit(1)).alias("_repeats"))
-    )
+    paid_type = sum_type(column_type(payments, paid_cols.amount))
+    booked = has_total(bookings, cols).select(cols.booking, cols.hotel, cols.total)
     paid = (
-        valid_payments(payments, cols, status_in)
-        .groupBy(cols.booking_id)
-        .agg(F.sum(cols.amount).alias("_paid"))
+        valid_payments(payments, paid_cols, status_in)
+        .filter(F.col(paid_cols.booking).isNotNull())
+        .groupBy(F.col(paid_cols.booking).alias("_paid_booking"))
+        .agg(F.sum(paid_cols.amount).alias("_paid"))
     )
     # Payments of bookings without a hotel are attributed to no one.
-    credited = F.when(F.col(cols.hotel_id).isNotNull(), F.col("_paid") * F.col("_repeats"))
+    credited = F.when(F.col(cols.hotel).isNotNull(), F.col("_paid"))
     totals = (
-        booked.join(paid, cols.booking_id, "left")
-        .groupBy(cols.hotel_id)
+        left_lookup(booked, paid, cols.booking, "_paid_booking")
+        .groupBy(cols.hotel)
         .agg(
-            F.sum("_booked").cast(booked_type).alias("total_bookings_value"),
+            F.sum(cols.total).cast(booked_type).alias("total_bookings_value"),
             F.coalesce(F.sum(credited).cast(paid_type), F.lit(0).cast(paid_type)).alias(
                 "total_payments_value"
             ),
@@ -119,7 +116,7 @@ def collection_rate(
 
 def overbooking_alerts(
     bookings: DataFrame,
-    cols: Columns = Columns(),
+    cols: BookingColumns = BookingColumns(),
     exclude_status: Sequence[str] = (),
     bucket_days: float = BUCKET_DAYS,
     null_bounds: str = "drop",
@@ -132,14 +129,14 @@ def overbooking_alerts(
         kept = ~F.coalesce(F.col(cols.status).isin(*exclude_status), F.lit(False))
         bookings = bookings.filter(kept)
     return overlaps(
-        bookings, cols.room_id, cols.booking_id, cols.checkin, cols.checkout,
+        bookings, cols.room, cols.booking, cols.checkin, cols.checkout,
         bucket_days, null_bounds,
     )
 
 
 def customer_value(
     bookings: DataFrame,
-    cols: Columns = Columns(),
+    cols: BookingColumns = BookingColumns(),
     confirmed_only: bool = False,
     confirmed: str = STATUS_CONFIRMED,
 ) -> DataFrame:
@@ -147,8 +144,8 @@ def customer_value(
     rows = has_total(bookings, cols)
     if confirmed_only:
         rows = rows.filter(F.col(cols.status) == confirmed)
-    return rows.groupBy(cols.customer_id).agg(
-        F.countDistinct(cols.booking_id).alias("bookings_count"),
+    return rows.groupBy(cols.customer).agg(
+        F.countDistinct(cols.booking).alias("bookings_count"),
         F.sum(cols.total).alias("revenue_sum"),
         F.round(F.avg(cols.total), 2).alias("avg_ticket"),
     )

@@ -4,88 +4,127 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgemart.functions.sentiment import (
-    MAX_NATIVE_WORDS,
+    PIECE,
     WORD_CHARS,
+    pieces,
     sentiment_label,
     sentiment_score,
 )
-from lodgemart.operators.integrity import one_row_per_key
 from lodgemart.operators.skew import left_lookup
-from lodgemart.schemas import Columns
-
-# A lexicon up to this size is sent whole to every task: some tens of megabytes.
-BROADCAST_WORDS = 500_000
+from lodgemart.schemas import BookingColumns, ReviewColumns, comparable
 
 SCORE = "sentiment_score"
 LABEL = "predicted_sentiment"
 
 
-def read_lexicon(table: DataFrame, word: str = "word", valence: str = "valence") -> dict[str, float]:
-    """A (word, valence) table as the mapping the native expression takes.
+def score_reviews(
+    reviews: DataFrame, lexicon: Mapping[str, float] | DataFrame, cols: ReviewColumns = ReviewColumns()
+) -> DataFrame:
+    """All review columns plus score and label.
 
-    At most MAX_NATIVE_WORDS rows are brought in; a larger table is an error here and a
-    case for ``score_by_join``.
+    A mapping becomes part of the plan: one narrow pass, no shuffle. A (word, valence) table
+    of any size is joined. Both give the same scores.
     """
-    rows = table.select(word, F.col(valence).cast("double")).limit(MAX_NATIVE_WORDS + 1).collect()
-    if len(rows) > MAX_NATIVE_WORDS:
-        raise ValueError("lexicon too large for an expression; use score_by_join")
-    return {row[0]: row[1] for row in rows if row[0] is not None and row[1] is not None}
+    if isinstance(lexicon, DataFrame):
+        return score_by_table(reviews, lexicon, cols)
+    scored = reviews.withColumn(SCORE, sentiment_score(cols.text, lexicon))
+    return scored.withColumn(LABEL, sentiment_label(SCORE))
 
 
-def score_reviews(
-    reviews: DataFrame, lexicon: Mapping[str, float], cols: Columns = Columns()
-) -> DataFrame:
-    """All review columns plus score and label: one narrow pass, no Python worker."""
-    scored = reviews.withColumn(SCORE, sentiment_score(cols.review_text, lexicon))
-    return scored.withColumn(LABEL, sentiment_label(SCORE))
+def lexicon_entries(lexicon: DataFrame, word: str = "word", valence: str = "valence") -> DataFrame:
+    """(_entry, _valence, _pieces): normalised, of repeats the largest value."""
+    entry = F.trim(F.regexp_replace(F.lower(word), r"\s+", " "))
+    table = lexicon.select(entry.alias("_entry"), F.col(valence).cast("double").alias("_v"))
+    return (
+        table.filter((F.col("_entry") != "") & F.col("_v").isNotNull())
+        .groupBy("_entry")
+        .agg(F.max("_v").alias("_valence"))
+        .select(
+            "_entry",
+            "_valence",
+            F.size(F.regexp_extract_all("_entry", F.lit(PIECE), F.lit(0))).alias("_pieces"),
+        )
+    )
+
 
+def _candidates(sizes: list[int]) -> Column:
+    """(at, size, text, free) of all runs of so many pieces; free: no word character follows."""
 
-def score_by_join(
+    def at(i: Column) -> Column:
+        runs = []
+        for n in sizes:
+            text = F.array_join(F.slice("_found", i + 1, n), "")
+            after = F.coalesce(F.get("_found", i + n), F.lit("")).rlike(f"^{WORD_CHARS}")
+            whole = i + n <= F.size("_found")
+            runs.append(
+                F.when(whole, F.struct(i.alias("at"), F.lit(n).alias("size"), text.alias("text"), (~after).alias("free")))
+            )
+        return F.filter(F.array(*runs), lambda r: r.isNotNull())
+
+    places = F.sequence(F.lit(0), F.size("_found") - 1)
+    return F.when(F.size("_found") > 0, F.flatten(F.transform(places, at)))
+
+
+def _taken(found: Column) -> Column:
+    """The sum over the entries taken from left to right, the longest first at each place."""
+    start = F.struct(F.lit(0).alias("next"), F.lit(0.0).alias("sum"))
+
+    def step(acc: Column, m: Column) -> Column:
+        moved = F.struct((m["at"] + m["size"]).alias("next"), (acc["sum"] + m["valence"]).alias("sum"))
+        return F.when(m["at"] >= acc["next"], moved).otherwise(acc)
+
+    return F.aggregate(found, start, step, lambda acc: acc["sum"])
+
+
+def score_by_table(
     reviews: DataFrame,
-    key: str,
     lexicon: DataFrame,
-    cols: Columns = Columns(),
+    cols: ReviewColumns = ReviewColumns(),
     word: str = "word",
     valence: str = "valence",
-    broadcast_words: int = BROADCAST_WORDS,
     splits: int = 1,
 ) -> DataFrame:
-    """(key, score, label) for a lexicon of any size, of single words.
+    """``score_reviews`` for a lexicon table of any size, words and phrases alike.
 
-    ``key`` identifies a review. A lexicon of at most ``broadcast_words`` words, which
-    is counted first, goes to every task and the text is not shuffled. A larger one is
-    joined by word, the common words of the text spread over several tasks.
+    Runs of as many pieces as an entry has are joined with the entries, a common word's rows
+    spread as ``left_lookup`` does; the matches of a review are then taken from left to right.
+    Reviews that are equal in all columns are scored once and share the result.
     """
-    tokens = F.regexp_extract_all(F.lower(cols.review_text), F.lit(f"{WORD_CHARS}+"), F.lit(0))
-    words = reviews.select(key, F.explode_outer(tokens).alias("_token"))
-    entries = one_row_per_key(
-        lexicon.select(F.lower(word).alias("_entry"), F.col(valence).cast("double").alias("_v")),
-        "_entry",
-        {"_v": "_valence"},
+    entries = lexicon_entries(lexicon, word, valence)
+    sizes = sorted(r[0] for r in entries.select("_pieces").distinct().collect())  # numbers of pieces only
+    hashed = [F.col(f"`{f.name}`") for f in reviews.schema if comparable(f.dataType)]
+    key = [F.xxhash64(*hashed).alias("_k1"), F.xxhash64(F.lit(1), *hashed).alias("_k2")]
+    if not sizes:
+        return reviews.withColumn(SCORE, F.lit(0.0)).withColumn(LABEL, sentiment_label(SCORE))
+    cut = reviews.select(*key, pieces(F.col(cols.text)).alias("_found"))
+    runs = cut.select("_k1", "_k2", F.inline(_candidates(sizes)))
+    matches = left_lookup(runs.filter(F.trim("text") != ""), entries, "text", "_entry", splits).filter(
+        F.col("_entry").isNotNull() & F.col("free")
     )
-    if lexicon.limit(broadcast_words + 1).count() <= broadcast_words:
-        found = words.join(F.broadcast(entries), F.col("_token") == F.col("_parent_key"), "left")
-    else:
-        found = left_lookup(words, entries, "_token", "_parent_key", splits)
-    score = F.coalesce(F.sum("_valence"), F.lit(0.0))
-    return found.groupBy(key).agg(score.alias(SCORE)).withColumn(LABEL, sentiment_label(SCORE))
+    # Longest first: the order by text length is that of the pieces it holds.
+    match = F.struct("at", (-F.col("size")).alias("back"), "size", F.col("_valence").alias("valence"))
+    scores = matches.groupBy("_k1", "_k2").agg(_taken(F.array_sort(F.collect_set(match))).alias(SCORE))
+    scored = reviews.select("*", *key).join(scores, ["_k1", "_k2"], "left").drop("_k1", "_k2")
+    return scored.withColumn(SCORE, F.coalesce(SCORE, F.lit(0.0))).withColumn(LABEL, sentiment_label(SCORE))
 
 
-def sentiment_by_customer(scored: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    return scored.groupBy(cols.customer_id).agg(F.avg(SCORE).alias("avg_sentiment_score"))
+def sentiment_by_customer(scored: DataFrame, cols: ReviewColumns = ReviewColumns()) -> DataFrame:
+    return scored.groupBy(cols.customer).agg(F.avg(SCORE).alias("avg_sentiment_score"))
 
 
 def enrich_sentiment(
-    customers: DataFrame, scored: DataFrame, cols: Columns = Columns()
+    customers: DataFrame,
+    scored: DataFrame,
+    cols: ReviewColumns = ReviewColumns(),
+    owners: BookingColumns = BookingColumns(),
 ) -> DataFrame:
     """Customer figures plus the mean score of their reviews, 0 without any.
 
     Both sides hold one row per customer when they meet, so no customer is too large.
     """
-    return customers.join(sentiment_by_customer(scored, cols), cols.customer_id, "left").fillna(
-        {"avg_sentiment_score": 0.0}
-    )
+    means = sentiment_by_customer(scored, cols).withColumnRenamed(cols.customer, owners.customer)
+    return customers.join(means, owners.customer, "left").fillna({"avg_sentiment_score": 0.0})

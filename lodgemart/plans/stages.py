@@ -7,30 +7,40 @@ cached; every job reads only the columns it needs.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodgemart.operators.intervals import BUCKET_DAYS
 from lodgemart.plans import cleaning, kpi
-from lodgemart.plans.top_lists import write_report
 from lodgemart.plans.sentiment import enrich_sentiment, score_reviews
-from lodgemart.schemas import Columns
-from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest
+from lodgemart.plans.top_lists import write_report
+from lodgemart.schemas import VALID_CURRENCIES, Names
+from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest, write_marked
 from lodgemart.sources.layers import Layer, require_distinct
 from lodgemart.sources.readers import read_csv
 from lodgemart.sources.together import side_by_side
 
+BOOKING_MARKS = (*cleaning.BAD_DATES, cleaning.BAD_TOTAL, "dq_swapped_dates", "dq_negative_total", "dq_invalid_currency")
+PAYMENT_MARKS = (cleaning.BAD_AMOUNT, "dq_orphan_payment", "dq_over_amount", "dq_invalid_currency")
+
 
 @dataclass(frozen=True)
 class Job:
-    """Where the data lies and how it is named.
+    """Where the data lies, how it is named, and the choices its operators offer.
 
     ``source`` is a folder of CSV files or a layer of raw tables. ``reviews`` names the
     reviews in it, a file or a table; None leaves the sentiment stage out. ``parallel``
     tables of a stage are written at the same time.
+
+    ``infer`` infers CSV types instead of taking the declared ones. ``bad_date_flags``,
+    ``bad_total_flag`` and ``bad_amount_flag`` name the marks of malformed values, None for
+    no mark. ``status_in`` narrows the payments that count, ``exclude_status`` the bookings
+    that raise alerts, ``confirmed_only`` the customer figures. ``null_bounds``,
+    ``bucket_days``: see ``overlaps``; ``splits``: see ``left_lookup``.
     """
 
     source: str | Layer
@@ -38,19 +48,34 @@ class Job:
     silver: Layer
     gold: Layer
     report: Layer
-    cols: Columns = Columns()
+    names: Names = Names()
     specs: Mapping[str, TableSpec] = field(default_factory=lambda: BOOKING_TABLES)
     reviews: str | None = "reviews.csv"
     strict: bool = False
     parallel: int = 4
+    infer: bool = False
+    currencies: Sequence[str] = VALID_CURRENCIES
+    bad_date_flags: tuple[str | None, str | None] = cleaning.BAD_DATES
+    bad_total_flag: str | None = cleaning.BAD_TOTAL
+    bad_amount_flag: str | None = cleaning.BAD_AMOUNT
+    status_in: Sequence[str] | None = None
+    exclude_status: Sequence[str] = ()
+    confirmed_only: bool = False
+    null_bounds: str = "drop"
+    bucket_days: float = BUCKET_DAYS
+    splits: int = 1
 
     def __post_init__(self) -> None:
-        raw = [] if isinstance(self.source, str) else [self.source]
-        require_distinct([*raw, self.bronze, self.silver, self.gold, self.report])
+        layers = [self.bronze, self.silver, self.gold, self.report]
+        if not isinstance(self.source, str):
+            require_distinct([self.source, *layers])
+            return
+        files = [spec.file for spec in self.specs.values()] + ([self.reviews] if self.reviews else [])
+        require_distinct(layers, [f"{self.source.rstrip('/')}/{f}" for f in files])
 
 
 def run_bronze(spark: SparkSession, job: Job, run_ts: datetime | None = None) -> dict[str, int]:
-    return ingest(spark, job.source, job.bronze, job.specs, run_ts, parallel=job.parallel)
+    return ingest(spark, job.source, job.bronze, job.specs, run_ts, job.infer, job.parallel)
 
 
 def _write_all(layer: Layer, tables: Mapping[str, DataFrame], parallel: int) -> None:
@@ -58,50 +83,67 @@ def _write_all(layer: Layer, tables: Mapping[str, DataFrame], parallel: int) ->
     side_by_side([partial(layer.write, df, name) for name, df in tables.items()], parallel)
 
 
-def run_silver(job: Job) -> None:
-    """Payments come last: they are checked against the written bookings."""
-    bronze, out, cols, strict = job.bronze, job.silver, job.cols, job.strict
-    cleaned = {
-        "bookings": cleaning.clean_bookings(bronze.read("bookings"), cols, strict),
-        "customers": cleaning.clean_customers(bronze.read("customers"), cols, strict),
-        "rooms": cleaning.clean_rooms(bronze.read("rooms"), cols, strict),
-        "hotels": cleaning.clean_hotels(bronze.read("hotels"), cols, strict),
+def run_silver(job: Job) -> dict[str, dict[str, int]]:
+    """Clean all tables; returns the number of rows per mark of bookings and payments.
+
+    Payments come last: they are checked against the written bookings.
+    """
+    bronze, out, names, strict = job.bronze, job.silver, job.names, job.strict
+    out.prepare()
+    bookings = cleaning.clean_bookings(
+        bronze.read("bookings"), names.bookings, strict, job.currencies, job.bad_date_flags, job.bad_total_flag
+    )
+    others = {
+        "customers": cleaning.clean_customers(bronze.read("customers"), names.customers, strict),
+        "rooms": cleaning.clean_rooms(bronze.read("rooms"), names.rooms, strict),
+        "hotels": cleaning.clean_hotels(bronze.read("hotels"), names.hotels, strict),
     }
-    _write_all(out, cleaned, job.parallel)
-    payments = cleaning.clean_payments(bronze.read("payments"), out.read("bookings"), cols, strict)
-    out.write(payments, "payments")
+    own = tuple(f for f in (*job.bad_date_flags, job.bad_total_flag, job.bad_amount_flag) if f)
+    marked = partial(write_marked, bookings, out, "bookings", tuple(dict.fromkeys((*own, *BOOKING_MARKS))))
+    writes = [partial(out.write, df, name) for name, df in others.items()]
+    found = side_by_side([marked, *writes], job.parallel)
+    payments = cleaning.clean_payments(
+        bronze.read("payments"), out.read("bookings"), names.payments, strict, job.currencies, job.splits,
+        names.bookings, job.bad_amount_flag,
+    )
+    marks = tuple(dict.fromkeys((*own, *PAYMENT_MARKS)))
+    return {"bookings": found[0], "payments": write_marked(payments, out, "payments", marks)}
 
 
 def run_gold(job: Job) -> None:
     bookings, payments = job.silver.read("bookings"), job.silver.read("payments")
-    cols = job.cols
+    cols = job.names.bookings
     figures = {
-        "overbooking_alerts": kpi.overbooking_alerts(bookings, cols),
-        "collection_rate": kpi.collection_rate(bookings, payments, cols),
-        "customer_value": kpi.customer_value(bookings, cols),
+        "overbooking_alerts": kpi.overbooking_alerts(
+            bookings, cols, job.exclude_status, job.bucket_days, job.null_bounds
+        ),
+        "collection_rate": kpi.collection_rate(bookings, payments, cols, job.status_in, job.names.payments),
+        "customer_value": kpi.customer_value(bookings, cols, job.confirmed_only),
         "daily_revenue": kpi.daily_revenue(bookings, cols),
         "cancellation_rate_by_source": kpi.cancellation_rate(bookings, cols),
     }
     _write_all(job.gold, figures, job.parallel)
 
 
-def run_sentiment(spark: SparkSession, job: Job, lexicon: Mapping[str, float]) -> None:
+def run_sentiment(spark: SparkSession, job: Job, lexicon: Mapping[str, float] | DataFrame) -> None:
     """Score the reviews and enrich the customers from the scores just written."""
-    gold, cols = job.gold, job.cols
+    gold, names = job.gold, job.names
     gold.prepare()
     if isinstance(job.source, str):
         reviews = read_csv(spark, f"{job.source.rstrip('/')}/{job.reviews}")
     else:
         reviews = job.source.read(job.reviews)
-    gold.write(score_reviews(reviews, lexicon, cols), "reviews_sentiment")
-    enriched = enrich_sentiment(gold.read("customer_value"), gold.read("reviews_sentiment"), cols)
+    gold.write(score_reviews(reviews, lexicon, names.reviews), "reviews_sentiment")
+    enriched = enrich_sentiment(
+        gold.read("customer_value"), gold.read("reviews_sentiment"), names.reviews, names.bookings
+    )
     gold.write(enriched, "customer_value_enriched")
 
 
 def run_all(
     spark: SparkSession,
     job: Job,
-    lexicon: Mapping[str, float],
+    lexicon: Mapping[str, float] | DataFrame,
     run_ts: datetime | None = None,
 ) -> tuple[dict[str, int], dict[str, str]]:
     """All stages in order; returns the loaded rows per table and the skipped sections."""
@@ -111,4 +153,4 @@ def run_all(
     run_gold(job)
     if job.reviews:
         run_sentiment(spark, job, lexicon)
-    return counts, write_report(job.gold, job.report, job.cols)
+    return counts, write_report(job.gold, job.report, job.names.bookings)

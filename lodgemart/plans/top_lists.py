@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgemart.schemas import Columns
+from lodgemart.schemas import BookingColumns
 from lodgemart.sources.layers import Layer
 
 TOP_ROWS = 20
 
+# The error conditions of a table that is not there.
+ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
 
 def top_by(df: DataFrame, metric: str, key: str, n: int = TOP_ROWS) -> DataFrame:
     """The ``n`` rows with the highest ``metric``; NaN and null last, ties by ``key``."""
@@ -20,7 +23,7 @@ def top_by(df: DataFrame, metric: str, key: str, n: int = TOP_ROWS) -> DataFrame
     return df.orderBy(known.desc_nulls_last(), key).limit(n)
 
 
-def report_sections(cols: Columns = Columns()) -> dict[str, tuple[str, Callable[[DataFrame], DataFrame]]]:
+def report_sections(cols: BookingColumns = BookingColumns()) -> dict[str, tuple[str, Callable[[DataFrame], DataFrame]]]:
     """Section name to (gold table, ordering of that table)."""
     return {
         "daily_revenue": ("daily_revenue", lambda t: t.orderBy("date")),
@@ -30,22 +33,29 @@ def report_sections(cols: Columns = Columns()) -> dict[str, tuple[str, Callable[
         ),
         "top_collection": (
             "collection_rate",
-            lambda t: top_by(t, "collection_rate", cols.hotel_id),
+            lambda t: top_by(t, "collection_rate", cols.hotel),
         ),
         "top_customers": (
             "customer_value_enriched",
-            lambda t: top_by(t, "revenue_sum", cols.customer_id),
+            lambda t: top_by(t, "revenue_sum", cols.customer),
         ),
     }
 
 
-def write_report(gold: Layer, report: Layer, cols: Columns = Columns()) -> dict[str, str]:
-    """Write every section that can be built; returns the reason per skipped section."""
+def write_report(gold: Layer, report: Layer, cols: BookingColumns = BookingColumns()) -> dict[str, str]:
+    """Write the sections whose table exists; returns the reason per skipped section.
+
+    Anything else that goes wrong is raised.
+    """
     report.prepare()
     skipped = {}
     for section, (table, order) in report_sections(cols).items():
         try:
-            report.write(order(gold.read(table)), section)
-        except PySparkException as error:
+            found = gold.read(table)
+        except AnalysisException as error:
+            if (error.getCondition() or "").split(".")[0] not in ABSENT:
+                raise
             skipped[section] = str(error)
+            continue
+        report.write(order(found), section)
     return skipped

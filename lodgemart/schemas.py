@@ -67,25 +67,65 @@ PAYMENTS = table_schema(
 )
 
 
+# The physical names of the booking system's columns. One map per table, each
+# with the columns that the rules and figures of this table need.
+
+
 @dataclass(frozen=True)
-class Columns:
-    """Logical to physical column names, so one plan runs on several schemas."""
+class HotelColumns:
+    country: str = "country"
+
+
+@dataclass(frozen=True)
+class RoomColumns:
+    room: str = "room_id"
+
 
-    booking_id: str = "booking_id"
-    customer_id: str = "customer_id"
-    room_id: str = "room_id"
-    hotel_id: str = "hotel_id"
+@dataclass(frozen=True)
+class CustomerColumns:
+    customer: str = "customer_id"
+    email: str = "email"
+    loaded: str = "ingestion_date"
+
+
+@dataclass(frozen=True)
+class BookingColumns:
+    booking: str = "booking_id"
+    customer: str = "customer_id"
+    hotel: str = "hotel_id"
+    room: str = "room_id"
     checkin: str = "checkin_date"
     checkout: str = "checkout_date"
     total: str = "total_amount"
     currency: str = "currency"
     status: str = "status"
     source: str = "source"
-    email: str = "email"
-    country: str = "country"
+
+
+@dataclass(frozen=True)
+class PaymentColumns:
+    booking: str = "booking_id"
     amount: str = "amount"
-    review_text: str = "review_text"
-    ingested: str = "ingestion_date"
+    currency: str = "currency"
+    status: str = "status"
+
+
+@dataclass(frozen=True)
+class ReviewColumns:
+    customer: str = "customer_id"
+    text: str = "review_text"
+
+
+@dataclass(frozen=True)
+class Names:
+    """The column maps of all tables."""
+
+    hotels: HotelColumns = HotelColumns()
+    rooms: RoomColumns = RoomColumns()
+    customers: CustomerColumns = CustomerColumns()
+    bookings: BookingColumns = BookingColumns()
+    payments: PaymentColumns = PaymentColumns()
+    reviews: ReviewColumns = ReviewColumns()
 
 
 def find_column(df: DataFrame, name: str) -> str | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import partial
@@ -43,16 +43,31 @@ def stamp(
     return df.withColumn(name, run_ts)
 
 
+# Values of these types are loaded from CSV as text; the cleaning rules parse and mark them.
+PARSED_LATER = (T.DateType, T.TimestampType, T.DecimalType)
+
+
 def write_counted(df: DataFrame, layer: Layer, name: str) -> int:
     """Write one table and return its row count, counted while writing.
 
     A separate count would read the input a second time.
     """
     seen = Observation()
-    layer.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    layer.write(df, name, seen, F.count(F.lit(1)).alias("rows"))
     return seen.get["rows"]
 
 
+def write_marked(df: DataFrame, layer: Layer, name: str, marks: Sequence[str]) -> dict[str, int]:
+    """Write one table and return how many rows carry each of the marks it has."""
+    held = [m for m in marks if m in df.columns]
+    if not held:
+        layer.write(df, name)
+        return {}
+    seen = Observation()
+    layer.write(df, name, seen, *[F.count_if(F.col(m)).alias(m) for m in held])
+    return dict(seen.get)
+
+
 def audit_frame(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     return spark.createDataFrame(
         list(counts.items()), "table_name string, row_count bigint"
@@ -83,15 +98,19 @@ def ingest(
     """Load every table of ``specs`` into ``layer``, one job per table.
 
     ``source`` is a folder of CSV files, or a layer that already holds raw tables of the
-    same names. It must not be ``layer`` itself: a write replaces its target.
+    same names. It must not be ``layer`` itself: a write replaces its target. Dates and
+    amounts of a declared schema are loaded as text, so that what is malformed is still there
+    for the rules to mark.
     """
     if not isinstance(source, str):
         require_distinct([source, layer])
         frames = {name: source.read(name) for name in specs}
         return load_tables(frames, layer, run_ts, parallel)
+    files = {name: f"{source.rstrip('/')}/{spec.file}" for name, spec in specs.items()}
+    require_distinct([layer], files.values())
     frames = {
         name: read_csv(
-            spark, f"{source.rstrip('/')}/{spec.file}", None if infer else spec.schema, infer
+            spark, files[name], None if infer else spec.schema, infer, as_text=PARSED_LATER
         )
         for name, spec in specs.items()
     }

@@ -2,10 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import posixpath
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+
+def canonical(spark: SparkSession, path: str) -> str:
+    """A path as the file system names it: with scheme, without dots and double slashes."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    full = urlsplit(system.makeQualified(place).toString())
+    return f"{full.scheme}://{full.netloc}{posixpath.normpath(full.path)}"
+
+
+def overlapping(left: str, right: str) -> bool:
+    """Whether two canonical places are equal or one holds the other."""
+    return left == right or f"{right}/".startswith(f"{left}/") or f"{left}/".startswith(f"{right}/")
+
+
+def input_places(df: DataFrame) -> set[str]:
+    """The root folders and files that a frame reads."""
+    found, leaves = set(), df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                roots = relation.location().rootPaths().iterator()
+                while roots.hasNext():
+                    found.add(canonical(df.sparkSession, roots.next().toString()))
+    return found
+
+
+def refuse_own_input(df: DataFrame, target: str) -> None:
+    """A write replaces its target, so a frame must not read it."""
+    for place in input_places(df):
+        if overlapping(place, target):
+            raise ValueError(f"the frame reads {place}, which writing {target} would delete")
 
 
 @dataclass(frozen=True)
@@ -16,12 +52,12 @@ class PathLayer:
     root: str
     fmt: str = "parquet"
 
-    @property
-    def identity(self) -> str:
-        return self.root.rstrip("/")
+    def places(self) -> list[str]:
+        """Canonical names of where this layer lies."""
+        return [canonical(self.spark, self.root)]
 
     def path(self, name: str) -> str:
-        return f"{self.identity}/{name}"
+        return f"{self.root.rstrip('/')}/{name}"
 
     def prepare(self) -> None:
         """Folders appear with the first write."""
@@ -29,7 +65,11 @@ class PathLayer:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.path(name))
 
-    def write(self, df: DataFrame, name: str) -> None:
+    def write(self, df: DataFrame, name: str, seen: Observation | None = None, *counts: Column) -> None:
+        """Replace a table; ``counts`` over its rows go to ``seen`` while writing."""
+        refuse_own_input(df, canonical(self.spark, self.path(name)))
+        if seen is not None:
+            df = df.observe(seen, *counts)
         df.write.format(self.fmt).mode("overwrite").save(self.path(name))
 
 
@@ -40,7 +80,9 @@ class TableLayer:
     ``fmt`` may be any table format on the class path; parquet needs no extra jar.
     ``bucket_by`` maps a table to its join key: bucketed tables join on that key
     without a shuffle. Each bucket is written by its own tasks, an oversized one by
-    several, so the number of files does not grow with the number of input tasks.
+    several, so the number of files does not grow with the number of input tasks. A bucket
+    is read by one task, so bucket only keys without very frequent values, or read such a
+    table with ``spark.sql.sources.bucketing.enabled=false`` and let the join shuffle.
     """
 
     spark: SparkSession
@@ -55,6 +97,20 @@ class TableLayer:
     def identity(self) -> str:
         return f"{self.catalog}.{self.schema}" if self.catalog else self.schema
 
+    def places(self) -> list[str]:
+        """The full name of the schema and the folder it lies in."""
+        catalog = self.catalog or self.spark.catalog.currentCatalog()
+        name = f"{catalog}.{self.schema}"
+        if self.spark.conf.get("spark.sql.caseSensitive") != "true":
+            name = name.lower()
+        if self.location:
+            folder = self.location
+        elif self.spark.catalog.databaseExists(self.identity):
+            folder = self.spark.catalog.getDatabase(self.identity).locationUri
+        else:
+            folder = f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{self.schema.lower()}.db"
+        return [f"schema:{name}", canonical(self.spark, folder)]
+
     def prepare(self) -> None:
         where = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.identity}{where}")
@@ -68,10 +124,15 @@ class TableLayer:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.identity}.{name}")
 
-    def write(self, df: DataFrame, name: str) -> None:
+    def write(self, df: DataFrame, name: str, seen: Observation | None = None, *counts: Column) -> None:
+        """Replace a table; ``counts`` over its rows go to ``seen`` while writing."""
+        for folder in self.places()[1:]:
+            refuse_own_input(df, f"{folder}/{name.lower()}")
         key = dict(self.bucket_by).get(name) if self.buckets else None
         if key:
             df = df.hint("rebalance", self.buckets, key)
+        if seen is not None:  # behind the shuffle: what stands before one may run twice
+            df = df.observe(seen, *counts)
         writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", "true")
         if key:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
@@ -81,14 +142,18 @@ class TableLayer:
 Layer = PathLayer | TableLayer
 
 
-def require_distinct(layers: Sequence[Layer]) -> None:
-    """Refuse layers that share or contain each other's location.
+def require_distinct(layers: Sequence[Layer], files: Iterable[str] = ()) -> None:
+    """Refuse layers that share or contain each other's location, or one of ``files``.
 
     Every write replaces its target, so a job that reads the folder it writes would
     destroy its input before reading it.
     """
-    places = [layer.identity for layer in layers]
-    for i, left in enumerate(places):
-        for right in places[i + 1 :]:
-            if left == right or f"{right}/".startswith(f"{left}/") or f"{left}/".startswith(f"{right}/"):
-                raise ValueError(f"layers overlap: {left} and {right}")
+    places = [layer.places() for layer in layers]
+    if layers:
+        places += [[canonical(layers[0].spark, f)] for f in files]
+    for i, mine in enumerate(places[: len(layers)]):
+        for others in places[i + 1 :]:
+            for left in mine:
+                for right in others:
+                    if overlapping(left, right):
+                        raise ValueError(f"layers overlap: {left} and {right}")

@@ -11,6 +11,7 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     infer: bool = False,
+    as_text: tuple[type, ...] = (),
 ) -> DataFrame:
     """CSV with a header row: typed by ``schema``, inferred, or all strings.
 
@@ -18,11 +19,17 @@ def read_csv(
     not matter and undeclared columns stay strings. Only the header line is read to do
     so; inference would scan the whole input once more. Files whose header differs from
     the first one fail instead of being read by position.
+
+    Columns of a declared type in ``as_text`` stay strings: the reader nulls what does not
+    parse without a trace, a rule that parses them can mark it.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", infer).csv(path)
-    declared = {field.name.lower(): field.dataType for field in schema}
+    declared = {
+        field.name.lower(): T.StringType() if isinstance(field.dataType, as_text) else field.dataType
+        for field in schema
+    }
     header = reader.csv(path).columns
     aligned = T.StructType(
         [T.StructField(c, declared.get(c.lower(), T.StringType()), True) for c in header]

@@ -4,12 +4,7 @@ import pytest
 
 from conftest import rows
 from lodgemart.functions import sentiment as S
-from lodgemart.plans.sentiment import (
-    enrich_sentiment,
-    read_lexicon,
-    score_by_join,
-    score_reviews,
-)
+from lodgemart.plans.sentiment import enrich_sentiment, score_by_table, score_reviews
 
 LEXICON = {
     "good": 3, "great": 3, "bad": -3, "awful": -3, "ok": 1, "not good": -2, "can't stand": -3,
@@ -62,10 +57,10 @@ def test_no_python_worker_and_no_shuffle(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
-def test_empty_and_oversized_lexicons(spark):
-    assert rows(score_reviews(reviews(spark), {}), "sentiment_score")[0] == (0.0,)
-    with pytest.raises(ValueError, match="score_by_join"):
-        S.sentiment_score("t", {f"w{i}": 1.0 for i in range(S.MAX_NATIVE_WORDS + 1)})
+def test_empty_lexicons(spark):
+    empty = spark.createDataFrame([], "word string, valence double")
+    for lexicon in ({}, {" ": 1.0}, empty):
+        assert set(rows(score_reviews(reviews(spark), lexicon), "sentiment_score")) == {(0.0,)}
 
 
 def test_labels_at_the_band(spark):
@@ -74,20 +69,43 @@ def test_labels_at_the_band(spark):
     assert labels == ["negative", "neutral", "neutral", "neutral", "positive"]
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_words": 0, "splits": 3}])
-def test_join_form_equals_native_form(spark, options):
-    single = {w: v for w, v in LEXICON.items() if re.fullmatch(r"\w+", w)}
-    lexicon = spark.createDataFrame([(w, float(v)) for w, v in single.items()], "word string, valence double")
-    native = score_reviews(reviews(spark), read_lexicon(lexicon)).drop("review_text")
-    assert rows(score_by_join(reviews(spark), "id", lexicon, **options)) == rows(native)
+TRICKY = {
+    **LEXICON, " Good ": 4, "GOOD": 2, "not  bad\n": 2, "well-known": 3, "by-": -7, "cool stuff x": 9, "-deluded": 8,
+}
+TRICKY_TEXTS = [
+    *TEXTS, "not bad at all", "well-known good place", "Good", "by-x by- by-", "cool stuff xx cool stuff x",
+    "self -deluded self-deluded", "not not good", "a\u00a0good", "good" * 3 + " good",
+]
+
+
+def table(spark, lexicon):
+    return spark.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
+
 
+@pytest.mark.parametrize("splits", [1, 3])
+def test_table_form_equals_native_form(spark, splits):
+    df = spark.createDataFrame(list(enumerate(TRICKY_TEXTS)) + [(0, TRICKY_TEXTS[0])], "id int, review_text string")
+    joined = score_by_table(df, table(spark, TRICKY), splits=splits)
+    native = score_reviews(df, TRICKY)
+    assert joined.columns == native.columns
+    assert rows(joined) == rows(native)
+    found = dict(rows(native, "review_text", "sentiment_score"))
+    assert (found["not bad at all"], found["well-known good place"], found["Good"]) == (2.0, 7.0, 4.0)
 
-def test_read_lexicon_skips_nulls_and_refuses_too_much(spark):
-    table = spark.createDataFrame([("good", 3), (None, 1), ("bad", None)], "word string, valence int")
-    assert read_lexicon(table) == {"good": 3.0}
-    big = spark.range(S.MAX_NATIVE_WORDS + 1).selectExpr("concat('w', id) as word", "1 as valence")
-    with pytest.raises(ValueError):
-        read_lexicon(big)
+
+def test_forms_agree_on_a_large_lexicon(spark):
+    large = {f"w{i}": float(i % 3 - 1) for i in range(20_500)} | {f"w{i} w{i + 1}": 5.0 for i in range(0, 300, 3)}
+    texts = [(k, " ".join(f"w{(k * 37 + i) % 21_000}" for i in range(40))) for k in range(20)]
+    df = spark.createDataFrame(texts, "id int, review_text string")
+    assert rows(score_reviews(df, table(spark, large))) == rows(score_reviews(df, large))
+
+
+def test_table_skips_nulls_and_takes_the_largest_repeat(spark):
+    lexicon = spark.createDataFrame(
+        [("good", 3), (None, 1), ("bad", None), ("GOOD", 5), ("good ", 4)], "word string, valence int"
+    )
+    df = spark.createDataFrame([(1, "good bad", {"k": 1})], "id int, review_text string, extra map<string,int>")
+    assert rows(score_by_table(df, lexicon), "sentiment_score") == [(5.0,)]
 
 
 def test_enriched_customers(spark):

@@ -5,11 +5,12 @@ from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from booking_files import write_files
 from conftest import rows
 from lodgemart.plans.top_lists import write_report
-from lodgemart.plans.stages import Job, run_all
+from lodgemart.plans.stages import Job, run_all, run_bronze, run_gold, run_silver
 from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest
 from lodgemart.sources.layers import PathLayer, TableLayer
 from lodgemart.sources.readers import read_csv
@@ -193,6 +194,100 @@ def test_report_skips_what_is_missing(spark, tmp_path):
     assert report.read("top_customers").count() == 1
 
 
+def test_report_raises_what_is_not_a_missing_table(spark, tmp_path):
+    gold, report = PathLayer(spark, str(tmp_path / "gold")), PathLayer(spark, str(tmp_path / "report"))
+    gold.write(spark.createDataFrame([("c1",)], "customer_id string"), "customer_value_enriched")
+    with pytest.raises(AnalysisException):
+        write_report(gold, report)
+
+
+def test_malformed_values_are_marked_and_counted(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write_files(str(raw))
+    lines = (raw / "bookings.csv").read_text().splitlines()
+    header = lines[0].split(",")
+    first, second = lines[1].split(","), lines[2].split(",")
+    first[header.index("checkin_date")] = "13/05/2024"
+    second[header.index("total_amount")] = "99999999999.00"
+    (raw / "bookings.csv").write_text("\n".join([lines[0], ",".join(first), ",".join(second), *lines[3:]]) + "\n")
+    layers = [PathLayer(spark, str(tmp_path / n)) for n in ("bronze", "silver", "gold", "report")]
+    job = Job(str(raw), *layers, reviews=None)
+    run_bronze(spark, job)
+    marks = run_silver(job)
+    got = {r.booking_id: r for r in job.silver.read("bookings").collect()}
+    assert got[first[0]].dq_bad_checkin and not got[second[0]].dq_bad_checkin
+    assert got[second[0]].dq_bad_total and got[second[0]].total_amount is None
+    assert marks["bookings"]["dq_bad_total"] == 1
+    assert marks["bookings"]["dq_bad_checkin"] == 1 + sum("not a date" in x for x in lines)
+    assert marks["payments"]["dq_bad_amount"] == 0 < marks["payments"]["dq_over_amount"]
+
+
+def test_job_passes_its_options_on(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write_files(str(raw))
+
+    def gold(name, **options):
+        layers = [PathLayer(spark, str(tmp_path / name / n)) for n in ("bronze", "silver", "gold", "report")]
+        job = Job(str(raw), *layers, reviews=None, **options)
+        run_bronze(spark, job)
+        run_silver(job)
+        run_gold(job)
+        return job
+
+    plain = gold("plain")
+    other = gold(
+        "other", exclude_status=["cancelled"], confirmed_only=True, status_in=["no such"], currencies=["USD"], splits=3,
+        null_bounds="open", bucket_days=2, bad_date_flags=(None, None), bad_total_flag=None, bad_amount_flag=None,
+    )
+    assert other.gold.read("overbooking_alerts").count() < plain.gold.read("overbooking_alerts").count()
+    assert other.gold.read("customer_value").agg({"revenue_sum": "sum"}).first() < plain.gold.read(
+        "customer_value"
+    ).agg({"revenue_sum": "sum"}).first()
+    assert {r.collection_rate for r in other.gold.read("collection_rate").collect()} == {0}
+    assert "dq_bad_checkin" in plain.silver.read("bookings").columns
+    assert "dq_bad_checkin" not in other.silver.read("bookings").columns
+
+
+def test_places_that_are_the_same_are_refused(spark, tmp_path):
+    """Before anything is written, and with the input still there."""
+    base = str(tmp_path)
+    raw = tmp_path / "raw" / "t"
+    raw.mkdir(parents=True)
+    (raw / "a.csv").write_text("id\n1\n")
+    with pytest.raises(ValueError):
+        ingest(spark, f"{base}/raw", PathLayer(spark, f"{base}/raw"), {"t": TableSpec("t")})
+    assert (raw / "a.csv").read_text() == "id\n1\n"
+    away = [PathLayer(spark, f"{base}/{n}") for n in ("l1", "l2")]
+    pairs = [
+        (PathLayer(spark, f"{base}/x/a"), PathLayer(spark, f"file:{base}/x/a")),
+        (PathLayer(spark, f"{base}/x/a"), PathLayer(spark, f"{base}/x/b/../a")),
+        (TableLayer(spark, "same"), TableLayer(spark, "same", catalog="spark_catalog")),
+        (TableLayer(spark, "same"), TableLayer(spark, "SAME")),
+        (TableLayer(spark, "there", location=f"{base}/y"), PathLayer(spark, f"{base}/y")),
+    ]
+    for one, two in pairs:
+        with pytest.raises(ValueError):
+            Job(f"{base}/raw", one, two, *away)
+    with pytest.raises(ValueError):
+        Job(f"{base}/raw", *away, PathLayer(spark, f"{base}/l3"), PathLayer(spark, f"{base}/raw/"), specs={"t": TableSpec("t")})
+
+
+def test_a_layer_refuses_to_overwrite_what_a_frame_reads(spark, tmp_path):
+    layer = PathLayer(spark, str(tmp_path / "l"))
+    layer.write(spark.range(3), "t")
+    with pytest.raises(ValueError):
+        layer.write(layer.read("t").filter("id > 0"), "t")
+    assert layer.read("t").count() == 3
+    tables = TableLayer(spark, "kept", location=str(tmp_path / "kept"))
+    tables.prepare()
+    tables.write(spark.range(3), "t")
+    with pytest.raises(ValueError):
+        tables.write(tables.read("t").filter("id > 0"), "t")
+    assert tables.read("t").count() == 3
+
+
 def test_job_refuses_overlapping_layers(spark, tmp_path):
     same = PathLayer(spark, str(tmp_path))
     with pytest.raises(ValueError):
