@@ -102,7 +102,9 @@ def score_by_table(
         return reviews.withColumn(SCORE, F.lit(0.0)).withColumn(LABEL, sentiment_label(SCORE))
     cut = reviews.select(*key, pieces(F.col(cols.text)).alias("_found"))
     runs = cut.select("_k1", "_k2", F.inline(_candidates(sizes)))
-    matches = left_lookup(runs.filter(F.trim("text") != ""), entries, "text", "_entry", splits).filter(
+    # An entry neither begins nor ends with a space.
+    runs = runs.filter(F.col("text") == F.trim("text"))
+    matches = left_lookup(runs, entries, "text", "_entry", splits).filter(
         F.col("_entry").isNotNull() & F.col("free")
     )
     # Longest first: the order by text length is that of the pieces it holds.
