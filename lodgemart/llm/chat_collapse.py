@@ -9,7 +9,8 @@ expressions only.
 Defined cases: turns are ordered by (turn, role, text), nulls first; a null role or text is
 an empty one; rows without a conversation id form one conversation of their own, whose id
 is null; repeated rows are turns of their own; an empty table gives an empty result. Other
-columns of the input are ignored, whatever their names.
+columns of the input are ignored, whatever their names. A conversation becomes one row, so one
+task puts it together; its turns are hashed in a stream before.
 """
 
 from __future__ import annotations
