@@ -8,13 +8,14 @@ connected component of each document.
 2. All sets are put in one global order, rare shingles first. With n shingles, a set shares at
    least ceil(0.8 n) of them with any set it links to, so two linked sets share a shingle among
    the first n - ceil(0.8 n) + 1 of each, and k shingles among the first n - ceil(0.8 n) + k.
-   The order counts shingles whose hash lies in a zone (a quarter of all) by the number of rows
+   The order counts shingles whose hash lies in a zone (a third of all) by the number of rows
    that hold them; the others come last, by hash, and are only sent for sets that need them.
    A shingle that no other set holds joins nothing, so most sets send nothing further.
 3. Small sets (n up to a boundary) meet on subsets of ``SUBSET`` shingles of their prefix; large
    sets, and small ones that could link to a large one, meet in the inverted lists of single
    shingles. The boundary is the one of least cost: subsets to be written against entries of
    the lists to be scanned, summed over all sets by size.
+   Both kinds are kept apart by size, as sets that link differ by a quarter at most.
 4. Sets that met are tied to the first of their list, and the ties' components are clusters: a
    linear number of edges that loses no link. Within a cluster the links are verified on the
    whole sets, each sent once; a cluster of more than ``BLOCK_SHINGLES`` is dealt to blocks, and
@@ -29,6 +30,7 @@ copies; an empty table gives an empty result; other columns are ignored, whateve
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +45,7 @@ from lodgemart.llm.components import components, written
 SHINGLE = 5
 PERCENT = 80
 SUBSET = 2
-ZONE_SHARE = 4  # one shingle in so many lies in the counted zone
+ZONE_SHARE = 3  # one shingle in so many lies in the counted zone
 LARGEST_BOUNDARY = 64
 BLOCK_SHINGLES = 1_500_000
 #: Names of clustered sets that may be sent to all tasks; more are joined by shuffling.
@@ -200,18 +202,30 @@ def cheapest_boundary(prefix: DataFrame) -> int:
     return boundary
 
 
+def size_step(n: Column, percent: int) -> Column:
+    """The step of a size on a scale on which linked sizes are one apart at most."""
+    if percent == 100:
+        return n * 2
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(100 / percent))).cast("long")
+
+
 def meetings(prefix: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Edges (a, b) that tie each set to the first of every list or subset it is in."""
+    """Edges (a, b) that tie each set to the first of every list or subset it is in.
+
+    Lists are kept by size as well: sets that link differ by one step of the size scale at
+    most, so each set stands in the lists of its own step and of the next.
+    """
+    prefix = prefix.withColumn("step", F.explode(F.array(size_step(F.col("n"), percent), size_step(F.col("n"), percent) + 1)))
     single = prefix.where((F.col("base") > 0) & (F.col("n") * 100 >= (boundary + 1) * percent)).select(
-        "c", F.explode(F.slice("keys", F.lit(1), F.col("base"))).alias("k")
+        "c", "step", F.explode(F.slice("keys", F.lit(1), F.col("base"))).alias("k")
     )
-    lists = single.select("c", F.xxhash64(F.lit(1), F.col("k.h")).alias("key"))
+    lists = single.select("c", F.xxhash64(F.lit(1), "step", F.col("k.h")).alias("key"))
 
     def pairs(i: Column) -> Column:
         return F.transform(
             F.slice("keys", i + 2, F.size("keys")),
             lambda k: F.xxhash64(
-                F.lit(2), F.least(k["h"], F.get("keys", i)["h"]), F.greatest(k["h"], F.get("keys", i)["h"])
+                F.lit(2), F.col("step"), F.least(k["h"], F.get("keys", i)["h"]), F.greatest(k["h"], F.get("keys", i)["h"])
             ),
         )
 
