@@ -1,7 +1,8 @@
 """Key figures over clean bookings and payments.
 
 Amounts are summed as they are: EUR, USD and GBP are not converted, and rows whose
-currency was nulled still count.
+currency was nulled still count. The names of the result columns are fixed values: readers of
+the gold tables know them.
 """
 
 from __future__ import annotations
