@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgemart.llm.common import ascii_lower, row_key, size_checked
+from lodgemart.llm.common import row_key, size_checked, words_of
 from lodgemart.llm.components import written
 
 SHINGLE = 5
@@ -40,11 +40,6 @@ RADIUS = 15
 BROADCAST_SHINGLES = 500_000
 BROADCAST_BLOCKS = 200_000
 BROADCAST_TEXTS = 300_000
-NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-
-
-def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
 def word_hashes(text: Column) -> Column:

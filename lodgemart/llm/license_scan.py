@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodgemart.llm.common import ascii_lower, row_key, size_checked
+from lodgemart.llm.common import row_key, size_checked, words_of
 
 GRAM = 4
 NEIGHBOUR = 3
@@ -28,7 +28,6 @@ COVERED = 0.8
 STRETCH = 1.3
 #: Template windows that may be sent to all tasks; more are joined by shuffling.
 BROADCAST_WINDOWS = 200_000
-NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -68,11 +67,6 @@ TEMPLATES = {
 }
 
 
-def words_of(text: Column) -> Column:
-    """Lower-cased words of a text, in order."""
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
-
-
 def gram_hashes(words: Column) -> Column:
     """One hash for each window of ``GRAM`` words."""
 
