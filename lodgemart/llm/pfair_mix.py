@@ -26,7 +26,7 @@ from pyspark.sql import Window
 
 BLOCK_ROWS = 64
 PERIOD = 1_000
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_096
 #: Rows of the schedule that may be sent to all tasks; a longer one is joined by shuffling.
 BROADCAST_ROWS = 20_000
 
