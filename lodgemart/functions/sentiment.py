@@ -41,7 +41,7 @@ def _alternatives(words: list[str]) -> str:
         if word:
             by_head.setdefault(word[0], []).append(word[1:])
     branches = [
-        (r"\s+" if head == " " else re.escape(head)) + _alternatives(tails)
+        re.escape(head) + _alternatives(tails)
         for head, tails in sorted(by_head.items())
     ]
     if not branches:
@@ -86,10 +86,13 @@ def sentiment_score(text: Column | str, lexicon: Mapping[str, float]) -> Column:
     if not entries:
         return F.lit(0.0)
     text = F.col(text) if isinstance(text, str) else text
-    units = F.regexp_extract_all(F.lower(text), F.lit(unit_pattern(entries)), F.lit(0))
+    text = F.lower(text)
     if any(" " in e for e in entries):
-        units = F.transform(units, lambda u: F.regexp_replace(u, r"\s+", " "))
-    total = F.aggregate(units, F.lit(0.0), lambda acc, u: acc + _valence(u, entries))
+        text = F.regexp_replace(text, r"\s+", " ")
+    units = F.regexp_extract_all(text, F.lit(unit_pattern(entries)), F.lit(0))
+    # Most words are no entries; one test leaves them out before the tests for each value.
+    found = F.filter(units, lambda u: u.isin(*entries))
+    total = F.aggregate(found, F.lit(0.0), lambda acc, u: acc + _valence(u, entries))
     return F.coalesce(total, F.lit(0.0))
 
 
