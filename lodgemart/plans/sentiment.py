@@ -52,20 +52,19 @@ def lexicon_entries(lexicon: DataFrame, word: str = "word", valence: str = "vale
 
 
 def _candidates(sizes: list[int]) -> Column:
-    """(at, size, text, free) of all runs of so many pieces; free: no word character follows."""
+    """(at, size, text, next) of all runs of so many pieces that don't begin with a space."""
 
     def at(i: Column) -> Column:
         runs = []
         for n in sizes:
-            text = F.array_join(F.slice("_found", i + 1, n), "")
-            after = F.coalesce(F.get("_found", i + n), F.lit("")).rlike(f"^{WORD_CHARS}")
-            whole = i + n <= F.size("_found")
-            runs.append(
-                F.when(whole, F.struct(i.alias("at"), F.lit(n).alias("size"), text.alias("text"), (~after).alias("free")))
+            text = F.get("_found", i) if n == 1 else F.array_join(F.slice("_found", i + 1, n), "")
+            run = F.struct(
+                i.alias("at"), F.lit(n).alias("size"), text.alias("text"), F.get("_found", i + n).alias("next")
             )
-        return F.filter(F.array(*runs), lambda r: r.isNotNull())
+            runs.append(F.when(i + n <= F.size("_found"), run))
+        return F.array_compact(F.array(*runs))
 
-    places = F.sequence(F.lit(0), F.size("_found") - 1)
+    places = F.filter(F.sequence(F.lit(0), F.size("_found") - 1), lambda i: F.get("_found", i) != " ")
     return F.when(F.size("_found") > 0, F.flatten(F.transform(places, at)))
 
 
@@ -105,7 +104,8 @@ def score_by_table(
     # An entry neither begins nor ends with a space.
     runs = runs.filter(F.col("text") == F.trim("text"))
     matches = left_lookup(runs, entries, "text", "_entry", splits).filter(
-        F.col("_entry").isNotNull() & F.col("free")
+        # As in the plan's pattern, an entry does not end where a word character follows.
+        F.col("_entry").isNotNull() & ~F.coalesce("next", F.lit("")).rlike(f"^{WORD_CHARS}")
     )
     # Longest first: the order by text length is that of the pieces it holds.
     match = F.struct("at", (-F.col("size")).alias("back"), "size", F.col("_valence").alias("valence"))
