@@ -153,3 +153,32 @@ def test_pipeline_of_odd_tables(spark, tmp_path, odd_rows):
         spark.createDataFrame(data, SCHEMA).write.mode("overwrite").parquet(f"{sf_dir}/documents.parquet")
         found = C.run(spark, sf_dir)
         assert (found.count() > 0) == (k == 0)
+
+
+def test_training_windows_cover_every_token(spark):
+    texts = ["", None, "short", "Plain words " * 400, "x" * 3_000, "tail " * 31 + "end", "y z " * 300_000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    tok = L.P.tokenizer(TOKENIZER)
+    class_of = (np.arange(tok.get_vocab_size()) * 7 % L.CLASSES).astype(np.uint8)
+    end = tok.get_vocab_size() - 1
+    packs = df.mapInArrow(L._windows(TOKENIZER, class_of, end), "classes binary").collect()
+    found = np.concatenate([np.frombuffer(p[0], np.uint8).reshape(-1, L.WINDOW + 1) for p in packs])
+    expected = []
+    for text in texts:
+        parts = [tok.encode(" " + w, add_special_tokens=False).ids for w in low(text).split()]
+        line = [class_of[i] for i in [end, *(i for p in parts for i in p), end]]
+        for k in range(0, len(line) - 1, L.WINDOW):
+            row = line[k : k + L.WINDOW + 1]
+            expected.append([*row, *[L.PAD] * (L.WINDOW + 1 - len(row))])
+    assert sorted(found.tolist()) == sorted(np.array(expected, np.uint8).tolist())
+
+
+def test_short_texts_teach(spark):
+    rows = np.full((1, L.WINDOW + 1), L.PAD, np.uint8)
+    rows[0, :3] = 1, 2, 1
+    packs = spark.createDataFrame([(bytearray(rows.tobytes()),)] * 3, "classes binary")
+    start = L.Weights.start(np.zeros(L.CLASSES))
+    after = L.fit(packs, start)
+    assert L.gradients(after, rows.astype(int))[0] < L.gradients(start, rows.astype(int))[0]
+    short = rows.astype(int)[:, :3]
+    assert L.gradients(start, rows.astype(int))[0] == pytest.approx(L.gradients(start, short)[0], rel=1e-5)
