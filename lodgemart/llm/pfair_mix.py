@@ -4,9 +4,13 @@ Each source's documents are cut into blocks. Block j of a source with weight w i
 at slot floor(j / w) and due before slot ceil((j + 1) / w); in every slot the released block
 with the earliest deadline goes out. On one line of slots with weights summing to 1 that
 order misses no deadline, so at any slot t a source has sent w * t blocks, give or take less
-than one. Weights are multiples of 1 / period, and the schedule repeats after one period,
-so one period is worked out and every block finds its slot by arithmetic. When a source has
-no blocks left, a new phase starts with the weights of those that remain.
+than one. The weights are taken as the exact fractions they are; the slots are worked out one
+after the other in a stream, a block of rows each, and blocks meet their slots by source and
+chunk of ``CHUNK`` blocks. When a source has no blocks left, a new phase starts with the weights
+of those that remain.
+
+With a ``period``, weights are first rounded to multiples of 1 / period, and a schedule of one
+period is repeated: the bound then holds for the rounded weights only.
 
 Defined cases: a null source is a source of its own; a null id is an id; equal (source, id)
 rows each get a place; sources without a weight given take none away from the others and
@@ -16,19 +20,28 @@ follow after all weighted ones, in equal shares; an empty table gives an empty r
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from array import array
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from math import lcm
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from lodgemart.llm.components import written
+
 BLOCK_ROWS = 64
 PERIOD = 1_000
+CHUNK = 1_024
 BUCKET_ROWS = 4_096
-#: Rows of the schedule that may be sent to all tasks; a longer one is joined by shuffling.
+#: Rows of a repeated schedule, and blocks of a whole one, that may be sent to all tasks; a longer one is
+#: joined by shuffling.
 BROADCAST_ROWS = 20_000
+BROADCAST_BLOCKS = 1_000_000
 
 PHASES = T.StructType(
     [
@@ -44,6 +57,91 @@ PHASES = T.StructType(
 )
 
 
+SLOTS = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("is_null", T.BooleanType()),
+        T.StructField("chunk", T.LongType()),
+        T.StructField("slots", T.ArrayType(T.LongType())),
+    ]
+)
+
+
+def whole_parts(weights: Mapping) -> dict:
+    """Weights as whole numbers in exactly their proportions."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(f.denominator for f in exact.values()))
+    return {s: int(f * scale) for s, f in exact.items()}
+
+
+def block_sources(blocks: Mapping, weights: Mapping) -> Iterator:
+    """The source whose next block goes out, slot by slot: earliest deadline first by the exact weights."""
+    left = {s: n for s, n in blocks.items() if n > 0}
+    while left:
+        active = {s: weights.get(s) or 0 for s in left}
+        if not any(w > 0 for w in active.values()):
+            active = dict.fromkeys(left, 1)
+        parts = whole_parts({s: w for s, w in active.items() if w > 0})
+        total = sum(parts.values())
+        names = sorted(parts, key=lambda s: (s is not None, str(s)))
+        sizes = [parts[s] for s in names]
+        sent = [0] * len(names)
+        waiting, ready = [(0, rank) for rank in range(len(names))], []
+        t = 0
+        while True:
+            while waiting and waiting[0][0] <= t:
+                _, rank = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(sent[rank] + 1) * total // sizes[rank]), rank))
+            _, rank = heapq.heappop(ready)
+            yield names[rank]
+            t += 1
+            sent[rank] += 1
+            if sent[rank] == left[names[rank]]:
+                break
+            heapq.heappush(waiting, (sent[rank] * total // sizes[rank], rank))
+        for s, n in zip(names, sent, strict=True):
+            left[s] -= n
+        left = {s: n for s, n in left.items() if n}
+
+
+def _slot_rows(blocks: Mapping, weights: Mapping):
+    """The slots of each source's blocks, ``CHUNK`` blocks to a row, as they are worked out."""
+
+    def batch(rows: list) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        kinds = pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], SLOTS.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not sum(b.num_rows for b in batches):
+            return
+        open_: dict = {}
+        chunks: dict = {}
+        rows = []
+        for slot, s in enumerate(block_sources(blocks, weights)):
+            mine = open_.setdefault(s, array("q"))
+            mine.append(slot)
+            if len(mine) == CHUNK:
+                chunks[s] = chunks.get(s, 0) + 1
+                rows.append((s or "", s is None, chunks[s] - 1, np.frombuffer(open_.pop(s), np.int64)))
+                if len(rows) == 64:
+                    yield batch(rows)
+                    rows = []
+        rows += [(s or "", s is None, chunks.get(s, 0), np.frombuffer(mine, np.int64)) for s, mine in open_.items()]
+        for at in range(0, len(rows), 4_096):
+            yield batch(rows[at : at + 4_096])
+
+    return run
+
+
+def slot_frame(spark: SparkSession, counts: Mapping, weights: Mapping, block_rows: int) -> DataFrame:
+    """The slots of all blocks as a frame, marked for broadcast if it is short."""
+    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
+    one = spark.range(0, 1, 1, 1)  # each slot depends on those before it
+    frame = written(one.mapInArrow(_slot_rows(blocks, dict(weights)), SLOTS), "mix-slots")
+    return F.broadcast(frame) if sum(blocks.values()) <= BROADCAST_BLOCKS else frame
+
+
 def shares(weights: Mapping, period: int) -> dict:
     """Weights as whole shares of the period, by largest remainder, one at least for each."""
     period = max(period, 2 * len(weights))
@@ -75,7 +173,7 @@ def one_period(parts: Mapping) -> dict:
 
 
 def plan_phases(blocks: Mapping, weights: Mapping, period: int = PERIOD) -> list[tuple]:
-    """Rows (source, first block, end block, share, period, first slot, places) of the schedule."""
+    """Rows (source, first block, end block, share, period, first slot, places) of a repeated schedule."""
     left = {s: n for s, n in blocks.items() if n > 0}
     done = dict.fromkeys(left, 0)
     base, rows = 0, []
@@ -109,8 +207,12 @@ def source_counts(df: DataFrame, source: str) -> dict:
     return {r["s"]: r["n"] for r in rows}
 
 
-def schedule_frame(spark: SparkSession, counts: Mapping, weights: Mapping, block_rows: int, period: int):
+def schedule_frame(
+    spark: SparkSession, counts: Mapping, weights: Mapping, block_rows: int, period: int | None = None
+) -> DataFrame:
     """The schedule as a frame, marked for broadcast if it is short."""
+    if period is None:
+        return slot_frame(spark, counts, weights, block_rows)
     rows = plan_phases({s: -(-n // block_rows) for s, n in counts.items()}, weights, period)
     packed = [(s or "", s is None, *map(int, rest), [int(x) for x in places]) for s, *rest, places in rows]
     frame = spark.createDataFrame(packed, PHASES)
@@ -141,19 +243,19 @@ def ranks(df: DataFrame, id_col: str, source: str, total: int) -> DataFrame:
 def placed(ranked: DataFrame, schedule: DataFrame, block_rows: int) -> DataFrame:
     """Adds block, slot and position to rows with a source ``s`` and a rank in it."""
     block = F.floor(F.col("rank") / F.lit(block_rows)).cast("long")
-    mine = (
-        (F.coalesce(F.col("s"), F.lit("")) == F.col("key"))
-        & (F.col("s").isNull() == F.col("is_null"))
-        & (F.col("block") >= F.col("first_block"))
-        & (F.col("block") < F.col("end_block"))
-    )
-    nth = F.col("block") - F.col("first_block")
-    inside: Column = F.element_at("places", (nth % F.col("share") + 1).cast("int"))
-    slot = F.col("base") + F.floor(nth / F.col("share")).cast("long") * F.col("period") + inside
+    mine = (F.coalesce(F.col("s"), F.lit("")) == F.col("key")) & (F.col("s").isNull() == F.col("is_null"))
+    if "chunk" in schedule.columns:
+        mine &= F.floor(F.col("block") / F.lit(CHUNK)).cast("long") == F.col("chunk")
+        slot: Column = F.element_at("slots", (F.col("block") % F.lit(CHUNK) + 1).cast("int"))
+    else:
+        mine &= (F.col("block") >= F.col("first_block")) & (F.col("block") < F.col("end_block"))
+        nth = F.col("block") - F.col("first_block")
+        inside: Column = F.element_at("places", (nth % F.col("share") + 1).cast("int"))
+        slot = F.col("base") + F.floor(nth / F.col("share")).cast("long") * F.col("period") + inside
     joined = ranked.withColumn("block", block).join(schedule, mine).withColumn("slot", slot)
     return joined.withColumn(
         "position", F.col("slot") * block_rows + F.col("rank") % F.lit(block_rows)
-    ).drop(*PHASES.names)
+    ).drop(*schedule.columns)
 
 
 def mix_ids(
@@ -162,12 +264,12 @@ def mix_ids(
     id_col: str = "doc_id",
     source: str = "source",
     block_rows: int = BLOCK_ROWS,
-    period: int = PERIOD,
+    period: int | None = None,
     power: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``df``: id, source, ``block`` of the source, ``slot``, ``position``.
 
-    ``weights`` by source; None takes the sources' row counts to ``power``.
+    ``weights`` by source; None takes the sources' row counts to ``power``. A ``period`` rounds them.
     """
     counts = source_counts(df, source)
     schedule = schedule_frame(df.sparkSession, counts, weights or tempered(counts, power), block_rows, period)
@@ -184,7 +286,7 @@ def mix_rows(
     id_col: str = "doc_id",
     source: str = "source",
     block_rows: int = BLOCK_ROWS,
-    period: int = PERIOD,
+    period: int | None = None,
     power: float = 0.5,
 ) -> DataFrame:
     """The rows of ``df`` in mixed order, columns unchanged.

@@ -1,4 +1,6 @@
+import itertools
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from conftest import rows
@@ -100,3 +102,39 @@ def test_unweighted_sources_follow(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)], "doc_id long, source string")
     found = pfair_mix.mix_ids(df, {"a": 1.0}, block_rows=4).orderBy("position").collect()
     assert [r["source"] for r in found] == ["a"] * 20 + ["b"] * 20
+
+
+def test_exact_weights_hold_within_a_block(spark):
+    weights = {**{f"s{k:02}": 0.1 + 0.013 * k for k in range(8)}, "half": 1.2, "rare": 1e-5, None: 0.3}
+    total = sum(map(Fraction, weights.values()))
+    sent = Counter()
+    for t, s in enumerate(itertools.islice(pfair_mix.block_sources(dict.fromkeys(weights, 10**9), weights), 100_000)):
+        sent[s] += 1
+        if t % 97 == 0 or t > 99_900:
+            assert all(abs(sent[k] - Fraction(w) / total * (t + 1)) < 1 for k, w in weights.items())
+    assert sent["rare"] <= 1
+    parts = {"a": 5, "b": 1, None: 2}
+    mine = list(pfair_mix.block_sources({"a": 40, "b": 30, None: 60}, parts))
+    brute = brute_schedule({"a": 40, "b": 30, None: 60}, parts)
+    assert [s for s, _, _ in brute] == mine[: len(brute)]
+    assert Counter(mine) == {"a": 40, "b": 30, None: 60}
+
+
+def test_mix_holds_the_given_weights(spark, monkeypatch):
+    sizes, weights = {"a": 3_500, "b": 900, None: 500, "late": 7}, {"a": 5.0, "b": 1.0, None: 0.51}
+    data = [(i, s) for s, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(data, "doc_id long, source string")
+    for limit in (pfair_mix.BROADCAST_BLOCKS, 0):
+        monkeypatch.setattr(pfair_mix, "BROADCAST_BLOCKS", limit)
+        found = pfair_mix.mix_ids(df, weights, block_rows=1).orderBy("position").collect()
+        order = [r["source"] for r in found]
+        assert order == list(pfair_mix.block_sources(sizes, weights))
+        assert [r["position"] for r in found] == list(range(len(data)))
+        assert len({(r["doc_id"], r["source"]) for r in found}) == len(data)
+        sent = Counter()
+        for t, s in enumerate(order, 1):
+            sent[s] += 1
+            assert all(abs(sent[k] - w / 6.51 * t) < 1 + 1e-9 for k, w in weights.items())
+            if any(sent[k] == sizes[k] for k in weights):
+                break
+        assert t > 3_000
