@@ -4,7 +4,9 @@ A sequence of BPE tokens is the encoding of its text exactly if each token is it
 encoding and each neighbouring pair is the encoding of its own text. So the last token of a
 prefix's encoding is the one token that ends there and goes with the last token of the
 prefix before it, and the count is that prefix's count plus one. The states hang on a trie of
-pieces kept per worker: a prefix that two words share is worked out once. The counts answer
+pieces kept per worker: a prefix that two words share is worked out once. A state is a number,
+found by its parent's number and the next letter, so a word takes memory by its length; past
+``MAX_STATES`` states the trie starts anew, also in the middle of a word. The counts answer
 what a truncated text would cost and where a budget ends, without encoding it again.
 
 Counts are those of the library for the prefix as a text of its own: white space at its end
@@ -17,6 +19,7 @@ repeated rows are counted one by one; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,7 @@ from lodgemart.llm import text as X
 
 LIMIT = 1_024
 MAX_STATES = 1_000_000
+LETTER_BITS = 10  # a vocabulary's letters for bytes are below x200
 
 # Contractions of more than one letter, which the pre-tokenizer keeps whole.
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
@@ -42,9 +46,14 @@ class PrefixTable(P.PieceTable):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.vocab = self.tok.get_vocab(with_added_tokens=False)
-        self.longest = max(map(len, self.vocab))
-        self.state: dict[str, tuple[int, str]] = {}
+        self.letters = {token: token for token in self.tok.get_vocab(with_added_tokens=False)}
+        self.longest = max(map(len, self.letters))
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties the trie: state 0 is the empty prefix, each other has its count and its last token."""
+        self.child: dict[int, int] = {}
+        self.count, self.last = array("I", [0]), [""]
         self.pair: dict[tuple[str, str], bool] = {}
 
     def goes(self, left: str, right: str) -> bool:
@@ -53,49 +62,61 @@ class PrefixTable(P.PieceTable):
         if known is None:
             found = self.tok.model.tokenize(left + right)
             known = len(found) == 2 and found[0].value == left
+            if len(self.pair) >= MAX_STATES:
+                self.pair.clear()
             self.pair[left, right] = known
         return known
 
-    def counts(self, word: str) -> list[int]:
+    def step(self, word: str, end: int, counts: array, lasts: list[str]) -> tuple[int, str]:
+        """Count and last token of the prefix up to ``end``, from those of the shorter prefixes."""
+        for size in range(min(end, self.longest), 0, -1):
+            token = self.letters.get(word[end - size : end])
+            if token is None:
+                continue
+            if size == end:
+                if len(self.tok.model.tokenize(token)) == 1:
+                    return 1, token
+            elif self.goes(lasts[end - size], token):
+                return counts[end - size] + 1, token
+        raise ValueError(f"no encoding ends at {end} of a pre-token")
+
+    def counts(self, word: str) -> array:
         """Token counts of the prefixes of one pre-token, given in the vocabulary's letters for bytes."""
-        state, vocab, out = self.state, self.vocab, []
+        counts, lasts, state = array("I", [0]), [""], 0
         for end in range(1, len(word) + 1):
-            prefix = word[:end]
-            known = state.get(prefix)
-            if known is None:
-                for size in range(min(end, self.longest), 0, -1):
-                    token = prefix[end - size :]
-                    if token not in vocab:
-                        continue
-                    if size == end:
-                        if len(self.tok.model.tokenize(token)) == 1:
-                            known = (1, token)
-                            break
-                    else:
-                        count, last = state[prefix[: end - size]]
-                        if self.goes(last, token):
-                            known = (count + 1, token)
-                            break
-                state[prefix] = known
-            out.append(known[0])
-        return out
-
-    def at_chars(self, body: str) -> list[int]:
+            key = state << LETTER_BITS | ord(word[end - 1])
+            state = self.child.get(key, -1)
+            if state < 0:
+                count, last = self.step(word, end, counts, lasts)
+                if len(self.last) >= MAX_STATES:
+                    self.forget()
+                    # The rest of this word has no place in the new trie.
+                    for rest in range(end, len(word) + 1):
+                        if rest > end:
+                            count, last = self.step(word, rest, counts, lasts)
+                        counts.append(count)
+                        lasts.append(last)
+                    break
+                state = self.child[key] = len(self.last)
+                self.count.append(count)
+                self.last.append(last)
+            counts.append(self.count[state])
+            lasts.append(self.last[state])
+        return counts[1:]
+
+    def at_chars(self, body: str) -> array:
         """The same at the characters of a pre-token's text."""
         (word, _), *more = self.tok.pre_tokenizer.pre_tokenize_str(body)
         if more:
             raise ValueError(f"not one pre-token: {body!r}")
         own = self.counts(word)
         if len(word) > len(body):
-            own = [own[i - 1] for i in np.cumsum([len(c.encode()) for c in body])]
+            own = array("I", (own[i - 1] for i in np.cumsum([len(c.encode()) for c in body])))
         if body in LONG_CONTRACTIONS:
             own[1] = 2
         return own
 
     def values(self, words: list[str]) -> list:
-        if len(self.state) > MAX_STATES:
-            self.state.clear()
-            self.pair.clear()
         return [self.at_chars(w) for w in words]
 
     def whole(self, text: str) -> list[int]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -119,3 +120,28 @@ def test_ids_of_odd_rows(spark, odd, odd_rows, empty):
     out = scratch_path(spark, "no-ids")
     repair_ids.write_ids(empty, out, TOKENIZER)
     assert repair_ids.read_ids(spark, out).count() == 0
+
+
+@pytest.mark.parametrize("limit", [token_prefix.MAX_STATES, 5_000])
+def test_counts_of_very_long_pieces(monkeypatch, limit):
+    monkeypatch.setattr(token_prefix, "MAX_STATES", limit)
+    rng = random.Random(4)
+    long = ["".join(rng.choices("acgt", k=100_000)), " " * 100_000 + "x", "é" * 2_000, "ab cd" + "\n" * 3_000]
+    table = token_prefix.PrefixTable(TOKENIZER)
+    counts, edges = table.texts(pa.array(long, pa.string()))
+    assert len(table.last) <= limit
+    for k, text in enumerate(long):
+        own = counts[edges[k] : edges[k + 1]]
+        assert len(own) == len(text)
+        for n in (1, 2, 3, 17, 400, 2_999, 5_001, len(text)):
+            if n <= len(text):
+                assert own[n - 1] == len(ids_of(text[:n]))
+
+
+def test_memory_of_a_long_piece():
+    table = token_prefix.PrefixTable(TOKENIZER)
+    tracemalloc.start()
+    table.texts(pa.array(["acgt" * 2_500], pa.string()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000  # the prefixes themselves are 50 MB
