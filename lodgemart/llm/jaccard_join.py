@@ -312,10 +312,8 @@ def verified_links(texts: DataFrame, clusters: DataFrame, percent: int) -> DataF
     return sent.groupBy("cluster", "i", "j").applyInArrow(_verified(percent), "a long, b long")
 
 
-def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT
-) -> DataFrame:
-    """One row per row: id, ``n_shingles``, ``component_id`` (the smallest id reachable by links)."""
+def _component_rows(docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+    """One row per row: id, n, c, ``root`` (the component's least set name), ``component_id``."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     rows = written(
         texts.mapInArrow(_named, f"id {dict(texts.dtypes)['id']}, n long, c long"), "jaccard-rows"
@@ -331,29 +329,49 @@ def jaccard_components(
         "root", F.coalesce("root", "c")
     )
     named = classes.groupBy("root").agg(F.min("least").alias("component"))
-    by_set = classes.join(named, "root").select("c", "component")
+    by_set = classes.join(named, "root").select("c", "root", "component")
     linked = rows.join(by_set, "c", "left")
-    return linked.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
-    )
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
+    return linked.select("id", "n", "c", "root", component.alias("component_id"))
+
+
+def jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """One row per row: id, ``n_shingles``, ``component_id`` (the smallest id reachable by links)."""
+    found = _component_rows(docs, id_col, text, percent)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose id names their component, columns unchanged.
 
-    Rows without id are kept. Rows that share an id are one document: of those equal in text
-    too one is kept.
+    Rows without id are kept. Rows that share an id are told apart by their texts: each component
+    keeps one row, texts without words one of each text.
     """
-    found = jaccard_components(docs, id_col, text, percent)
-    dropped = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone")).distinct()
-    dropped = size_checked(written(dropped, "jaccard-dropped"), BROADCAST_SETS)
+    found = _component_rows(docs, id_col, text, percent)
+    dropped = found.where("component_id <> id").select(F.col("id").alias("gone")).distinct()
+    repeated = docs.groupBy(F.col(id_col).alias("gone")).count().where("count > 1 and gone is not null")
+    repeated = written(repeated.select("gone"), "jaccard-repeated")
+    again = not repeated.isEmpty()
+    dropped = written(dropped.union(repeated).distinct() if again else dropped, "jaccard-dropped")
+    dropped = size_checked(dropped, BROADCAST_SETS)
     kept = docs.join(dropped, docs[id_col] == dropped["gone"], "left_anti")
-    repeated = docs.groupBy(F.col(id_col).alias("id")).count().where("count > 1 and id is not null")
-    if repeated.isEmpty():
+    if not again:
         return kept
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = kept.select(F.col(id_col).alias("id"), *row_key(id_col, text), row)
-    one = keyed.where("id is not null").groupBy("k1", "k2").agg(F.any_value("row").alias("row"))
-    return one.select("row.*").union(keyed.where("id is null").select("row.*"))
+    own = docs.join(repeated, docs[id_col] == repeated["gone"], "left_semi")
+    named = own.select(
+        F.struct(F.col(id_col).alias("id"), *row_key(id_col, text)).alias("id"), F.col(text).alias("text")
+    )
+    named = named.mapInArrow(_named, f"id {dict(named.dtypes)['id']}, n long, c long").select("id.*", "n", "c")
+    least = found.where("component_id = id").select("id", "c", "root").distinct()
+    keys = (
+        named.distinct()
+        .join(least, ["id", "c"])
+        .groupBy("id", "root", F.when(F.col("n") == 0, F.struct("k1", "k2")).alias("empty"))
+        .agg(F.min(F.struct("k1", "k2")).alias("k"))
+        .select("k.*")
+    )
+    one = own.select(*row_key(id_col, text), row).join(keys, ["k1", "k2"])
+    return kept.union(one.groupBy("k1", "k2").agg(F.any_value("row").alias("row")).select("row.*"))

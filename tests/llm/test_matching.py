@@ -99,6 +99,15 @@ def test_join_of_odd_rows(spark, odd, odd_rows, empty):
     assert jaccard_join.one_of_each(empty).count() == 0
 
 
+def test_repeated_ids_lose_only_their_copies(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    data = [(5, a), (5, b), (3, a + " end"), (8, b + " end"), (7, c), (7, c + " end"), (7, c), (9, ""), (9, None), (9, "")]
+    df = spark.createDataFrame([(*r, "x") for r in data], "doc_id long, text string, more string")
+    kept = [tuple(r) for r in jaccard_join.one_of_each(df).collect()]
+    assert sorted(r[0] for r in kept) == [3, 5, 7, 9, 9]
+    assert (5, b, "x") in kept and (3, a + " end", "x") in kept
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 300), (300, 100), (7, 7)]
     found = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
