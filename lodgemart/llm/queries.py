@@ -15,6 +15,7 @@ from lodgemart.llm import (
     license_scan,
     passage_attention,
     pfair_mix,
+    pii_spans,
     quality_rules,
     repair_ids,
     token_prefix,
@@ -75,6 +76,10 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_ids.read_ids(spark, out, with_ids=False)
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans.digest(pii_spans.find_spans(load(spark, sf_dir, "documents")))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -87,6 +92,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_chat_formatting": op8_chat_formatting,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_token_ids": op10_token_ids,
+        "op12_pii": op12_pii,
     }
 
 

@@ -1,0 +1,141 @@
+import hashlib
+import random
+import re
+import time
+from collections import Counter
+
+import pytest
+from llm_cases import empty, odd, odd_rows, sf, texts  # noqa: F401
+from pyspark.sql import functions as F
+
+pytest.importorskip("public_tokenizers")
+
+from lodgemart.llm import pii_spans as P  # noqa: E402
+from lodgemart.llm.queries import llm_queries  # noqa: E402
+
+
+def brute(text):
+    """Spans by the plain patterns alone."""
+    out = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        out += [("ip", m)] * all(int(x) <= 255 for x in m.group().split("."))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m.group() if c.isdigit()][::-1]
+        doubled = [d if k % 2 == 0 else (2 * d) % 10 + (2 * d) // 10 for k, d in enumerate(digits)]
+        out += [("card", m)] * (14 <= len(digits) <= 19 and sum(doubled) % 10 == 0)
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        out += [("phone", m)] * (10 <= sum(c in "0123456789" for c in m.group()) <= 15)
+    order = ["email", "ip", "card", "phone"]
+    return sorted(((k, m.start(), m.end()) for k, m in out), key=lambda x: (x[1], order.index(x[0])))
+
+
+def named(spans):
+    return [(P.KINDS[k], s, e) for s, k, e in spans]
+
+
+PARTS = ["1", "2", "0", "55", ".", ".", "@", "@", "+", "-", " ", "a", "b.c", "(", ")", "é", "4111111111111111",
+         "1.2.3.4", "x@y.zz", "+1 (988) 555-2485", " at ", " dot ", "one ", "plus "]
+
+
+def test_plain_spans_equal_brute_force():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randrange(25)))
+        plain, spans = P.all_spans(text)
+        assert named(plain) == brute(text)
+        assert set(plain) <= set(spans) and spans == sorted(spans)
+
+
+@pytest.mark.parametrize(
+    "kind, span",
+    [
+        ("email", "john dot smith at example dot com"),
+        ("email", "jane (at) mail [dot] org"),
+        ("email", "jane(at)mail.org"),
+        ("email", "jоhn@mаil.com"),
+        ("email", "jo​hn@mail.com"),
+        ("email", "ｊohn＠mail．com"),
+        ("ip", "192 dot 168 dot 0 dot 17"),
+        ("ip", "one nine two dot one six eight dot 0 dot 17"),
+        ("card", "four one one one, one one one one, one one one one, one one one one"),
+        ("card", "٤١١١ 1111 1111 1111"),
+        ("phone", "plus one two three four five six seven eight nine oh one"),
+        ("phone", "plus 1 (988) 555-2485"),
+    ],
+)
+@pytest.mark.parametrize("before, after", [("", ""), ("Call, é:\n", "; over"), ("a@b.cc zero one; ", " (end)")])
+def test_disguises_are_found_at_their_source(kind, span, before, after):
+    text = before + span + after
+    _, spans = P.all_spans(text)
+    assert (kind, len(before), len(before) + len(span)) in named(spans)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["look at example.com at once", "one two three", "a dot matrix at the end", "plus one", "(at) home", "1.2.3", "dot dot dot",
+     "seven at nine dot", "été à la côte"],
+)
+def test_clean_text_is_left_alone(text):
+    assert P.all_spans(text) == ([], [])
+
+
+def test_places_map_back_through_chained_changes():
+    rng = random.Random(5)
+    for _ in range(500):
+        text = "".join(rng.choice("abc ") for _ in range(40))
+        now, letters = P.Rewritten.of(text), [(k, k + 1) for k in range(40)]
+        for _ in range(3):
+            cuts = sorted(rng.sample(range(len(now.text) + 1), 4)) if len(now.text) > 4 else []
+            changes = [(a, b, rng.choice(["", "X", "YZ"])) for a, b in zip(cuts[::2], cuts[1::2]) if a < b]
+            stands, before = [], 0
+            for a, b, new in changes:
+                stands += letters[before:a] + [(letters[a][0], letters[b - 1][1])] * len(new)
+                before = b
+            letters = stands + letters[before:]
+            now = now.changed(changes)
+            assert len(now.text) == len(letters)
+        for k, (start, end) in enumerate(letters):
+            assert now.start(k) == start
+            assert now.end(k + 1) == end
+
+
+def test_time_grows_with_the_text():
+    for piece in ("1", "a", "+1", "a@", "1.", "1 ", "one ", " dot ", "a@b.", "at ", "plus ", "+ ", "é​"):
+        start = time.perf_counter()
+        P.all_spans(piece * 100_000)
+        assert time.perf_counter() - start < 5, piece
+
+
+def digest(spans):
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+
+def test_query_equals_brute_force(spark, sf, texts):
+    found = {r["doc_id"]: r for r in llm_queries()["op12_pii"](spark, sf).collect()}
+    assert len(found) == len(texts)
+    some = 0
+    for doc, text in texts:
+        base, r = brute(text or ""), found[doc]
+        counts = Counter(k for k, _, _ in base)
+        assert [r[f"n_{k}"] for k in P.KINDS] == [counts[k] for k in P.KINDS]
+        assert r["base_sha256"] == hashlib.sha256(digest(base).encode()).hexdigest()
+        assert set(filter(None, digest(base).split(","))) <= set(filter(None, r["spans"].split(",")))
+        some += bool(base)
+    assert some
+
+
+def test_odd_tables(spark, odd, odd_rows, empty):
+    more = spark.createDataFrame([(11, "a@b.cc " * 50_000, "en", "a", 1)], empty.schema)
+    df = P.find_spans(odd.unionByName(more, allowMissingColumns=True))
+    found = P.digest(df).collect()
+    assert len(found) == len(odd_rows) + 1
+    assert Counter(r["doc_id"] for r in found) == Counter([r[0] for r in odd_rows] + [11])
+    assert max(r["n_email"] for r in found) == 50_000
+    assert P.find_spans(empty).count() == 0 and P.digest(P.find_spans(empty)).count() == 0
+
+
+def test_redaction(spark):
+    rows = spark.createDataFrame([(1, "é x@y.zz, +1 (988) 555-2485 end"), (2, "plain"), (3, None)], "doc_id long, text string")
+    found = P.find_spans(rows).join(rows, "doc_id")
+    out = found.select("doc_id", P.redacted(F.coalesce("text", F.lit("")), F.col("spans")).alias("r")).sort("doc_id")
+    assert [r["r"] for r in out.collect()] == ["é [email], [phone] end", "plain", ""]
