@@ -17,6 +17,7 @@ from lodgemart.llm import (
     pfair_mix,
     pii_spans,
     quality_rules,
+    ranked_search,
     repair_ids,
     token_prefix,
 )
@@ -80,6 +81,10 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans.digest(pii_spans.find_spans(load(spark, sf_dir, "documents")))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.best_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -93,8 +98,12 @@ def llm_queries() -> dict[str, Query]:
         "op9_quality_classifier": op9_quality_classifier,
         "op10_token_ids": op10_token_ids,
         "op12_pii": op12_pii,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_chat_formatting": chat_collapse.COLLAPSE_SQL}
+    return {
+        "op8_chat_formatting": chat_collapse.COLLAPSE_SQL,
+        "op13_ranked_search": ranked_search.SEARCH_SQL,
+    }
