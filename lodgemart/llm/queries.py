@@ -20,6 +20,7 @@ from lodgemart.llm import (
     ranked_search,
     repair_ids,
     token_prefix,
+    turn_repair,
 )
 from lodgemart.sources.scratch import scratch_path
 
@@ -77,6 +78,10 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_ids.read_ids(spark, out, with_ids=False)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digest(load(spark, sf_dir, "conversations"))
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans.digest(pii_spans.find_spans(load(spark, sf_dir, "documents")))
 
@@ -97,6 +102,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_chat_formatting": op8_chat_formatting,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_token_ids": op10_token_ids,
+        "op11_turn_repair": op11_turn_repair,
         "op12_pii": op12_pii,
         "op13_ranked_search": op13_ranked_search,
     }
@@ -105,5 +111,6 @@ def llm_queries() -> dict[str, Query]:
 def llm_oracles() -> dict[str, str]:
     return {
         "op8_chat_formatting": chat_collapse.COLLAPSE_SQL,
+        "op11_turn_repair": turn_repair.REPAIR_SQL,
         "op13_ranked_search": ranked_search.SEARCH_SQL,
     }
