@@ -5,16 +5,18 @@ one side of the join is the starts and the other side is the intervals, one row
 cell they touch. A pair can only meet in the cell of that later start, hence once, and no
 distinct is needed.
 
-Cells come in a fixed ladder of widths, and an interval uses the narrowest whose cells it
-touches only a few of, so rows that are compared lie close together and the work stays near
-the size of the result, however many rows a key has. What is longer than the ladder, or has
-no bound, goes to one cell for all time. The table is read twice, once for each side, and
-nothing is counted beforehand; a cell that is still large is split by adaptive execution,
-both sides of it.
+Cells come in rungs of different widths. An interval uses the rung for its duration, a start is
+sent to every rung in use, so rungs are laid out where durations call for them: a first look
+counts durations by their powers of two, a few dozen rows, and the rungs with the fewest rows
+and candidates together are chosen from these counts. Wide cells bring candidates that don't
+overlap, narrow ones more rows for an interval, each rung one more row for every start. What
+has no bound goes to one cell for all time, if there is any. A cell that is still large is
+split by adaptive execution, both sides of it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,11 +25,44 @@ from pyspark.sql import types as T
 
 from lodgemart.schemas import column_type
 
-# Widths of the ladder: bucket_days, bucket_days * GROWTH; an interval touches at most
-# GROWTH + 1 cells, so a stay that ends in the year 9999 costs no more rows than a short one.
-BUCKET_DAYS = 16
-GROWTH = 16
-RUNGS = 2
+#: What a candidate weighs against a shuffled row, were there as many pairs as intervals.
+CANDIDATE_WEIGHT = 2.0
+
+
+OWN = ("_id", "_lo", "_hi")
+
+
+@dataclass(frozen=True)
+class Rung:
+    """Cells of one width, in units, for intervals of at most ``longest`` units."""
+
+    width: int
+    longest: int
+
+
+def choose_rungs(counts: Sequence[tuple[int, int, int]], starts: int, narrowest: int = 1) -> list[Rung]:
+    """The cheapest rungs for intervals counted as (power, intervals, sum of their units).
+
+    ``power`` p holds the durations from 2**p to 2**(p + 1) - 1. Cost: a row for every start and
+    rung, a row for every cell of an interval, and the candidates that cells bring: intervals
+    of d units on cells of w units meet the starts of d + w units.
+    """
+    counts = sorted(counts)
+    total = sum(units for _, _, units in counts)
+    weight = CANDIDATE_WEIGHT * max(starts, 1) / max(total, 1)
+    ladder = [narrowest << k for k in range(max((p for p, _, _ in counts), default=0) + 2)]
+    # best[k]: the cost of the k shortest powers, and their rungs.
+    best: list[tuple[float, list[Rung]]] = [(0.0, [])]
+    for k in range(1, len(counts) + 1):
+        options = []
+        for first in range(k):
+            n = sum(c for _, c, _ in counts[first:k])
+            units = sum(u for _, _, u in counts[first:k])
+            cost, width = min((n + (units - n) / w + weight * w * n, w) for w in ladder)
+            options.append((best[first][0] + starts + cost, best[first][1], width))
+        cost, before, width = min(options, key=lambda x: x[0])
+        best.append((cost, [*before, Rung(width, (1 << (counts[k - 1][0] + 1)) - 1)]))
+    return best[-1][1] or [Rung(narrowest, 1)]
 
 
 @dataclass(frozen=True)
@@ -35,50 +70,65 @@ class _Clock:
     """Positions in time as whole units: days for dates, seconds for timestamps."""
 
     kind: T.DataType
-    bucket_days: float
 
-    def width(self, rung: int) -> int:
-        unit = 1 if isinstance(self.kind, T.DateType) else 86_400
-        return max(1, round(self.bucket_days * unit)) * GROWTH**rung
+    def units(self, days: float) -> int:
+        return max(1, round(days * (1 if isinstance(self.kind, T.DateType) else 86_400)))
 
     def unit(self, moment: Column) -> Column:
         if isinstance(self.kind, T.DateType):
-            return F.unix_date(moment)
+            return F.unix_date(moment).cast("bigint")
         if isinstance(self.kind, T.TimestampType):
             return F.unix_seconds(moment)
-        minutes = F.hour(moment) * 60 + F.minute(moment)
-        days = F.unix_date(moment.cast("date")).cast("bigint")
-        return days * 86_400 + minutes * 60 + F.second(moment)
+        # From the first moment there is, so that cutting to seconds rounds down.
+        since = moment - F.lit("0001-01-01").cast("timestamp_ntz")
+        return since.cast("interval second").cast("bigint")
 
     def last_unit(self, hi: Column) -> Column:
         """The last unit an interval touches; ``hi`` itself is outside."""
         if isinstance(self.kind, T.DateType):
-            return F.unix_date(hi) - 1
+            return self.unit(hi) - 1
         return self.unit(hi - F.expr("INTERVAL '0.000001' SECOND"))
 
-    def cell(self, unit: Column, rung: int) -> Column:
-        return F.floor(unit / self.width(rung)).cast("bigint")
-
-    def covered(self, first: Column, last: Column) -> Column:
-        """(rung, cell) of all cells an interval touches on its own rung."""
-
-        def on(rung: int) -> Column:
-            cells = F.sequence(self.cell(first, rung), self.cell(last, rung))
-            return F.transform(cells, lambda c: _place(F.lit(rung), c))
-
-        found = F.when((last - first) <= GROWTH * self.width(0), on(0))
-        for rung in range(1, RUNGS):
-            found = found.when((last - first) <= GROWTH * self.width(rung), on(rung))
-        return found.otherwise(F.array(_place(F.lit(RUNGS), F.lit(0).cast("bigint"))))
 
-    def started(self, first: Column) -> Column:
-        """(rung, cell) of a start on every rung."""
-        ladder = [_place(F.lit(r), self.cell(first, r)) for r in range(RUNGS)]
-        return F.array(*ladder, _place(F.lit(RUNGS), F.lit(0).cast("bigint")))
-
-
-def _place(rung: Column, cell: Column) -> Column:
-    return F.struct(rung.alias("_rung"), cell.alias("_cell"))
+def _cell(unit: Column, rung: Rung) -> Column:
+    return F.floor(unit / rung.width)
+
+
+def _covers(stays: DataFrame, rungs: Sequence[Rung], unbounded: bool) -> DataFrame:
+    """One row for each cell that an interval touches on its rung."""
+    units, none = F.col("_last") - F.col("_first"), F.lit(0).cast("bigint")
+    rung, lowest, highest = (F.when(F.lit(False), x) for x in (F.lit(0), none, none))
+    for k, r in enumerate(rungs):
+        own = units < r.longest if k + 1 < len(rungs) else units.isNotNull()
+        rung = rung.when(own, k)
+        lowest = lowest.when(own, _cell(F.col("_first"), r))
+        highest = highest.when(own, _cell(F.col("_last"), r))
+    if unbounded:
+        rung, lowest, highest = rung.otherwise(len(rungs)), lowest.otherwise(none), highest.otherwise(none)
+    names = [F.col(c).alias(f"{c}_a") for c in OWN]
+    return stays.select("_key", *names, rung.alias("_rung"), F.explode(F.sequence(lowest, highest)).alias("_cell"))
+
+
+def _starts(stays: DataFrame, rungs: Sequence[Rung], unbounded: bool) -> DataFrame:
+    """One row for each rung in use, with the cell that an interval starts in."""
+    cells = [_cell(F.col("_first"), r) for r in rungs] + [F.lit(0).cast("bigint")] * unbounded
+    names = [F.col(c).alias(f"{c}_b") for c in OWN]
+    begun = stays.filter(F.col("_lo").isNotNull())
+    if len(cells) == 1:
+        return begun.select("_key", *names, F.lit(0).alias("_rung"), cells[0].alias("_cell"))
+    return begun.select("_key", *names, F.posexplode(F.array(*cells)).alias("_rung", "_cell"))
+
+
+def _durations(stays: DataFrame) -> tuple[list[tuple[int, int, int]], int, bool]:
+    """Intervals by the power of two of their units, the number of starts, whether any has no bound."""
+    units = F.col("_last") - F.col("_first") + 1
+    power = F.floor(F.log2(units))
+    rows = stays.groupBy(power.alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(units).alias("units"), F.count("_lo").alias("starts")
+    )
+    found = rows.collect()  # one row for each power
+    counts = [(r["p"], r["n"], r["units"]) for r in found if r["p"] is not None]
+    return counts, sum(r["starts"] for r in found), any(r["p"] is None for r in found)
 
 
 def _start_inside() -> Column:
@@ -96,7 +146,7 @@ def overlaps(
     id: str,
     lo: str,
     hi: str,
-    bucket_days: float = BUCKET_DAYS,
+    bucket_days: float | None = None,
     null_bounds: str = "drop",
 ) -> DataFrame:
     """All pairs of rows with one key, different ids and overlapping intervals.
@@ -108,11 +158,13 @@ def overlaps(
     ``null_bounds="drop"`` leaves out rows without both bounds; ``"open"`` takes a
     missing bound as unlimited, and a pair counts if the overlap itself has two bounds.
 
-    ``bucket_days`` is the narrowest cell width; a fraction of a day is possible for timestamps.
+    ``bucket_days`` is the narrowest cell width, by default a unit: a day for dates, a second for
+    timestamps. The lengths of the intervals are counted when this is called, as they choose
+    the cells.
     """
     if null_bounds not in ("drop", "open"):
         raise ValueError(f"null_bounds is 'drop' or 'open', not {null_bounds!r}")
-    clock = _Clock(column_type(df, lo), bucket_days)
+    clock = _Clock(column_type(df, lo))
     stays = df.select(
         F.col(key).alias("_key"),
         F.col(id).alias("_id"),
@@ -123,12 +175,10 @@ def overlaps(
     if null_bounds == "open":
         ordered = ordered | F.col("_lo").isNull() | F.col("_hi").isNull()
     stays = stays.filter(ordered)
-    first, last = clock.unit(F.col("_lo")), clock.last_unit(F.col("_hi"))
-    own = ("_id", "_lo", "_hi")
-    covers = stays.select("_key", *[F.col(c).alias(f"{c}_a") for c in own], F.inline(clock.covered(first, last)))
-    starts = stays.filter(F.col("_lo").isNotNull()).select(
-        "_key", *[F.col(c).alias(f"{c}_b") for c in own], F.inline(clock.started(first))
-    )
+    stays = stays.withColumns({"_first": clock.unit(F.col("_lo")), "_last": clock.last_unit(F.col("_hi"))})
+    counts, n_starts, unbounded = _durations(stays)
+    rungs = choose_rungs(counts, n_starts, clock.units(bucket_days) if bucket_days else 1)
+    covers, starts = _covers(stays, rungs, unbounded), _starts(stays, rungs, unbounded)
     # The pairs may far outnumber the rows: shuffled, they are made by all tasks.
     met = covers.hint("merge").join(starts, ["_key", "_rung", "_cell"]).filter(_start_inside())
     return met.select(

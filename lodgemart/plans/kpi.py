@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgemart.operators.intervals import BUCKET_DAYS, overlaps
+from lodgemart.operators.intervals import overlaps
 from lodgemart.operators.skew import left_lookup
 from lodgemart.schemas import (
     STATUS_CANCELLED,
@@ -119,7 +119,7 @@ def overbooking_alerts(
     bookings: DataFrame,
     cols: BookingColumns = BookingColumns(),
     exclude_status: Sequence[str] = (),
-    bucket_days: float = BUCKET_DAYS,
+    bucket_days: float | None = None,
     null_bounds: str = "drop",
 ) -> DataFrame:
     """Pairs of bookings of one room whose stays overlap.

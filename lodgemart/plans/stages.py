@@ -14,7 +14,6 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgemart.operators.intervals import BUCKET_DAYS
 from lodgemart.plans import cleaning, kpi
 from lodgemart.plans.sentiment import enrich_sentiment, score_reviews
 from lodgemart.plans.top_lists import write_report
@@ -62,7 +61,7 @@ class Job:
     exclude_status: Sequence[str] = ()
     confirmed_only: bool = False
     null_bounds: str = "drop"
-    bucket_days: float = BUCKET_DAYS
+    bucket_days: float | None = None
     splits: int = 1
 
     def __post_init__(self) -> None:

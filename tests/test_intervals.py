@@ -6,7 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
-from lodgemart.operators.intervals import overlaps
+from lodgemart.operators import intervals as I
+from lodgemart.operators.intervals import Rung, choose_rungs, overlaps
 from lodgemart.plans.kpi import overbooking_alerts
 
 DAY0 = date(2024, 1, 1)
@@ -175,3 +176,70 @@ def test_many_crowded_rooms_are_shared_out(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def _counted(durations):
+    held = {}
+    for d in durations:
+        n, units = held.get(d.bit_length() - 1, (0, 0))
+        held[d.bit_length() - 1] = n + 1, units + d
+    return [(p, n, units) for p, (n, units) in held.items()]
+
+
+def _spent(rungs, durations):
+    """Rows and candidates of a choice of rungs, where every unit has as many starts."""
+    width = [next(r.width for r in rungs if d <= r.longest) for d in durations]
+    rows = len(durations) * len(rungs) + sum(1 + (d - 1) / w for d, w in zip(durations, width))
+    return rows, sum(d + w for d, w in zip(durations, width)) / sum(durations)
+
+
+def test_rungs_follow_the_durations():
+    nights = list(range(1, 31)) * 100
+    rungs = choose_rungs(_counted(nights), len(nights))
+    rows, candidates = _spent(rungs, nights)
+    assert len(rungs) == 1 and rows < 5 * len(nights) and candidates < 2
+    assert choose_rungs([], 0) == [Rung(1, 1)]
+    assert choose_rungs([(0, 5, 5)], 5, narrowest=16)[0].width == 16
+
+
+def test_short_and_long_stays_get_rungs_of_their_own():
+    """Hours and years together: neither compared with too much nor cut into too many cells."""
+    durations = [3_600] * 5_000 + [86_400 * d for d in range(1, 20)] * 200 + [86_400 * 365 * 20] * 40
+    rungs = choose_rungs(_counted(durations), len(durations))
+    rows, candidates = _spent(rungs, durations)
+    assert 1 < len(rungs) < 6 and rows < 12 * len(durations) and candidates < 2
+    assert sorted(rungs, key=lambda r: r.longest) == rungs == sorted(rungs, key=lambda r: r.width)
+
+
+def test_no_choice_of_one_width_is_cheaper():
+    rng = Random(5)
+    for _ in range(20):
+        durations = [1 + int(rng.paretovariate(0.6)) % 100_000 for _ in range(300)]
+        rungs = choose_rungs(_counted(durations), 300)
+
+        def cost(chosen):
+            rows, candidates = _spent(chosen, durations)
+            return rows + 2.0 * 300 * (candidates - 1)
+
+        assert all(cost(rungs) <= cost([Rung(1 << k, 10**9)]) + 1e-6 for k in range(18))
+
+
+def test_candidates_stay_near_the_pairs(spark, monkeypatch):
+    """Join rows before the overlap test, counted on stays of very different lengths."""
+    from pyspark.sql import functions as F
+
+    rng = Random(11)
+    stays = []
+    for i in range(4_000):
+        lo = datetime(2024, 1, 1) + timedelta(minutes=rng.randrange(200 * 24 * 60))
+        length = rng.choice([timedelta(hours=1), timedelta(hours=20), timedelta(days=6), timedelta(days=90)])
+        stays.append((f"r{i % 5}", i, lo, lo + length))
+    df = spark.createDataFrame(stays, "room string, id long, lo timestamp_ntz, hi timestamp_ntz")
+    met, count = [], I._start_inside
+    pairs = overlaps(df, "room", "id", "lo", "hi").count()
+    monkeypatch.setattr(I, "_start_inside", lambda: met.append(count()) or F.lit(True))
+    candidates = overlaps(df, "room", "id", "lo", "hi").count()
+    a, b = df.alias("a"), df.alias("b")
+    plain = a.join(b, F.expr("a.room = b.room and a.id < b.id and a.lo < b.hi and b.lo < a.hi"))
+    assert met and pairs == plain.count()
+    assert candidates < 2 * pairs + len(stays)  # every stay meets its own start
