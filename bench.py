@@ -30,6 +30,8 @@ HEADLINE = (
     "dedup_latest",
     "dedup_any_total_order",
     "sentiment_label",
+    "sentiment_score_joined",
+    "sentiment_score_spread",
     "top_collection",
     "top_customers",
     "src_csv_typed",

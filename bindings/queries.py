@@ -289,7 +289,7 @@ def _lexicon_table(spark: SparkSession) -> DataFrame:
 
 
 def sentiment_score_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``sentiment_score`` with the lexicon as a table."""
+    """``sentiment_score`` with the lexicon as a table, which is small enough for the plan."""
     documents = B.load(spark, sf_dir, "documents").select("doc_id", "text")
     return score_reviews(documents, _lexicon_table(spark), DOCUMENTS).select("doc_id", "sentiment_score")
 

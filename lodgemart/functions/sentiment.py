@@ -13,8 +13,15 @@ NEUTRAL_BAND = 1.0
 
 WORD_CHARS = r"[\p{L}\p{N}_]"
 
-# A text falls into whole words, runs of white space and single other characters.
-PIECE = rf"{WORD_CHARS}+|\s+|[^\p{{L}}\p{{N}}_\s]"
+# Fixed value: white space of a pattern's \\s.
+WHITE = " \t\n\x0b\f\r"
+
+# A text falls into tokens: a whole word or a single other character, each with the white space before it.
+TOKEN = rf"\s*(?:{WORD_CHARS}+|[^\p{{L}}\p{{N}}_\s])"
+
+#: Entries and characters of a lexicon that may stand in a plan; larger ones are joined.
+MAX_IN_PLAN = 2_000
+MAX_CHARS_IN_PLAN = 60_000
 
 
 def normalise_entry(entry: str) -> str:
@@ -31,37 +38,39 @@ def normalised(lexicon: Mapping[str, float]) -> dict[str, float]:
     return out
 
 
-def _alternatives(words: list[str]) -> str:
-    """A pattern for ``words`` that branches once per letter, the longest word first.
+def _alternatives(entries: list[str]) -> str:
+    """A pattern for ``entries`` that branches once per letter, the longest entry first.
 
-    A flat ``a|b|c`` would try every entry at every word of the text.
+    A flat ``a|b|c`` would try every entry at every word of the text. A space stands for any
+    white space.
     """
     by_head: dict[str, list[str]] = {}
-    for word in words:
-        if word:
-            by_head.setdefault(word[0], []).append(word[1:])
+    for entry in entries:
+        if entry:
+            by_head.setdefault(entry[0], []).append(entry[1:])
     branches = [
-        re.escape(head) + _alternatives(tails)
+        (r"\s+" if head == " " else re.escape(head)) + _alternatives(tails)
         for head, tails in sorted(by_head.items())
     ]
     if not branches:
         return ""
-    optional = "?" if "" in words else ""
+    optional = "?" if "" in entries else ""
     if len(branches) == 1 and not optional:
         return branches[0]
     return f"(?:{'|'.join(branches)}){optional}"
 
 
-def _is_word(entry: str) -> bool:
-    return re.fullmatch(r"\w+", entry) is not None
-
+def entry_pattern(entries: Iterable[str]) -> str:
+    """Finds entries from left to right, the longest at each place.
 
-def unit_pattern(entries: Iterable[str]) -> str:
-    """Cuts text into the units that are looked up: an entry that is more than one plain
-    word (a phrase, a hyphenated word) where one stands, a whole word everywhere else."""
-    phrases = sorted({e for e in entries if e and not _is_word(e)})
-    word = f"{WORD_CHARS}+"
-    return f"{_alternatives(phrases)}(?!{WORD_CHARS})|{word}" if phrases else word
+    Whole words only: an entry that begins with a word character begins a word, and no word
+    character follows any entry. Nothing else of the text is taken out of it.
+    """
+    held = sorted(set(entries))
+    worded = [e for e in held if re.match(r"\w", e)]
+    others = [e for e in held if not re.match(r"\w", e)]
+    found = [f"(?<!{WORD_CHARS}){_alternatives(worded)}"] * bool(worded) + [_alternatives(others)] * bool(others)
+    return f"(?:{'|'.join(found)})(?!{WORD_CHARS})"
 
 
 def _valence(unit: Column, lexicon: Mapping[str, float]) -> Column:
@@ -80,26 +89,29 @@ def sentiment_score(text: Column | str, lexicon: Mapping[str, float]) -> Column:
 
     Matching ignores case, takes whole words only and runs left to right, the longest
     entry winning at each position. Null text scores 0. The lexicon becomes part of the
-    plan; ``score_by_table`` gives the same scores from a table of any size.
+    plan, so its size is bounded; ``score_by_table`` gives the same scores from a table of
+    any size.
     """
     entries = normalised(lexicon)
+    if not fits_in_plan(entries):
+        raise ValueError(f"a lexicon of over {MAX_IN_PLAN} entries or {MAX_CHARS_IN_PLAN} characters needs a table")
     if not entries:
         return F.lit(0.0)
     text = F.col(text) if isinstance(text, str) else text
-    text = F.lower(text)
+    found = F.regexp_extract_all(F.lower(text), F.lit(entry_pattern(entries)), F.lit(0))
     if any(" " in e for e in entries):
-        text = F.regexp_replace(text, r"\s+", " ")
-    units = F.regexp_extract_all(text, F.lit(unit_pattern(entries)), F.lit(0))
-    # Most words are no entries; one test leaves them out before the tests for each value.
-    found = F.filter(units, lambda u: u.isin(*entries))
+        found = F.transform(found, lambda u: F.regexp_replace(u, r"\s+", " "))
     total = F.aggregate(found, F.lit(0.0), lambda acc, u: acc + _valence(u, entries))
     return F.coalesce(total, F.lit(0.0))
 
 
-def pieces(text: Column) -> Column:
-    """Words, single spaces and other characters of a text, in lower case and in order."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(PIECE), F.lit(0))
-    return F.transform(found, lambda p: F.regexp_replace(p, r"^\s+$", " "))
+def tokens(text: Column) -> Column:
+    """Words and other characters of a text in lower case and in order, with the white space before them."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+
+
+def fits_in_plan(lexicon: Mapping[str, float]) -> bool:
+    return len(lexicon) <= MAX_IN_PLAN and sum(map(len, lexicon)) <= MAX_CHARS_IN_PLAN
 
 
 def sentiment_label(score: Column | str) -> Column:

@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgemart.functions.sentiment import (
-    PIECE,
+    MAX_CHARS_IN_PLAN,
+    MAX_IN_PLAN,
+    WHITE,
     WORD_CHARS,
-    pieces,
+    fits_in_plan,
+    normalised,
     sentiment_label,
     sentiment_score,
+    tokens,
 )
 from lodgemart.operators.skew import left_lookup
 from lodgemart.schemas import BookingColumns, ReviewColumns, comparable
@@ -21,51 +25,82 @@ SCORE = "sentiment_score"
 LABEL = "predicted_sentiment"
 
 
+#: Entries and characters of a lexicon's index that may be sent to all tasks.
+BROADCAST_ENTRIES = 300_000
+BROADCAST_CHARS = 16_000_000
+
+
 def score_reviews(
     reviews: DataFrame, lexicon: Mapping[str, float] | DataFrame, cols: ReviewColumns = ReviewColumns()
 ) -> DataFrame:
     """All review columns plus score and label.
 
-    A mapping becomes part of the plan: one narrow pass, no shuffle. A (word, valence) table
-    of any size is joined. Both give the same scores.
+    A lexicon of at most ``MAX_IN_PLAN`` entries, a mapping or a (word, valence) table, becomes
+    part of the plan: one narrow pass, no shuffle. A larger one is joined, whatever it comes as.
+    The scores are the same.
     """
     if isinstance(lexicon, DataFrame):
-        return score_by_table(reviews, lexicon, cols)
+        entries = lexicon_entries(lexicon).select("_entry", "_valence")
+        n, chars = entries.limit(MAX_IN_PLAN + 1).agg(F.count(F.lit(1)), F.sum(F.length("_entry"))).first()
+        if n > MAX_IN_PLAN or (chars or 0) > MAX_CHARS_IN_PLAN:
+            return score_by_table(reviews, lexicon, cols)
+        lexicon = {r["_entry"]: r["_valence"] for r in entries.collect()}
+    elif not fits_in_plan(entries := normalised(lexicon)):
+        table = reviews.sparkSession.createDataFrame(list(entries.items()), "word string, valence double")
+        return score_by_table(reviews, table, cols)
     scored = reviews.withColumn(SCORE, sentiment_score(cols.text, lexicon))
     return scored.withColumn(LABEL, sentiment_label(SCORE))
 
 
 def lexicon_entries(lexicon: DataFrame, word: str = "word", valence: str = "valence") -> DataFrame:
-    """(_entry, _valence, _pieces): normalised, of repeats the largest value."""
+    """(_entry, _valence): normalised, of repeats the largest value."""
     entry = F.trim(F.regexp_replace(F.lower(word), r"\s+", " "))
     table = lexicon.select(entry.alias("_entry"), F.col(valence).cast("double").alias("_v"))
+    kept = table.filter((F.col("_entry") != "") & F.col("_v").isNotNull())
+    return kept.groupBy("_entry").agg(F.max("_v").alias("_valence"))
+
+
+def _bare(token: Column) -> Column:
+    """A token without the white space before it."""
+    return F.btrim(token, F.lit(WHITE))
+
+
+def anchored(entries: DataFrame, splits: int = 1) -> DataFrame:
+    """(anchor, entry, valence, offset, size): each entry under its rarest token.
+
+    A token is the rarer the fewer entries hold it; of equally rare ones the longest, then the
+    first, is the anchor. ``offset`` tokens stand before it; ``size`` is the entry's number of tokens.
+    """
+    cut = entries.withColumn("_tokens", tokens(F.col("_entry")))
+    held = cut.select(
+        "_entry", "_valence", F.size("_tokens").alias("_size"), F.posexplode("_tokens").alias("_offset", "_token")
+    ).withColumn("_token", _bare(F.col("_token")))
+    common = held.groupBy(F.col("_token").alias("_known")).agg(F.count(F.lit(1)).alias("_held"))
+    order = F.struct("_held", -F.length("_token"), "_offset")
     return (
-        table.filter((F.col("_entry") != "") & F.col("_v").isNotNull())
-        .groupBy("_entry")
-        .agg(F.max("_v").alias("_valence"))
+        left_lookup(held, common, "_token", "_known", splits)
+        .groupBy("_entry", "_valence", "_size")
+        .agg(F.min_by(F.struct("_token", "_offset"), order).alias("_a"))
         .select(
-            "_entry",
-            "_valence",
-            F.size(F.regexp_extract_all("_entry", F.lit(PIECE), F.lit(0))).alias("_pieces"),
+            F.col("_a._token").alias("anchor"),
+            F.col("_entry").alias("entry"),
+            F.col("_valence").alias("valence"),
+            F.col("_a._offset").alias("offset"),
+            F.col("_size").alias("size"),
         )
     )
 
 
-def _candidates(sizes: list[int]) -> Column:
-    """(at, size, text, next) of all runs of so many pieces that don't begin with a space."""
+def _stands(found: Column, hit: Column) -> Column:
+    """Whether the tokens at a hit's place are those of its entry, and no word goes on behind it.
 
-    def at(i: Column) -> Column:
-        runs = []
-        for n in sizes:
-            text = F.get("_found", i) if n == 1 else F.array_join(F.slice("_found", i + 1, n), "")
-            run = F.struct(
-                i.alias("at"), F.lit(n).alias("size"), text.alias("text"), F.get("_found", i + n).alias("next")
-            )
-            runs.append(F.when(i + n <= F.size("_found"), run))
-        return F.array_compact(F.array(*runs))
-
-    places = F.filter(F.sequence(F.lit(0), F.size("_found") - 1), lambda i: F.get("_found", i) != " ")
-    return F.when(F.size("_found") > 0, F.flatten(F.transform(places, at)))
+    A hit without an entry is one whole word, which its anchor has matched.
+    """
+    end = hit["at"] + hit["size"]
+    text = F.array_join(F.slice(found, hit["at"] + 1, hit["size"]), "")
+    same = F.btrim(F.regexp_replace(text, r"\s+", " ")) == hit["entry"]
+    closed = ~F.coalesce(F.get(found, end), F.lit("")).rlike(f"^{WORD_CHARS}")
+    return hit["entry"].isNull() | ((hit["at"] >= 0) & (end <= F.size(found)) & same & closed)
 
 
 def _taken(found: Column) -> Column:
@@ -89,29 +124,41 @@ def score_by_table(
 ) -> DataFrame:
     """``score_reviews`` for a lexicon table of any size, words and phrases alike.
 
-    Runs of as many pieces as an entry has are joined with the entries, a common word's rows
-    spread as ``left_lookup`` does; the matches of a review are then taken from left to right.
-    Reviews that are equal in all columns are scored once and share the result.
+    Every entry is indexed under its rarest token. The tokens of the reviews are looked up there,
+    by a broadcast of the index where its counted size allows it, else by a join that spreads
+    common tokens as ``left_lookup`` does. Only places with an anchor go on: they are gathered
+    by review, compared with the whole entry there, and taken from left to right. Reviews
+    that are equal in all columns share their places.
     """
     entries = lexicon_entries(lexicon, word, valence)
-    sizes = sorted(r[0] for r in entries.select("_pieces").distinct().collect())  # numbers of pieces only
+    n, chars = entries.limit(BROADCAST_ENTRIES + 1).agg(F.count(F.lit(1)), F.sum(F.length("_entry"))).first()
+    index = anchored(entries, splits)
     hashed = [F.col(f"`{f.name}`") for f in reviews.schema if comparable(f.dataType)]
     key = [F.xxhash64(*hashed).alias("_k1"), F.xxhash64(F.lit(1), *hashed).alias("_k2")]
-    if not sizes:
-        return reviews.withColumn(SCORE, F.lit(0.0)).withColumn(LABEL, sentiment_label(SCORE))
-    cut = reviews.select(*key, pieces(F.col(cols.text)).alias("_found"))
-    runs = cut.select("_k1", "_k2", F.inline(_candidates(sizes)))
-    # An entry neither begins nor ends with a space.
-    runs = runs.filter(F.col("text") == F.trim("text"))
-    matches = left_lookup(runs, entries, "text", "_entry", splits).filter(
-        # As in the plan's pattern, an entry does not end where a word character follows.
-        F.col("_entry").isNotNull() & ~F.coalesce("next", F.lit("")).rlike(f"^{WORD_CHARS}")
+    places = reviews.select(*key, F.posexplode(tokens(F.col(cols.text))).alias("_i", "_t"))
+    places = places.select("_k1", "_k2", "_i", _bare(F.col("_t")).alias("_t"))
+    if n <= BROADCAST_ENTRIES and (chars or 0) <= BROADCAST_CHARS:
+        hits = places.join(F.broadcast(index), F.col("_t") == F.col("anchor"))
+    else:
+        known = index.groupBy("anchor").agg(F.count(F.lit(1)).alias("_entries"))
+        hits = left_lookup(places, known, "_t", "anchor", splits).filter(F.col("anchor").isNotNull())
+        # What is left are places of anchors; each meets the entries under it.
+        hits = hits.drop("anchor", "_entries").join(index, F.col("_t") == F.col("anchor"))
+    at, back = (F.col("_i") - F.col("offset")).alias("at"), (-F.col("size")).alias("back")
+    to_compare = F.when((F.col("size") > 1) | ~F.col("entry").rlike(f"{WORD_CHARS}$"), F.col("entry")).alias("entry")
+    hit = F.struct(at, back, "size", to_compare, "valence")
+    by_review = hits.groupBy("_k1", "_k2").agg(F.collect_set(hit).alias("_hits"))
+    met = reviews.select("*", *key).join(by_review, ["_k1", "_k2"], "left")
+    # Longest first at each place: the order by text length is that of the tokens it holds.
+    standing = met.withColumn(
+        "_hits",
+        F.when(
+            F.col("_hits").isNotNull(),
+            F.transform(F.array(tokens(F.col(cols.text))), lambda found: F.filter("_hits", lambda h: _stands(found, h)))[0],
+        ),
     )
-    # Longest first: the order by text length is that of the pieces it holds.
-    match = F.struct("at", (-F.col("size")).alias("back"), "size", F.col("_valence").alias("valence"))
-    scores = matches.groupBy("_k1", "_k2").agg(_taken(F.array_sort(F.collect_set(match))).alias(SCORE))
-    scored = reviews.select("*", *key).join(scores, ["_k1", "_k2"], "left").drop("_k1", "_k2")
-    return scored.withColumn(SCORE, F.coalesce(SCORE, F.lit(0.0))).withColumn(LABEL, sentiment_label(SCORE))
+    scored = standing.withColumn(SCORE, F.coalesce(_taken(F.array_sort("_hits")), F.lit(0.0)))
+    return scored.drop("_k1", "_k2", "_hits").withColumn(LABEL, sentiment_label(SCORE))
 
 
 def sentiment_by_customer(scored: DataFrame, cols: ReviewColumns = ReviewColumns()) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 from conftest import rows
 from lodgemart.functions import sentiment as S
+from lodgemart.plans import sentiment as P
 from lodgemart.plans.sentiment import enrich_sentiment, score_by_table, score_reviews
 
 LEXICON = {
@@ -93,11 +94,51 @@ def test_table_form_equals_native_form(spark, splits):
     assert (found["not bad at all"], found["well-known good place"], found["Good"]) == (2.0, 7.0, 4.0)
 
 
-def test_forms_agree_on_a_large_lexicon(spark):
+def by_regex(entries, text):
+    found = re.findall(r"\b(?:" + "|".join(sorted(map(re.escape, entries), key=len, reverse=True)) + r")\b", text)
+    return float(sum(entries[f] for f in found))
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_large_lexicons_are_joined(spark, monkeypatch, sent):
+    """20,600 entries, sent to all tasks or met by a shuffle, as a mapping or a table."""
+    if not sent:
+        monkeypatch.setattr(P, "BROADCAST_ENTRIES", 10)
     large = {f"w{i}": float(i % 3 - 1) for i in range(20_500)} | {f"w{i} w{i + 1}": 5.0 for i in range(0, 300, 3)}
     texts = [(k, " ".join(f"w{(k * 37 + i) % 21_000}" for i in range(40))) for k in range(20)]
     df = spark.createDataFrame(texts, "id int, review_text string")
-    assert rows(score_reviews(df, table(spark, large))) == rows(score_reviews(df, large))
+    expected = [(k, by_regex(large, t)) for k, t in texts]
+    for lexicon in (large, table(spark, large)):
+        assert rows(score_reviews(df, lexicon), "id", "sentiment_score") == expected
+    with pytest.raises(ValueError, match="table"):
+        S.sentiment_score("review_text", large)
+
+
+@pytest.mark.parametrize("splits", [1, 3])
+def test_shuffled_index_equals_native_form(spark, monkeypatch, splits):
+    monkeypatch.setattr(P, "BROADCAST_ENTRIES", 3)
+    df = spark.createDataFrame(list(enumerate(TRICKY_TEXTS)), "id int, review_text string")
+    joined = score_by_table(df, table(spark, TRICKY), splits=splits)
+    assert rows(joined) == rows(score_reviews(df, TRICKY))
+
+
+def test_entries_stand_under_their_rarest_token(spark):
+    lexicon = table(spark, {"not good": 1, "not bad": 2, "not": 3, "bad-tempered": 4, "good": 5, "not so very good": 6})
+    found = rows(P.anchored(P.lexicon_entries(lexicon)), "entry", "anchor", "offset", "size")
+    assert found == [
+        ("bad-tempered", "tempered", 2, 3), ("good", "good", 0, 1), ("not", "not", 0, 1), ("not bad", "bad", 1, 2),
+        ("not good", "good", 1, 2), ("not so very good", "very", 2, 4),
+    ]
+
+
+def test_only_places_of_anchors_are_shuffled(spark):
+    df = spark.createDataFrame([(1, "plain words and a very good one")], "id int, review_text string")
+    scored = score_by_table(df, table(spark, LEXICON))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "BroadcastHashJoin" in plan
+    # A lexicon that fits is checked and becomes part of the plan.
+    plan = score_reviews(df, table(spark, LEXICON))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_table_skips_nulls_and_takes_the_largest_repeat(spark):
