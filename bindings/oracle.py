@@ -180,6 +180,21 @@ CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM
 SUPPLIER = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 
 
+REJECTS = """
+WITH stays AS (
+  SELECT c_custkey AS n, c_nationkey AS nights, c_name AS name,
+         c_custkey || ',' || CASE WHEN c_custkey % 7 = 0 THEN 'two' ELSE c_nationkey::VARCHAR END
+           || CASE WHEN c_custkey % 11 = 0 THEN '' ELSE ',' || c_name END
+           || CASE WHEN c_custkey % 13 = 0 AND c_custkey % 11 <> 0 THEN ',more' ELSE '' END AS record
+  FROM customer)
+SELECT 'rejected' AS what, record FROM stays WHERE n % 7 = 0 OR n % 11 = 0 OR n % 13 = 0
+UNION ALL
+SELECT CASE WHEN n % 7 = 0 THEN 'loaded without nights' ELSE 'loaded' END,
+       concat_ws(',', n, CASE WHEN n % 7 <> 0 THEN nights END, CASE WHEN n % 11 <> 0 THEN name END)
+FROM stays
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "src_parquet": "SELECT * FROM orders",
@@ -190,6 +205,7 @@ def all_oracles() -> dict[str, str]:
                    CAST(c_nationkey AS VARCHAR) AS c_nationkey,
                    CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment
             FROM customer""",
+        "src_csv_rejects": REJECTS,
         "table_roundtrip": SUPPLIER,
         "table_bucketed": f"""
             SELECT o_orderkey AS booking_id, o_custkey AS customer_id,

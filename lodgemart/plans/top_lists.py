@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -42,10 +43,16 @@ def report_sections(cols: BookingColumns = BookingColumns()) -> dict[str, tuple[
     }
 
 
-def write_report(gold: Layer, report: Layer, cols: BookingColumns = BookingColumns()) -> dict[str, str]:
+def write_report(
+    gold: Layer,
+    report: Layer,
+    cols: BookingColumns = BookingColumns(),
+    around: Callable[[str, str, Callable[[], None]], None] | None = None,
+) -> dict[str, str]:
     """Write the sections whose table exists; returns the reason per skipped section.
 
-    Anything else that goes wrong is raised.
+    Anything else that goes wrong is raised. ``around`` (section, gold table, write) may leave a
+    write out or record it.
     """
     report.prepare()
     skipped = {}
@@ -57,5 +64,6 @@ def write_report(gold: Layer, report: Layer, cols: BookingColumns = BookingColum
                 raise
             skipped[section] = str(error)
             continue
-        report.write(order(found), section)
+        write = partial(report.write, order(found), section)
+        around(section, table, write) if around else write()
     return skipped

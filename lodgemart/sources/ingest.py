@@ -21,6 +21,7 @@ from lodgemart.sources.together import side_by_side
 class TableSpec:
     file: str
     schema: T.StructType | None = None
+    options: Mapping[str, str] | None = None
 
 
 BOOKING_TABLES: dict[str, TableSpec] = {
@@ -47,6 +48,10 @@ def stamp(
 PARSED_LATER = (T.DateType, T.TimestampType, T.DecimalType)
 
 
+# The column of a table of rejects.
+REJECTED = "rejected_record"
+
+
 def write_counted(df: DataFrame, layer: Layer, name: str) -> int:
     """Write one table and return its row count, counted while writing.
 
@@ -94,6 +99,7 @@ def ingest(
     run_ts: datetime | None = None,
     infer: bool = False,
     parallel: int = 1,
+    rejects: bool = False,
 ) -> dict[str, int]:
     """Load every table of ``specs`` into ``layer``, one job per table.
 
@@ -101,6 +107,11 @@ def ingest(
     same names. It must not be ``layer`` itself: a write replaces its target. Dates and
     amounts of a declared schema are loaded as text, so that what is malformed is still there
     for the rules to mark.
+
+    With ``rejects`` every table of a declared schema gets a table ``<name>_rejects`` of the
+    records that did not fit it, what could be read of them and the record as it stands in the
+    file. Their rows are loaded all the same,
+    with nulls for what did not parse.
     """
     if not isinstance(source, str):
         require_distinct([source, layer])
@@ -108,10 +119,13 @@ def ingest(
         return load_tables(frames, layer, run_ts, parallel)
     files = {name: f"{source.rstrip('/')}/{spec.file}" for name, spec in specs.items()}
     require_distinct([layer], files.values())
+    marked = {name: REJECTED if rejects and spec.schema and not infer else None for name, spec in specs.items()}
     frames = {
         name: read_csv(
-            spark, files[name], None if infer else spec.schema, infer, as_text=PARSED_LATER
+            spark, files[name], None if infer else spec.schema, infer, PARSED_LATER, spec.options, marked[name]
         )
         for name, spec in specs.items()
     }
-    return load_tables(frames, layer, run_ts, parallel)
+    counts = load_tables({n: f.drop(REJECTED) if marked[n] else f for n, f in frames.items()}, layer, run_ts, parallel)
+    kept = {f"{n}_rejects": f.filter(F.col(REJECTED).isNotNull()) for n, f in frames.items() if marked[n]}
+    return counts | load_tables(kept, layer, run_ts, parallel)

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from lodgemart.sources.staging import Files, StagedFolder, listed_version, removed_on_failure
+
+# Formats without a log of their own, whose overwrite deletes before it writes.
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro", "text")
+VERSION = "lodgemart.version"
 
 def canonical(spark: SparkSession, path: str) -> str:
     """A path as the file system names it: with scheme, without dots and double slashes."""
@@ -46,7 +52,12 @@ def refuse_own_input(df: DataFrame, target: str) -> None:
 
 @dataclass(frozen=True)
 class PathLayer:
-    """One folder per table, each write replacing the whole table."""
+    """One folder per table, each write replacing the whole table.
+
+    Writes go to a folder of their own, which takes the table's place when it is complete: a
+    write that fails leaves the table as it was. The version before is kept under ``_old`` until
+    the next write.
+    """
 
     spark: SparkSession
     root: str
@@ -63,14 +74,21 @@ class PathLayer:
         """Folders appear with the first write."""
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(name))
+        return self.spark.read.format(self.fmt).load(StagedFolder(self.spark, self.root, name).current())
 
     def write(self, df: DataFrame, name: str, seen: Observation | None = None, *counts: Column) -> None:
         """Replace a table; ``counts`` over its rows go to ``seen`` while writing."""
         refuse_own_input(df, canonical(self.spark, self.path(name)))
         if seen is not None:
             df = df.observe(seen, *counts)
-        df.write.format(self.fmt).mode("overwrite").save(self.path(name))
+        StagedFolder(self.spark, self.root, name).replace(df.write.format(self.fmt).save)
+
+    def version(self, name: str) -> str | None:
+        """An identity of what the table holds now; None if there is no table."""
+        folder = StagedFolder(self.spark, self.root, name)
+        if not folder.files.exists(folder.current()):
+            return None
+        return folder.version() or listed_version(self.spark, [folder.current()])
 
 
 @dataclass(frozen=True)
@@ -83,6 +101,13 @@ class TableLayer:
     several, so the number of files does not grow with the number of input tasks. A bucket
     is read by one task, so bucket only keys without very frequent values, or read such a
     table with ``spark.sql.sources.bucketing.enabled=false`` and let the join shuffle.
+
+    A table of files is written under a name of its own, which is changed when it is complete, so
+    a write that fails leaves the table as it was; the version before is ``<name>__old``
+    until the next write. Formats with a log of their own replace a table at once anyway.
+
+    ``statistics`` measures row counts and column statistics after each write, for cost-based
+    join orders (``spark.sql.cbo.enabled``); it reads the table once more.
     """
 
     spark: SparkSession
@@ -92,6 +117,7 @@ class TableLayer:
     location: str | None = None
     bucket_by: tuple[tuple[str, str], ...] = ()
     buckets: int = 0
+    statistics: bool = False
 
     @property
     def identity(self) -> str:
@@ -121,8 +147,17 @@ class TableLayer:
             self.spark.catalog.setCurrentCatalog(self.catalog)
         self.spark.catalog.setCurrentDatabase(self.schema)
 
+    def _has(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.identity}.{name}")
+
+    def _current(self, name: str) -> str:
+        """The table's full name; that of the version before if a run died while changing names."""
+        if not self._has(name) and self._has(f"{name}__old"):
+            name = f"{name}__old"
+        return f"{self.identity}.{name}"
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.table(f"{self.identity}.{name}")
+        return self.spark.table(self._current(name))
 
     def write(self, df: DataFrame, name: str, seen: Observation | None = None, *counts: Column) -> None:
         """Replace a table; ``counts`` over its rows go to ``seen`` while writing."""
@@ -136,7 +171,48 @@ class TableLayer:
         writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", "true")
         if key:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
-        writer.saveAsTable(f"{self.identity}.{name}")
+        if self.fmt.lower() not in FILE_FORMATS:
+            writer.saveAsTable(f"{self.identity}.{name}")
+            return
+        staged = f"{name}__staged_{uuid.uuid4().hex[:12]}".lower()
+
+        def remove() -> None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.identity}.{staged}")
+            for folder in self.places()[1:]:  # files of a table that was never created
+                Files(self.spark, folder).delete(f"{folder}/{staged}")
+
+        with removed_on_failure(remove):
+            writer.saveAsTable(f"{self.identity}.{staged}")
+            self.spark.sql(f"ALTER TABLE {self.identity}.{staged} SET TBLPROPERTIES ('{VERSION}'='{uuid.uuid4().hex}')")
+            if self.statistics:
+                self.spark.sql(f"ANALYZE TABLE {self.identity}.{staged} COMPUTE STATISTICS FOR ALL COLUMNS")
+            self._publish(staged, name)
+
+    def _publish(self, staged: str, name: str) -> None:
+        def rename(one: str, other: str) -> None:
+            self.spark.sql(f"ALTER TABLE {self.identity}.{one} RENAME TO {self.schema}.{other}")
+
+        there = self._has(name)
+        if there:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.identity}.{name}__old")
+            rename(name, f"{name}__old")
+        try:
+            rename(staged, name)
+        except BaseException:
+            if there:
+                rename(f"{name}__old", name)
+            raise
+
+    def version(self, name: str) -> str | None:
+        """An identity of what the table holds now; None if there is no table or it can't be told."""
+        table = self._current(name)
+        if not self.spark.catalog.tableExists(table):
+            return None
+        found = [r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"] == VERSION]
+        if found:
+            return found[0]
+        folders = sorted({f.rsplit("/", 1)[0] for f in self.spark.table(table).inputFiles()})
+        return listed_version(self.spark, folders)
 
 
 Layer = PathLayer | TableLayer

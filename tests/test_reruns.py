@@ -1,0 +1,232 @@
+"""Writes that fail, runs that are resumed, records that don't fit."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from booking_files import write_files
+from conftest import rows
+from lodgemart.plans import kpi
+from lodgemart.plans.stages import Job, run_all
+from lodgemart.schemas import BOOKINGS
+from lodgemart.sources.ingest import TableSpec, ingest
+from lodgemart.sources.layers import PathLayer, TableLayer
+from lodgemart.sources.ledger import COMMITTED, Ledger, digest
+from lodgemart.sources.readers import read_csv
+from lodgemart.sources.staging import StagedFolder, listed_version
+
+LEXICON = {"great": 3, "bad": -3}
+
+
+def layer_of(kind, spark, folder, **more):
+    if kind == "files":
+        return PathLayer(spark, f"{folder}/layer")
+    layer = TableLayer(spark, f"staged_{abs(hash(str(folder))) % 10**8}", location=f"{folder}/layer", **more)
+    layer.prepare()
+    return layer
+
+
+def failing(spark):
+    """A frame of another schema that fails in one of its later tasks."""
+    broken = F.when(F.col("id") == 900, F.raise_error(F.lit("lost"))).otherwise(F.col("id"))
+    return spark.range(1000, numPartitions=4).select(broken.cast("string").alias("other"))
+
+
+@pytest.mark.parametrize("kind", ["files", "tables"])
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path, kind):
+    layer = layer_of(kind, spark, tmp_path)
+    assert layer.version("t") is None
+    with pytest.raises(Exception, match="lost"):
+        layer.write(failing(spark), "t")
+    with pytest.raises(Exception, match="(?i)not.found|not.exist"):
+        layer.read("t").count()
+    layer.write(spark.range(7), "t")
+    version = layer.version("t")
+    with pytest.raises(Exception, match="lost"):
+        layer.write(failing(spark), "t")
+    assert layer.read("t").columns == ["id"] and layer.read("t").count() == 7
+    assert layer.version("t") == version
+    left = [p.name for p in (tmp_path / "layer").rglob("*") if "staged" in p.name and p.is_dir() and p.name != "_staged"]
+    assert left == []
+    layer.write(failing(spark).limit(0), "t")
+    assert layer.read("t").columns == ["other"] and layer.version("t") != version
+
+
+@pytest.mark.parametrize("kind", ["files", "tables"])
+def test_readers_of_the_version_before_go_on(spark, tmp_path, kind):
+    layer = layer_of(kind, spark, tmp_path)
+    for n in (3, 5, 9):
+        layer.write(spark.range(n), "t")
+        assert layer.read("t").count() == n
+    if kind == "files":
+        folder = StagedFolder(spark, layer.root, "t")
+        assert len(folder.files.names(folder.before)) == 1
+        # A run that died between its two renames: the version before is what is read.
+        (tmp_path / "layer" / "t").rename(tmp_path / "lost")
+    else:
+        assert spark.table(f"{layer.identity}.t__old").count() == 5
+        spark.sql(f"ALTER TABLE {layer.identity}.t RENAME TO {layer.schema}.lost")
+    assert layer.read("t").count() == 5
+    layer.write(spark.range(2), "t")
+    assert layer.read("t").count() == 2
+
+
+def test_a_rename_that_fails_is_taken_back(spark, tmp_path, monkeypatch):
+    layer = PathLayer(spark, str(tmp_path))
+    layer.write(spark.range(4), "t")
+    folder = StagedFolder(spark, layer.root, "t")
+    move = folder.files.move
+
+    def once(source, target):
+        if source == folder.staged:
+            raise OSError("no rename")
+        move(source, target)
+
+    monkeypatch.setattr(folder.files, "move", once)
+    with pytest.raises(OSError, match="no rename"):
+        folder.replace(spark.range(8).write.parquet)
+    assert layer.read("t").count() == 4
+
+
+def test_tables_have_statistics(spark, tmp_path):
+    layer = layer_of("tables", spark, tmp_path, statistics=True)
+    layer.write(spark.range(100_000).selectExpr("id", "id % 100 as small_id", "id % 7 as tiny_id"), "facts")
+    layer.write(spark.range(100).selectExpr("id as small_id", "id * 2 as v"), "small")
+    layer.write(spark.range(7).selectExpr("id as tiny_id", "id * 3 as w"), "tiny")
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        at = layer.identity
+        query = f"SELECT * FROM {at}.facts JOIN {at}.small USING (small_id) JOIN {at}.tiny USING (tiny_id)"
+        plan = spark.sql(f"EXPLAIN COST {query}").first()[0]
+        assert "rowCount=1.00E+5" in plan and "rowCount=100" in plan and "rowCount=7" in plan
+        assert plan.count("BroadcastHashJoin") == 2
+    finally:
+        spark.conf.unset("spark.sql.cbo.enabled")
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    write_files(str(tmp_path / "raw"))
+    layers = [PathLayer(spark, str(tmp_path / n)) for n in ("bronze", "silver", "gold", "report")]
+    return Job(str(tmp_path / "raw"), *layers, ledger=str(tmp_path / "ledger"))
+
+
+GOLD = {"overbooking_alerts", "collection_rate", "customer_value", "daily_revenue", "cancellation_rate_by_source"}
+
+
+def resumed(spark, job, monkeypatch, lexicon=LEXICON):
+    """The steps that a resumed run does, and what it returns."""
+    done = []
+    step = Ledger.step
+
+    def seen(self, stage, table, inputs, version, write):
+        return step(self, stage, table, inputs, version, lambda: done.append((stage, table)) or write())
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Ledger, "step", seen)
+        result = run_all(spark, job, lexicon, resume=True)
+    return sorted(done), result
+
+
+def test_a_run_goes_on_where_it_failed(spark, job, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("gold is broken")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(kpi, "daily_revenue", broken)
+        with pytest.raises(RuntimeError, match="gold is broken"):
+            run_all(spark, job, LEXICON)
+    kept = {n: job.silver.version(n) for n in ("bookings", "payments", "rooms", "hotels", "customers")}
+    assert all(kept.values())
+    done, (counts, skipped) = resumed(spark, job, monkeypatch)
+    assert {s for s, _ in done} == {"gold", "sentiment", "report"}
+    assert ("gold", "daily_revenue") in done
+    assert {n: job.silver.version(n) for n in kept} == kept
+    assert counts["bookings"] > 0 and skipped == {}
+    assert resumed(spark, job, monkeypatch)[0] == []
+    assert resumed(spark, job, monkeypatch)[1] == (counts, skipped)
+
+
+def test_a_run_redoes_what_depends_on_a_change(spark, job, monkeypatch):
+    run_all(spark, job, LEXICON)
+    # Another lexicon: scores and what they enrich.
+    done, _ = resumed(spark, job, monkeypatch, {"great": 5})
+    assert done == [("report", "top_customers"), ("sentiment", "customer_value_enriched"), ("sentiment", "reviews_sentiment")]
+    # A raw file with a line more: its table and all that is made from it.
+    payments = f"{job.source}/payments.csv"
+    with open(payments) as f:
+        lines = f.read().splitlines()
+    with open(payments, "w") as f:
+        f.write("\n".join([*lines, lines[1].replace(lines[1].split(",")[0], "PX", 1)]) + "\n")
+    done, (counts, _) = resumed(spark, job, monkeypatch, {"great": 5})
+    assert done == [("bronze", "payments"), ("gold", "collection_rate"), ("report", "top_collection"), ("silver", "payments")]
+    assert counts["payments"] == len(lines)
+    # A table that someone else replaced is not what was committed.
+    spark.range(3).write.mode("overwrite").parquet(job.gold.path("daily_revenue"))
+    done, _ = resumed(spark, job, monkeypatch, {"great": 5})
+    assert done == [("gold", "daily_revenue"), ("report", "daily_revenue")]
+    # A run that is not resumed does everything.
+    run_all(spark, job, {"great": 5})
+    entries = Ledger(spark, job.ledger).entries()
+    assert entries.where(F.col("state") == COMMITTED).select("stage", "table").distinct().count() == 21
+    with pytest.raises(ValueError, match="ledger"):
+        run_all(spark, Job(job.source, job.bronze, job.silver, job.gold, job.report), LEXICON, resume=True)
+
+
+def test_the_time_zone_is_put_back(spark, job):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        run_all(spark, job, LEXICON)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_unknown_inputs_are_never_equal():
+    assert digest(["a", "b"]) == digest(["a", "b"]) != digest(["ab"])
+    assert digest(["a", None]) != digest(["a", None])
+
+
+def test_listed_versions(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x")
+    one = listed_version(spark, [str(tmp_path)])
+    assert one == listed_version(spark, [str(tmp_path / "a.csv")]) and listed_version(spark, []) is None
+    (tmp_path / "b.csv").write_text("x")
+    assert listed_version(spark, [str(tmp_path)]) != one
+
+
+def test_texts_with_line_breaks(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('customer_id,review_text\nc1,"great\nstay, but\n\nbad"\nc2,fine\n')
+    whole = read_csv(spark, str(tmp_path / "r.csv"), options={"multiLine": "true"})
+    assert rows(whole) == [("c1", "great\nstay, but\n\nbad"), ("c2", "fine")]
+    assert read_csv(spark, str(tmp_path / "r.csv")).count() > 2
+
+
+def test_reviews_are_read_whole(spark, job):
+    with open(f"{job.source}/reviews.csv", "a") as f:
+        f.write('c77,"great\ngreat, not\nbad"\n')
+    run_all(spark, job, LEXICON)
+    found = job.gold.read("reviews_sentiment").where("customer_id = 'c77'").first()
+    assert found.review_text == "great\ngreat, not\nbad" and found.sentiment_score == 3.0
+
+
+def test_records_that_do_not_fit(spark, tmp_path):
+    names = [f.name for f in BOOKINGS]
+    good = {n: "1" for n in names}
+    lines = [good, {**good, "nights": "two"}, {**good, "gdpr_optin": "1"}]
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    text = [",".join(names), *[",".join(str(line[n]) for n in names) for line in lines], "only,three,values"]
+    (raw / "bookings.csv").write_text("\n".join([*text, text[1] + ",extra"]) + "\n")
+    layer = PathLayer(spark, str(tmp_path / "bronze"))
+    specs = {"bookings": TableSpec("bookings.csv", BOOKINGS)}
+    counts = ingest(spark, str(raw), layer, specs, datetime(2024, 1, 1), rejects=True)
+    typed = any(f.name == "nights" and f.dataType.simpleString() == "int" for f in BOOKINGS)
+    expected = ["only,three,values", text[1] + ",extra"] + [text[2]] * typed
+    assert counts == {"bookings": 5, "bookings_rejects": len(expected)}
+    assert [r[0] for r in rows(layer.read("bookings_rejects"), "rejected_record")] == sorted(expected)
+    assert layer.read("bookings").count() == 5 and "rejected_record" not in layer.read("bookings").columns
+    with pytest.raises(ValueError, match="schema"):
+        read_csv(spark, str(raw), rejects="bad")
