@@ -180,6 +180,22 @@ CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM
 SUPPLIER = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 
 
+CASCADE = f"""
+WITH nations AS (SELECT n_nationkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 1)),
+customers AS (
+  SELECT c_custkey FROM customer
+  WHERE c_nationkey IN (SELECT n_nationkey FROM nations) AND c_custkey % 10 <> 0),
+suppliers AS (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nations)),
+kept AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+held AS (SELECT o_orderkey FROM kept WHERE o_custkey IN (SELECT c_custkey FROM customers))
+SELECT {ID} AS payment_id,
+       NOT EXISTS (SELECT 1 FROM kept WHERE o_orderkey = l_orderkey) AS dq_orphan_order,
+       NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey) AS dq_orphan_supplier,
+       NOT EXISTS (SELECT 1 FROM held WHERE o_orderkey = l_orderkey)
+         OR NOT EXISTS (SELECT 1 FROM suppliers WHERE s_suppkey = l_suppkey) AS dq_cascade
+FROM lineitem
+"""
+
 REJECTS = """
 WITH stays AS (
   SELECT c_custkey AS n, c_nationkey AS nights, c_name AS name,
@@ -205,6 +221,7 @@ def all_oracles() -> dict[str, str]:
                    CAST(c_nationkey AS VARCHAR) AS c_nationkey,
                    CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment
             FROM customer""",
+        "dq_cascade": CASCADE,
         "src_csv_rejects": REJECTS,
         "table_roundtrip": SUPPLIER,
         "table_bucketed": f"""

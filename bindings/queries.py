@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from bindings import tables as B
 from lodgemart.operators.dedup import keep_any, keep_latest
+from lodgemart.operators.foreign_keys import ForeignKey, check_keys
 from lodgemart.operators.integrity import flag_orphans, flag_over
 from lodgemart.operators.rules import (
     blank_to_null,
@@ -103,7 +104,8 @@ def src_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(n % 11 == 0, short).otherwise(F.concat_ws(",", short, "c_name"))
     line = F.when((n % 13 == 0) & (n % 11 != 0), F.concat(line, F.lit(",more"))).otherwise(line)
     lines = customers.select(line.alias("customer_id,nights,name"))
-    lines.write.option("header", True).option("quote", "").csv(f"{base}/raw/stays")
+    # One column, whose commas are no separators while it is written.
+    lines.write.option("header", True).option("sep", "\u0001").csv(f"{base}/raw/stays")
     schema = table_schema(("customer_id", KEY), ("nights", T.IntegerType()), ("name", T.StringType()))
     layer = PathLayer(spark, f"{base}/bronze")
     ingest(spark, f"{base}/raw", layer, {"stays": TableSpec("stays", schema)}, rejects=True)
@@ -516,6 +518,30 @@ def payments_status_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_numbers(kpi.valid_payments(checked, status_in=["O"]).select("payment_id", "amount", "status"))
 
 
+TPCH_KEYS = (
+    ForeignKey("nation", "n_regionkey", "region", "r_regionkey", "dq_orphan_region"),
+    ForeignKey("customer", "c_nationkey", "nation", "n_nationkey", "dq_orphan_nation"),
+    ForeignKey("supplier", "s_nationkey", "nation", "n_nationkey", "dq_orphan_nation"),
+    ForeignKey("orders", "o_custkey", "customer", "c_custkey", "dq_orphan_customer"),
+    ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey", "dq_orphan_order"),
+    ForeignKey("lineitem", "l_suppkey", "supplier", "s_suppkey", "dq_orphan_supplier"),
+)
+
+
+def dq_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line: is its order or supplier missing, or lost with its customer, nation or region?
+
+    Region 1 and the open orders are left out; every tenth customer counts as lost.
+    """
+    tables = {name: B.load(spark, sf_dir, name) for name in ("region", "nation", "customer", "supplier", "orders", "lineitem")}
+    tables["region"] = tables["region"].where("r_regionkey <> 1")
+    tables["orders"] = tables["orders"].where(F.col("o_orderstatus") != B.NO_PARENT_STATUS)
+    checked = check_keys(tables, TPCH_KEYS, {"customer": F.col("c_custkey") % 10 == 0})
+    return checked["lineitem"].select(
+        B.line_id().alias("payment_id"), "dq_orphan_order", "dq_orphan_supplier", "dq_cascade"
+    )
+
+
 def overlap_alerts_exclude_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.overbooking_alerts(B.loose_stays(spark, sf_dir), exclude_status=["R"])
 
@@ -545,6 +571,7 @@ def all_queries() -> dict[str, Query]:
         "dq_bookings_full": dq_bookings_full,
         "dq_orphan": dq_orphan,
         "dq_orphan_spread": dq_orphan_spread,
+        "dq_cascade": dq_cascade,
         "dq_over_amount": dq_over_amount,
         "dq_payments_full": dq_payments_full,
         "payments_valid": payments_valid,

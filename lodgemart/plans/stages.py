@@ -14,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, fields
 from datetime import datetime
-from functools import partial
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodgemart.operators.foreign_keys import ForeignKey, check_keys
 from lodgemart.plans import cleaning, kpi
 from lodgemart.plans.sentiment import enrich_sentiment, score_reviews
 from lodgemart.plans.top_lists import write_report
@@ -34,6 +35,20 @@ BOOKING_MARKS = (*cleaning.BAD_DATES, cleaning.BAD_TOTAL, "dq_swapped_dates", "d
 PAYMENT_MARKS = (cleaning.BAD_AMOUNT, "dq_orphan_payment", "dq_over_amount", "dq_invalid_currency")
 
 
+KEY_MARKS = ("dq_orphan_customer", "dq_orphan_hotel", "dq_orphan_room", "dq_cascade")
+
+
+def booking_keys(names: Names) -> tuple[ForeignKey, ...]:
+    """The foreign keys that the booking system declares, but for payments, which are always checked."""
+    b, r = names.bookings, names.rooms
+    return (
+        ForeignKey("rooms", r.hotel, "hotels", names.hotels.hotel, "dq_orphan_hotel"),
+        ForeignKey("bookings", b.customer, "customers", names.customers.customer, "dq_orphan_customer"),
+        ForeignKey("bookings", b.hotel, "hotels", names.hotels.hotel, "dq_orphan_hotel"),
+        ForeignKey("bookings", b.room, "rooms", r.room, "dq_orphan_room"),
+    )
+
+
 @dataclass(frozen=True)
 class Job:
     """Where the data lies, how it is named, and the choices its operators offer.
@@ -49,6 +64,10 @@ class Job:
     that raise alerts, ``confirmed_only`` the customer figures. ``null_bounds``,
     ``bucket_days``: see ``overlaps``; ``splits``: see ``left_lookup``.
 
+    ``foreign_keys`` checks bookings and rooms against the tables they refer to: "mark" adds the
+    marks of ``booking_keys`` to the silver tables, "drop" also keeps lost bookings, those of a
+    dropped hotel for instance, out of the key figures; "off" does neither.
+
     ``ledger`` is a folder for the entries of committed tables, outside the layers; without one
     no run can be resumed.
     """
@@ -76,9 +95,12 @@ class Job:
     null_bounds: str = "drop"
     bucket_days: float | None = None
     splits: int = 1
+    foreign_keys: str = "off"
     ledger: str | None = None
 
     def __post_init__(self) -> None:
+        if self.foreign_keys not in ("off", "mark", "drop"):
+            raise ValueError(f"foreign_keys is 'off', 'mark' or 'drop', not {self.foreign_keys!r}")
         layers = [self.bronze, self.silver, self.gold, self.report]
         if not isinstance(self.source, str):
             require_distinct([self.source, *layers])
@@ -132,11 +154,20 @@ def run_silver(job: Job, steps: Steps = NoLedger()) -> dict[str, dict[str, int]]
     out.prepare()
     own = tuple(f for f in (*job.bad_date_flags, job.bad_total_flag, job.bad_amount_flag) if f)
 
-    def bookings() -> dict[str, int]:
-        clean = cleaning.clean_bookings(
+    rules = {"customers": cleaning.clean_customers, "rooms": cleaning.clean_rooms, "hotels": cleaning.clean_hotels}
+
+    @lru_cache(maxsize=1)
+    def clean() -> dict[str, DataFrame]:
+        """The clean tables but payments; made by the first step that needs one."""
+        found = {n: rule(bronze.read(n), getattr(names, n), strict) for n, rule in rules.items()}
+        found["bookings"] = cleaning.clean_bookings(
             bronze.read("bookings"), names.bookings, strict, job.currencies, job.bad_date_flags, job.bad_total_flag
         )
-        return write_marked(clean, out, "bookings", tuple(dict.fromkeys((*own, *BOOKING_MARKS))))
+        return found if job.foreign_keys == "off" else check_keys(found, booking_keys(names))
+
+    def bookings() -> dict[str, int]:
+        marks = tuple(dict.fromkeys((*own, *BOOKING_MARKS, *KEY_MARKS)))
+        return write_marked(clean()["bookings"], out, "bookings", marks)
 
     def payments() -> dict[str, int]:
         clean = cleaning.clean_payments(
@@ -145,39 +176,42 @@ def run_silver(job: Job, steps: Steps = NoLedger()) -> dict[str, dict[str, int]]
         )
         return write_marked(clean, out, "payments", tuple(dict.fromkeys((*own, *PAYMENT_MARKS))))
 
-    def plain(rule: Callable, name: str) -> None:
-        out.write(rule(bronze.read(name), getattr(names, name), strict), name)
+    def plain(name: str) -> None:
+        out.write(clean()[name], name)
 
     def step(name: str, write: Callable, *more: tuple[Layer, str]):
         inputs = _inputs(job, steps, (bronze, name), *more)
         return steps.step("silver", name, inputs, partial(out.version, name), write)
 
-    rules = {"customers": cleaning.clean_customers, "rooms": cleaning.clean_rooms, "hotels": cleaning.clean_hotels}
-    writes = [partial(step, name, partial(plain, rule, name)) for name, rule in rules.items()]
-    found = side_by_side([partial(step, "bookings", bookings), *writes], job.parallel)
+    parents = [] if job.foreign_keys == "off" else [(bronze, n) for n in rules]
+    if parents:
+        clean()  # once, before several steps ask for it
+    writes = [partial(step, name, partial(plain, name), *parents) for name in rules]
+    found = side_by_side([partial(step, "bookings", bookings, *parents), *writes], job.parallel)
     return {"bookings": found[0], "payments": step("payments", payments, (out, "bookings"))}
 
 
 def run_gold(job: Job, steps: Steps = NoLedger()) -> None:
-    silver, gold, cols = job.silver, job.gold, job.names.bookings
+    silver, gold, names = job.silver, job.gold, job.names
+    cols = names.bookings
 
-    def alerts() -> DataFrame:
-        return kpi.overbooking_alerts(
-            silver.read("bookings"), cols, job.exclude_status, job.bucket_days, job.null_bounds
-        )
+    def booked() -> DataFrame:
+        found = silver.read("bookings")
+        return found.where("not dq_cascade") if job.foreign_keys == "drop" else found
 
     def rate() -> DataFrame:
-        return kpi.collection_rate(
-            silver.read("bookings"), silver.read("payments"), cols, job.status_in, job.names.payments
-        )
+        return kpi.collection_rate(booked(), silver.read("payments"), cols, job.status_in, names.payments)
 
     bookings, payments = (silver, "bookings"), (silver, "payments")
     figures: dict[str, tuple[Callable[[], DataFrame], tuple]] = {
-        "overbooking_alerts": (alerts, (bookings,)),
+        "overbooking_alerts": (
+            lambda: kpi.overbooking_alerts(booked(), cols, job.exclude_status, job.bucket_days, job.null_bounds),
+            (bookings,),
+        ),
         "collection_rate": (rate, (bookings, payments)),
-        "customer_value": (lambda: kpi.customer_value(silver.read("bookings"), cols, job.confirmed_only), (bookings,)),
-        "daily_revenue": (lambda: kpi.daily_revenue(silver.read("bookings"), cols), (bookings,)),
-        "cancellation_rate_by_source": (lambda: kpi.cancellation_rate(silver.read("bookings"), cols), (bookings,)),
+        "customer_value": (lambda: kpi.customer_value(booked(), cols, job.confirmed_only), (bookings,)),
+        "daily_revenue": (lambda: kpi.daily_revenue(booked(), cols), (bookings,)),
+        "cancellation_rate_by_source": (lambda: kpi.cancellation_rate(booked(), cols), (bookings,)),
     }
 
     def step(name: str) -> None:

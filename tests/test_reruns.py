@@ -1,5 +1,6 @@
 """Writes that fail, runs that are resumed, records that don't fit."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -230,3 +231,24 @@ def test_records_that_do_not_fit(spark, tmp_path):
     assert layer.read("bookings").count() == 5 and "rejected_record" not in layer.read("bookings").columns
     with pytest.raises(ValueError, match="schema"):
         read_csv(spark, str(raw), rejects="bad")
+
+
+@pytest.mark.parametrize("choice", ["mark", "drop"])
+def test_a_dropped_hotel_takes_its_rooms_and_bookings_along(spark, job, choice):
+    job = replace(job, foreign_keys=choice)
+    counts, skipped = run_all(spark, job, LEXICON)
+    rooms = {r.room_id: r for r in job.silver.read("rooms").collect()}
+    assert len(rooms) == 12 and {r.dq_orphan_hotel for r in rooms.values()} == {True, False}
+    assert all(r.dq_cascade == r.dq_orphan_hotel == (r.hotel_id == "H1") for r in rooms.values())
+    bookings = job.silver.read("bookings").collect()
+    lost = {b.booking_id for b in bookings if b.dq_cascade}
+    assert lost == {b.booking_id for b in bookings if b.hotel_id == "H1"} != set()
+    assert not any(b.dq_orphan_room or b.dq_orphan_customer for b in bookings)
+    hotels = {r.hotel_id for r in job.gold.read("collection_rate").collect()}
+    assert hotels == ({"H2", "H3", "H4"} if choice == "drop" else {"H1", "H2", "H3", "H4"})
+    assert skipped == {} and counts["bookings"] == len(bookings)
+
+
+def test_unknown_choice_of_foreign_keys(job):
+    with pytest.raises(ValueError, match="foreign_keys"):
+        replace(job, foreign_keys="check")
