@@ -235,6 +235,10 @@ def all_oracles() -> dict[str, str]:
             f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
             for t in ("customer", "orders", "lineitem", "events")
         ),
+        "ingest_verified": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, true AS content_matches FROM {t}"
+            for t in ("customer", "orders", "lineitem", "documents", "embeddings")
+        ),
         "dq_sentinel": """
             SELECT supplier.*, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
             WHERE n_name <> 'NATION_0'""",

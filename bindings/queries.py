@@ -33,7 +33,7 @@ from lodgemart.plans.sentiment import (
 )
 from lodgemart.plans.stages import Job, run_all
 from lodgemart.schemas import MONEY, ReviewColumns, table_schema
-from lodgemart.sources.ingest import TableSpec, audit_frame, ingest, stamp, write_counted
+from lodgemart.sources.ingest import TableSpec, audit_frame, ingest, stamp, write_counted, write_verified
 from lodgemart.sources.layers import PathLayer, TableLayer
 from lodgemart.sources.ledger import Ledger
 from lodgemart.sources.readers import read_csv
@@ -153,6 +153,14 @@ def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_frame(spark, counts)
 
 
+def ingest_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded, and whether the tables hold what was sent, by checksums."""
+    layer = PathLayer(spark, scratch_path(spark, "verified"))
+    names = ("customer", "orders", "lineitem", "documents", "embeddings")
+    counts = {n: write_verified(B.load(spark, sf_dir, n), layer, n) for n in names}
+    return audit_frame(spark, counts)
+
+
 # Quality rules
 
 
@@ -562,6 +570,7 @@ def all_queries() -> dict[str, Query]:
         "table_bucketed": table_bucketed,
         "ingest_stamp": ingest_stamp,
         "ingest_audit": ingest_audit,
+        "ingest_verified": ingest_verified,
         "dq_sentinel": dq_sentinel,
         "dq_blank_null": dq_blank_null,
         "dq_parse_date": dq_parse_date,

@@ -55,7 +55,7 @@ class Job:
 
     ``source`` is a folder of CSV files or a layer of raw tables. ``reviews`` names the
     reviews in it, a file or a table; None leaves the sentiment stage out. ``review_options`` are
-    the CSV reader's for that file, whose texts may hold line breaks. ``rejects``: see ``ingest``. ``parallel``
+    the CSV reader's for that file, whose texts may hold line breaks. ``rejects`` and ``verify``: see ``ingest``. ``parallel``
     tables of a stage are written at the same time.
 
     ``infer`` infers CSV types instead of taking the declared ones. ``bad_date_flags``,
@@ -82,6 +82,7 @@ class Job:
     reviews: str | None = "reviews.csv"
     review_options: tuple[tuple[str, str], ...] = (("multiLine", "true"),)
     rejects: bool = False
+    verify: bool = False
     strict: bool = False
     parallel: int = 4
     infer: bool = False
@@ -132,7 +133,7 @@ def run_bronze(
     def load(name: str, spec: TableSpec) -> dict[str, int]:
         raw = name if not isinstance(job.source, str) else spec.file
         inputs = () if isinstance(steps, NoLedger) else (job.options(), repr(run_ts), job.raw_version(spark, raw))
-        one = partial(ingest, spark, job.source, job.bronze, {name: spec}, run_ts, job.infer, 1, job.rejects)
+        one = partial(ingest, spark, job.source, job.bronze, {name: spec}, run_ts, job.infer, 1, job.rejects, job.verify)
         return steps.step("bronze", name, inputs, partial(job.bronze.version, name), one)
 
     loads = [partial(load, name, spec) for name, spec in job.specs.items()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -27,7 +28,8 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        # "local-cluster" is not local: its executors are processes of their own.
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

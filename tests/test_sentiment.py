@@ -1,3 +1,4 @@
+import math
 import re
 
 import pytest
@@ -5,7 +6,7 @@ import pytest
 from conftest import rows
 from lodgemart.functions import sentiment as S
 from lodgemart.plans import sentiment as P
-from lodgemart.plans.sentiment import enrich_sentiment, score_by_table, score_reviews
+from lodgemart.plans.sentiment import enrich_sentiment, sentiment_by_customer, score_by_table, score_reviews
 
 LEXICON = {
     "good": 3, "great": 3, "bad": -3, "awful": -3, "ok": 1, "not good": -2, "can't stand": -3,
@@ -159,3 +160,15 @@ def test_enriched_customers(spark):
         LEXICON,
     )
     assert rows(enrich_sentiment(value, scored)) == [(None, 1, 0.0), ("c1", 2, 1.5), ("c2", 1, 0.0)]
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    values = [0.1, 1e-7, 3.3, -2.2, 1e9, 0.7, -1e9, 1 / 3] * 40
+    scored = spark.createDataFrame([(f"c{i % 3}", v) for i, v in enumerate(values)], "customer_id string, sentiment_score double")
+    found = [rows(sentiment_by_customer(scored.repartition(n, "sentiment_score"))) for n in (1, 7, 211)]
+    assert found[0] == found[1] == found[2]
+    for customer, mean in found[0]:
+        mine = [v for i, v in enumerate(values) if f"c{i % 3}" == customer]
+        assert mean == pytest.approx(math.fsum(mine) / len(mine), abs=1e-9)
+    far = spark.createDataFrame([("c", 1e30), ("c", None), ("d", None)], scored.schema)
+    assert rows(sentiment_by_customer(far)) == [("c", 1e30), ("d", None)]

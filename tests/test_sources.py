@@ -14,7 +14,7 @@ from lodgemart.schemas import (
     sum_type,
     table_schema,
 )
-from lodgemart.sources.ingest import TableSpec, audit_frame, ingest, stamp, write_counted
+from lodgemart.sources.ingest import TableSpec, audit_frame, ingest, stamp, write_counted, write_verified
 from lodgemart.sources.layers import PathLayer, TableLayer, require_distinct
 from lodgemart.sources.readers import read_csv
 from lodgemart.sources.scratch import scratch_path
@@ -154,3 +154,27 @@ def test_schema_helpers(spark):
     assert comparable(T.ArrayType(T.StringType())) and not comparable(T.VariantType())
     nested = T.ArrayType(table_schema(("m", T.MapType(T.StringType(), T.IntegerType()))))
     assert not comparable(nested)
+
+
+def test_writes_are_verified_by_content(spark, payments_csv, tmp_path, monkeypatch):
+    layer = PathLayer(spark, str(tmp_path / "bronze"))
+    specs = {"payments": TableSpec("payments.csv", PAYMENTS)}
+    assert ingest(spark, str(tmp_path), layer, specs, verify=True) == {"payments": 3}
+    assert write_verified(spark.range(0), layer, "none").matches
+    nested = spark.sql("SELECT 1 AS i, map('a', 1) AS m, array(1.5D) AS l UNION ALL SELECT 1, map('a', 2), array(1.5D)")
+    found = write_verified(nested, layer, "nested")
+    assert (found.rows, found.matches) == (2, True)
+    audit = audit_frame(spark, {"nested": found})
+    assert rows(audit) == [("nested", 2, True)]
+    # A value that changes on its way is noticed, though the number of rows is the same.
+    read = PathLayer.read
+    monkeypatch.setattr(PathLayer, "read", lambda self, n: read(self, n).replace("p2", "p9"))
+    with pytest.raises(ValueError, match="payments does not hold the 3 rows"):
+        ingest(spark, str(tmp_path), layer, specs, verify=True)
+
+
+def test_scratch_needs_executors_of_this_process(tmp_path):
+    for master in ("local-cluster[2,1,1024]", "localhost:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(_Conf(spark_master=master), "t")
+    assert "lodgemart-" in scratch_path(_Conf(spark_master="local"), "t")
