@@ -155,30 +155,46 @@ def test_pipeline_of_odd_tables(spark, tmp_path, odd_rows):
         assert (found.count() > 0) == (k == 0)
 
 
-def test_training_windows_cover_every_token(spark):
-    texts = ["", None, "short", "Plain words " * 400, "x" * 3_000, "tail " * 31 + "end", "y z " * 300_000]
-    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
-    tok = L.P.tokenizer(TOKENIZER)
-    class_of = (np.arange(tok.get_vocab_size()) * 7 % L.CLASSES).astype(np.uint8)
-    end = tok.get_vocab_size() - 1
-    packs = df.mapInArrow(L._windows(TOKENIZER, class_of, end), "classes binary").collect()
-    found = np.concatenate([np.frombuffer(p[0], np.uint8).reshape(-1, L.WINDOW + 1) for p in packs])
+def test_training_windows_cover_every_token():
+    rng, end = np.random.default_rng(1), 7
+    lines = [rng.integers(0, L.CLASSES, n).astype(np.uint8) for n in (0, 1, 31, 32, 33, 400, 0, 5_000, 64)]
+    batch = L.pa.RecordBatch.from_arrays([L.pa.array([x.tobytes() for x in lines], L.pa.binary())], ["classes"])
+    found = []
+    for part in (batch, batch.slice(3, 4), batch.slice(0, 0)):
+        for rows, classes, bounds in L.sequences(part):
+            assert rows.num_rows == len(bounds) - 1
+            found += [pack for pack in L.laid(classes, bounds, end)]
     expected = []
-    for text in texts:
-        parts = [tok.encode(" " + w, add_special_tokens=False).ids for w in low(text).split()]
-        line = [class_of[i] for i in [end, *(i for p in parts for i in p), end]]
+    for line in [*lines, *lines[3:7]]:
+        line = [end, *line, end]
         for k in range(0, len(line) - 1, L.WINDOW):
             row = line[k : k + L.WINDOW + 1]
             expected.append([*row, *[L.PAD] * (L.WINDOW + 1 - len(row))])
-    assert sorted(found.tolist()) == sorted(np.array(expected, np.uint8).tolist())
+    assert sorted(np.concatenate(found).tolist()) == sorted(np.array(expected, np.uint8).tolist())
+
+
+def test_slices_of_lines(monkeypatch):
+    monkeypatch.setattr(L, "SLICE_TOKENS", 10)
+    lines = [b"x" * n for n in (4, 4, 4, 30, 0, 0, 9)]
+    batch = L.pa.RecordBatch.from_arrays([L.pa.array(lines, L.pa.binary())], ["classes"])
+    found = list(L.sequences(batch))
+    assert [r.num_rows for r, _, _ in found] == [2, 1, 1, 3]
+    assert sum(len(c) for _, c, _ in found) == 51
+
+
+def test_gradients_in_used_arrays():
+    m, rng, room = L.Weights.start(np.zeros(L.CLASSES)), np.random.default_rng(0), L.Room()
+    for n in (8, 8, 3, 8):
+        rows = rng.integers(0, L.CLASSES, (n, L.WINDOW + 1))
+        for one, other in zip(L.gradients(m, rows, room)[1], L.gradients(m, rows)[1], strict=True):
+            assert np.array_equal(one, other)
 
 
 def test_short_texts_teach(spark):
-    rows = np.full((1, L.WINDOW + 1), L.PAD, np.uint8)
-    rows[0, :3] = 1, 2, 1
-    packs = spark.createDataFrame([(bytearray(rows.tobytes()),)] * 3, "classes binary")
+    rows = np.full((1, L.WINDOW + 1), L.PAD, int)
+    rows[0, :4] = 9, 1, 2, 9
+    texts = spark.createDataFrame([(bytearray([1, 2]),)] * 3, "classes binary")
     start = L.Weights.start(np.zeros(L.CLASSES))
-    after = L.fit(packs, start)
-    assert L.gradients(after, rows.astype(int))[0] < L.gradients(start, rows.astype(int))[0]
-    short = rows.astype(int)[:, :3]
-    assert L.gradients(start, rows.astype(int))[0] == pytest.approx(L.gradients(start, short)[0], rel=1e-5)
+    after = L.fit(texts, start, 9)
+    assert L.gradients(after, rows)[0] < L.gradients(start, rows)[0]
+    assert L.gradients(start, rows)[0] == pytest.approx(L.gradients(start, rows[:, :4])[0], rel=1e-5)
