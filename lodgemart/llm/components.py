@@ -11,8 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgemart.operators.skew import left_lookup
 from lodgemart.sources.scratch import scratch_path
 
+#: Tasks, at most, that the edges of one node are dealt over.
+HUB_PLACES = 16
+
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
@@ -26,6 +30,11 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
+def smallest(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges with the smallest neighbour ``m`` of their ``a``; a hub's edges are dealt over many tasks."""
+    return left_lookup(edges, least.withColumnRenamed("a", "_hub"), "a", "_hub", HUB_PLACES)
+
+
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """(node, root) for every node of the edges (a, b) that isn't its own root; the root is the smallest."""
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -34,10 +43,10 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     while state[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = smallest(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = smallest(large, lower).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(lower.select("a", F.col("m").alias("b"))).distinct()
         edges = written(small, purpose)
         after = _state(edges)

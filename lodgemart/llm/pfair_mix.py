@@ -13,7 +13,7 @@ With a ``period``, weights are first rounded to multiples of 1 / period, and a s
 period is repeated: the bound then holds for the rounded weights only.
 
 Defined cases: a null source is a source of its own; a null id is an id; equal (source, id)
-rows each get a place; sources without a weight given take none away from the others and
+rows each get a place of their own; sources without a weight given take none away from the others and
 follow after all weighted ones, in equal shares; an empty table gives an empty result.
 """
 
@@ -23,6 +23,7 @@ import heapq
 from array import array
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
+from functools import reduce
 from math import lcm
 
 import numpy as np
@@ -33,11 +34,13 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from lodgemart.llm.components import written
+from lodgemart.schemas import comparable
 
 BLOCK_ROWS = 64
 PERIOD = 1_000
 CHUNK = 1_024
 BUCKET_ROWS = 4_096
+PLACES = 10_000  # places listed in one cell
 #: Rows of a repeated schedule, and blocks of a whole one, that may be sent to all tasks; a longer one is
 #: joined by shuffling.
 BROADCAST_ROWS = 20_000
@@ -274,12 +277,54 @@ def mix_ids(
     counts = source_counts(df, source)
     schedule = schedule_frame(df.sparkSession, counts, weights or tempered(counts, power), block_rows, period)
     ranked = ranks(df, id_col, source, sum(counts.values()))
-    rank = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("rank")
-    return placed(ranked.select("s", "id", rank), schedule, block_rows).select(
+    return placed(_each_place(ranked), schedule, block_rows).select(
         F.col("id").alias(id_col), F.col("s").alias(source), "block", "slot", "position"
     )
 
 
+def _content(df: DataFrame) -> list[Column]:
+    """128 bits that rows with equal values share."""
+    held = [F.col(f"`{f.name}`") for f in df.schema if comparable(f.dataType)]
+    return [F.xxhash64(*held).alias("k1"), F.xxhash64(F.lit(3), *reversed(held)).alias("k2")]
+
+
+def _same(left: str, right: str, *names: str) -> Column:
+    pairs = [F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names]
+    return reduce(Column.__and__, pairs)
+
+
+def _each_place(rows: DataFrame) -> DataFrame:
+    """A row for each of the ``n`` places from ``start`` on, listed in pieces of bounded length."""
+    piece = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / F.lit(PLACES))))
+    low = F.col("start") + F.col("piece") * PLACES
+    high = F.least(low + PLACES, F.col("start") + F.col("n")) - 1
+    return rows.withColumn("piece", piece).withColumn("rank", F.explode(F.sequence(low, high))).drop("piece", "n", "start")
+
+
+def _repeated(rows: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(s, id, row, rank) of the rows whose id is repeated, each with a place of its own.
+
+    An id's rows are ordered by their content, in buckets, so that an id with most of the rows is
+    ranked by many tasks. Rows that are equal in all columns are one row with a number of places.
+    """
+    many = ranked.where("n > 1")
+    units = rows.groupBy("s", "id", "k1", "k2").agg(F.count(F.lit(1)).alias("m")).alias("u")
+    units = units.join(many.alias("r"), _same("u", "r", "s", "id")).select(
+        "u.*", "start", F.pmod("k1", F.ceil(F.col("n") / BUCKET_ROWS)).alias("b")
+    )
+    sizes = units.groupBy("s", "id", "b").agg(F.sum("m").alias("size"))
+    before = F.sum("size").over(Window.partitionBy("s", "id").orderBy("b")) - F.col("size")
+    sizes = sizes.withColumn("before", before).alias("z")
+    inside = F.sum("m").over(Window.partitionBy("s", "id", "b").orderBy("k1", "k2")) - F.col("m")
+    units = units.withColumn("inside", inside).alias("u")
+    units = units.join(sizes, _same("u", "z", "s", "id", "b")).select(
+        "u.s", "u.id", "k1", "k2", F.col("m").alias("n"), (F.col("start") + F.col("before") + F.col("inside")).alias("start")
+    )
+    one = rows.groupBy("s", "id", "k1", "k2").agg(F.first("row").alias("row")).alias("o")
+    met = one.join(units.alias("u"), _same("o", "u", "s", "id", "k1", "k2"))
+    return _each_place(met.select("u.s", "u.id", "row", "n", "start"))
+
+
 def mix_rows(
     df: DataFrame,
     weights: Mapping | None = None,
@@ -291,19 +336,20 @@ def mix_rows(
 ) -> DataFrame:
     """The rows of ``df`` in mixed order, columns unchanged.
 
-    Rows of a repeated (source, id) are spread over that id's places by their row number in
-    the scan, so no task ranks them all.
+    Every row has a place of its own, rows of a repeated (source, id) too, so the bound of less
+    than one block holds for all of them. It follows from the row's values alone.
     """
     counts = source_counts(df, source)
     schedule = schedule_frame(df.sparkSession, counts, weights or tempered(counts, power), block_rows, period)
     ranked = ranks(df, id_col, source, sum(counts.values()))
-    whole = df.select(
+    rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-        F.col(source).cast("string").alias("s1"),
-        F.col(id_col).alias("id1"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2**40)).alias("any"),
+        F.col(source).cast("string").alias("s"),
+        F.col(id_col).alias("id"),
+        *_content(df),
     )
-    same = F.col("s1").eqNullSafe(F.col("s")) & F.col("id1").eqNullSafe(F.col("id"))
-    rank = F.when(F.col("n") > 1, F.col("start") + F.col("any") % F.col("n")).otherwise(F.col("start"))
-    mixed = placed(whole.join(ranked, same).withColumn("rank", rank), schedule, block_rows)
-    return mixed.orderBy("position", "id", "any").select("row.*")
+    once = rows.alias("w").join(ranked.alias("r"), _same("w", "r", "s", "id")).where("n = 1")
+    found = once.select("w.s", "w.id", "row", F.col("start").alias("rank"))
+    if ranked.where("n > 1").limit(1).count():
+        found = found.unionByName(_repeated(rows, ranked))
+    return placed(found, schedule, block_rows).orderBy("position").select("row.*")

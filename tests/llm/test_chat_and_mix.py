@@ -138,3 +138,27 @@ def test_mix_holds_the_given_weights(spark, monkeypatch):
             if any(sent[k] == sizes[k] for k in weights):
                 break
         assert t > 3_000
+
+
+def test_rows_of_repeated_ids_keep_the_weights(spark, monkeypatch):
+    """One id on a third of the rows, one row on a tenth: each row has its place, within a block of the target."""
+    monkeypatch.setattr(pfair_mix, "PLACES", 7)
+    sizes, weights = {"a": 9_000, "b": 6_000, None: 5_000}, {"a": 3.0, "b": 2.0, None: 1.0}
+    data = []
+    for s, n in sizes.items():
+        data += [(1 if k % 3 == 0 else k, s, "same" if k % 10 == 0 else f"t{k}") for k in range(n)]
+        data += [(1, s, "same")] * (n // 10)
+    df = spark.createDataFrame(data, "doc_id long, source string, text string").repartition(5)
+    found = [tuple(r) for r in pfair_mix.mix_rows(df, weights, block_rows=8).collect()]
+    assert Counter(found) == Counter(data)
+    left, sent = Counter(s for _, s, _ in data), Counter()
+    for t, (_, s, _) in enumerate(found, 1):
+        sent[s] += 1
+        assert all(abs(sent[k] - w / 6 * t) <= 8 for k, w in weights.items())
+        if any(sent[k] == left[k] for k in weights):
+            break
+    assert t > 10_000
+    again = [tuple(r) for r in pfair_mix.mix_rows(df.repartition(3, "text"), weights, block_rows=8).collect()]
+    assert again == found
+    placed = pfair_mix.mix_ids(df, weights, block_rows=8).select("position").collect()
+    assert len({r[0] for r in placed}) == len(data)
