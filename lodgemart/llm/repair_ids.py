@@ -3,9 +3,9 @@
 Documents are put in order by range partitioning; each partition is a shard. A shard's ids
 are cut at document ends into blocks of about ``BLOCK_IDS`` ids. In a block, the most
 frequent pairs of neighbouring ids are replaced by new symbols, again and again, until no
-pair occurs ``MIN_COUNT`` times, the symbols are used up, or a round saves less than
-``MIN_GAIN`` of the block; the pairs of one round go in order of their counts, and where two
-overlap the more frequent one is taken. A block stores
+pair occurs twice or the symbols of 16 bits are used up (of a larger vocabulary 65,536 beyond it);
+the pairs of one round go in order of their counts, and where two overlap the more frequent one
+is taken. A block's size bounds the memory of a task, and with it what one grammar covers. A block stores
 its rules, the length of each rule's expansion, and its symbols, so a reader can find the
 symbol that covers any place and expand no more than it needs.
 
@@ -37,8 +37,7 @@ from lodgemart.llm import pieces as P
 from lodgemart.llm import text as X
 
 BLOCK_IDS = 1 << 20
-MIN_COUNT = 16
-MIN_GAIN = 0.005
+MIN_COUNT = 2
 PAIRS_A_ROUND = 3_000
 END_ID = 0
 
@@ -101,7 +100,7 @@ def chosen(rank: np.ndarray, none: int) -> np.ndarray:
 
 
 def compress(
-    ids: np.ndarray, base: int, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN
+    ids: np.ndarray, base: int, min_count: int = MIN_COUNT
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (rows of two symbols) and lengths of their expansions."""
     seq = ids.astype(np.uint32)
@@ -117,7 +116,7 @@ def compress(
             break
         rank = ranks_of(keys, pairs)
         take = chosen(rank, len(pairs))
-        if len(take) < min_gain * len(ids) or not len(take):
+        if not len(take):
             break
         seen = np.bincount(rank[take], minlength=len(pairs)) > 0
         code = np.cumsum(seen) - 1
