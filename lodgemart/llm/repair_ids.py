@@ -89,14 +89,19 @@ def ranks_of(keys: np.ndarray, pairs: np.ndarray) -> np.ndarray:
 
 def chosen(rank: np.ndarray, none: int) -> np.ndarray:
     """Places of pairs that overlap no pair of a smaller rank; in a run of one rank every second place."""
-    hit = np.flatnonzero(rank < none)
-    own = rank[hit]
-    padded = np.concatenate([[none], rank, [none]])
-    before, after = padded[hit], padded[hit + 2]
-    follows = np.append(False, (hit[1:] == hit[:-1] + 1) & (own[1:] == own[:-1])) if len(hit) else hit > 0
-    at = np.arange(len(hit))
-    offset = at - np.maximum.accumulate(np.where(follows, 0, at)) if len(hit) else at
-    return hit[(own <= after) & ((own < before) | (follows & (offset % 2 == 0)))]
+    take = rank < none
+    take[:-1] &= rank[:-1] <= rank[1:]
+    follows = np.flatnonzero(rank[1:] == rank[:-1]) + 1
+    take[1:] &= rank[1:] < rank[:-1]
+    follows = follows[rank[follows] < none]
+    if len(follows):
+        at = np.arange(len(follows))
+        begins = np.append(True, follows[1:] != follows[:-1] + 1)
+        offset = at - np.maximum.accumulate(np.where(begins, at, 0)) + 1
+        even = follows[offset % 2 == 0]
+        after = np.append(rank, none)[even + 1]
+        take[even[rank[even] <= after]] = True
+    return np.flatnonzero(take)
 
 
 def compress(
@@ -266,7 +271,7 @@ def decoded(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.Re
             ends = np.frombuffer(row["doc_ends"], "<i8")
             starts = np.append(0, ends[:-1])
             ids = block.ids(0, row["n_ids"])
-            parts = [ids[a:b] for a, b in zip(starts, ends, strict=True)]
+            parts = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             columns = {
                 "shard": pa.array([row["shard"]] * len(ends), pa.int32()),
                 "id": pa.array(row["doc_ids"], batch.schema.field("doc_ids").type.value_type),
@@ -276,7 +281,7 @@ def decoded(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.Re
             if with_ids:
                 columns["ids"] = pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32()))
             else:
-                columns["ids_crc32"] = pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64())
+                columns["ids_crc32"] = pa.array([zlib.crc32(p.astype("<u4", copy=False)) for p in parts], pa.int64())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 

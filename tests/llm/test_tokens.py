@@ -82,7 +82,7 @@ def test_grammar_round_trip(seed):
         np.zeros(0),
     ):
         ids = ids.astype(np.uint32)
-        symbols, rules, lengths = repair_ids.compress(ids, base, min_count=4, min_gain=0.0)
+        symbols, rules, lengths = repair_ids.compress(ids, base, min_count=4)
         width = 2 if not len(symbols) or symbols.max() < 1 << 16 else 4
         block = repair_ids.Block(
             {
