@@ -79,11 +79,14 @@ def ranks_of(keys: np.ndarray, pairs: np.ndarray) -> np.ndarray:
         return ((x * factor) >> shift).astype(np.int64)
 
     owner = np.full(1 << bits, len(pairs), np.int32)
-    owner[slot(pairs)[::-1]] = np.arange(len(pairs) - 1, -1, -1)  # the most frequent one stays
-    rank = owner.take(slot(keys))
-    hit = np.flatnonzero(rank < len(pairs))
-    false = hit[pairs[rank[hit]] != keys[hit]]
-    rank[false] = len(pairs)
+    # Free slots hold a pair that no key in them can be equal to, as its own slot is another one.
+    held = np.full(1 << bits, pairs[0])
+    place = slot(pairs)[::-1]  # of pairs in one slot the most frequent one stays
+    owner[place] = np.arange(len(pairs) - 1, -1, -1)
+    held[place] = pairs[::-1]
+    place = slot(keys)
+    rank = owner.take(place)
+    rank[held.take(place) != keys] = len(pairs)
     return rank
 
 
@@ -171,10 +174,12 @@ class Block:
         self.rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
         self.lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
         self.symbols = np.frombuffer(row["symbols"], "<u2" if row["width"] == 2 else "<u4").astype(np.int64)
-        self.flat, self.starts = expansions(self.rules, self.lengths, self.base)
-        self.sizes = np.ones(len(self.symbols), np.int64)
-        ruled = self.symbols >= self.base
-        self.sizes[ruled] = self.lengths[self.symbols[ruled] - self.base]
+        flat, starts = expansions(self.rules, self.lengths, self.base)
+        # Of every symbol, plain or rule: its ids in the pool, and how many they are.
+        self.pool = np.concatenate([np.arange(self.base, dtype=np.uint32), flat])
+        self.starts = np.concatenate([np.arange(self.base), starts[:-1] + self.base])
+        self.lasting = np.concatenate([np.ones(self.base, np.int64), self.lengths])
+        self.sizes = self.lasting.take(self.symbols)
         self.ends = np.cumsum(self.sizes)
 
     def ids(self, start: int, end: int) -> np.ndarray:
@@ -183,14 +188,9 @@ class Block:
             return np.zeros(0, np.uint32)
         lo = int(np.searchsorted(self.ends, start, "right"))
         hi = int(np.searchsorted(self.ends, end, "left")) + 1
-        symbols, sizes = self.symbols[lo:hi], self.sizes[lo:hi]
-        ruled = symbols >= self.base
-        pool = np.concatenate([self.flat, symbols[~ruled].astype(np.uint32)])
-        at = np.empty(len(symbols), np.int64)
-        at[ruled] = self.starts[symbols[ruled] - self.base]
-        at[~ruled] = len(self.flat) + np.arange((~ruled).sum())
         before = int(self.ends[lo] - self.sizes[lo])
-        return P.gather(pool, at, sizes)[start - before : end - before]
+        found = P.gather(self.pool, self.starts.take(self.symbols[lo:hi]), self.sizes[lo:hi])
+        return found[start - before : end - before]
 
 
 def block_rows(batches: Iterator[pa.RecordBatch], path: str, schema: pa.Schema, end_id: int):
