@@ -39,6 +39,7 @@ from lodgemart.sources.ledger import Ledger
 from lodgemart.sources.readers import read_csv
 from lodgemart.sources.scratch import scratch_path
 from lodgemart.sources.staging import listed_version
+from lodgemart.sources.task_sizes import listed_bytes, small_tasks
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = T.LongType()
@@ -453,9 +454,15 @@ def _whole_run(spark: SparkSession, sf_dir: str) -> Job:
     key = (spark.sparkContext.applicationId, sf_dir)
     base = _LAKES.setdefault(key, scratch_path(spark, "layers"))
     ledger = Ledger(spark, f"{base}/raw-ledger", resume=True)
-    inputs = [listed_version(spark, [f"{sf_dir}/{name}.parquet"]) for name in RAW_TABLES]
+    paths = [f"{sf_dir}/{name}.parquet" for name in RAW_TABLES]
+    inputs = [listed_version(spark, [path]) for path in paths]
     version = lambda: listed_version(spark, [f"{base}/raw"])
-    ledger.step("raw", "files", inputs, version, lambda: _raw_files(spark, sf_dir, f"{base}/raw"))
+
+    def write() -> None:
+        with small_tasks(spark, listed_bytes(spark, paths)):
+            _raw_files(spark, sf_dir, f"{base}/raw")
+
+    ledger.step("raw", "files", inputs, version, write)
     layers = [PathLayer(spark, f"{base}/{name}") for name in ("bronze", "silver", "gold", "report")]
     job = Job(f"{base}/raw", *layers, specs=STAGE_SPECS, ledger=f"{base}/ledger")
     _, skipped = run_all(spark, job, B.LEXICON, resume=True)

@@ -25,10 +25,11 @@ from lodgemart.plans.sentiment import enrich_sentiment, score_reviews
 from lodgemart.plans.top_lists import write_report
 from lodgemart.schemas import VALID_CURRENCIES, Names
 from lodgemart.sources.ingest import BOOKING_TABLES, TableSpec, ingest, write_marked
-from lodgemart.sources.layers import Layer, require_distinct
+from lodgemart.sources.layers import Layer, input_places, require_distinct
 from lodgemart.sources.ledger import Ledger, NoLedger
 from lodgemart.sources.readers import read_csv
 from lodgemart.sources.staging import listed_version
+from lodgemart.sources.task_sizes import listed_bytes, small_tasks
 from lodgemart.sources.together import side_by_side
 
 BOOKING_MARKS = (*cleaning.BAD_DATES, cleaning.BAD_TOTAL, "dq_swapped_dates", "dq_negative_total", "dq_invalid_currency")
@@ -121,6 +122,12 @@ class Job:
             return listed_version(spark, [f"{self.source.rstrip('/')}/{name}"])
         return self.source.version(name)
 
+    def raw_bytes(self, spark: SparkSession) -> int:
+        """The stored size of the raw files or tables."""
+        if isinstance(self.source, str):
+            return listed_bytes(spark, [f"{self.source.rstrip('/')}/{spec.file}" for spec in self.specs.values()])
+        return listed_bytes(spark, sorted({p for name in self.specs for p in input_places(self.source.read(name))}))
+
 
 Steps = Ledger | NoLedger
 
@@ -271,7 +278,8 @@ def run_all(
 ) -> tuple[dict[str, int], dict[str, str]]:
     """All stages in order; returns the loaded rows per table and the skipped sections.
 
-    Dates and times mean UTC while it runs; the session's own time zone is put back afterwards.
+    Dates and times mean UTC while it runs, and shuffles are read in small tasks; the session's own
+    settings are put back afterwards.
     ``resume`` goes on from what the job's ledger has as committed and unchanged.
     """
     if resume and not job.ledger:
@@ -280,17 +288,18 @@ def run_all(
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
-        counts = run_bronze(spark, job, run_ts, steps)
-        run_silver(job, steps)
-        run_gold(job, steps)
-        if job.reviews:
-            run_sentiment(spark, job, lexicon, steps)
-        around = None
-        if job.ledger:
-            def around(section: str, table: str, write: Callable[[], None]) -> None:
-                inputs = _inputs(job, steps, (job.gold, table))
-                steps.step("report", section, inputs, partial(job.report.version, section), write)
-
-        return counts, write_report(job.gold, job.report, job.names.bookings, around)
+        with small_tasks(spark, job.raw_bytes(spark)):
+            counts = run_bronze(spark, job, run_ts, steps)
+            run_silver(job, steps)
+            run_gold(job, steps)
+            if job.reviews:
+                run_sentiment(spark, job, lexicon, steps)
+            around = None
+            if job.ledger:
+                def around(section: str, table: str, write: Callable[[], None]) -> None:
+                    inputs = _inputs(job, steps, (job.gold, table))
+                    steps.step("report", section, inputs, partial(job.report.version, section), write)
+
+            return counts, write_report(job.gold, job.report, job.names.bookings, around)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
