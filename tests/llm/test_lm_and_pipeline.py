@@ -8,7 +8,7 @@ from conftest import rows
 from llm_cases import SCHEMA, empty, low, odd, odd_rows, sf, texts, words  # noqa: F401
 
 from lodgemart.llm import attention_lm as L
-from lodgemart.llm import decontaminate, jaccard_join, pfair_mix, quality_rules
+from lodgemart.llm import components, decontaminate, jaccard_join, pfair_mix, quality_rules
 from lodgemart.llm.queries import TOKENIZER, llm_queries
 
 
@@ -198,3 +198,19 @@ def test_short_texts_teach(spark):
     after = L.fit(texts, start, 9)
     assert L.gradients(after, rows)[0] < L.gradients(start, rows)[0]
     assert L.gradients(start, rows)[0] == pytest.approx(L.gradients(start, rows[:, :4])[0], rel=1e-5)
+
+
+def test_stages_between_are_written_small(spark, texts, monkeypatch):
+    """The words, their ids and the lines of classes are most of what the operator keeps on disk."""
+    own, found = components.written, {}
+
+    def kept(df, purpose, *codec):
+        out = own(df, purpose, *codec)
+        found[purpose] = out.inputFiles()
+        return out
+
+    monkeypatch.setattr(L, "written", kept)
+    L.score_texts(spark.createDataFrame([(i, t) for i, t in texts[:50]], "doc_id long, text string"), TOKENIZER).count()
+    assert {"lm-sent", "lm-words", "lm-lines"} <= found.keys()
+    files = [f for purpose in ("lm-sent", "lm-words", "lm-lines") for f in found[purpose]]
+    assert files and all(".zstd." in f for f in files)
