@@ -14,6 +14,18 @@ def settings(spark):
     return [spark.conf.get(k, None) for k in (ADVISORY, PARTS)]
 
 
+@pytest.fixture(autouse=True)
+def unset(spark):
+    """Other tests put the defaults back as settings of the session, which would be kept."""
+    before = dict(zip((ADVISORY, PARTS), settings(spark), strict=True))
+    for key in before:
+        spark.conf.unset(key)
+    yield
+    for key, value in before.items():
+        if value is not None:
+            spark.conf.set(key, value)
+
+
 def test_stages_run_with_small_tasks(spark, tmp_path, monkeypatch):
     raw = tmp_path / "raw"
     raw.mkdir()
