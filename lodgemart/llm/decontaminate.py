@@ -14,7 +14,9 @@
    deviation of 2.5, so ``RADIUS`` lies three deviations beyond the weakest leak, and every leak
    has several windows.
 
-Built-in expressions only.
+Built-in expressions only. Memory depends neither on the number of texts nor on their length: words
+are looked at in parts of ``PART``, of texts with hits only the keys may be broadcast, and their
+parts meet their windows in a shuffle.
 
 Defined cases: an item with fewer than five words is one shingle of all its words; an item
 without words matches nothing; a null text has no words; a null id is reported as null; rows
@@ -36,7 +38,9 @@ SHINGLE = 5
 SIMILAR = 0.8
 BITS = 48
 RADIUS = 15
-#: Rows of the item side, and names of texts with hits, that may be sent to all tasks.
+#: Words that a row holds at a time; the parts of a longer text overlap.
+PART = 4_096
+#: Rows of the item side, and keys of texts with hits, that may be sent to all tasks.
 BROADCAST_SHINGLES = 500_000
 BROADCAST_BLOCKS = 200_000
 BROADCAST_TEXTS = 300_000
@@ -93,7 +97,8 @@ def simhash(grams: Column, longest: int) -> Column:
         ]
         return reduce(lambda x, y: x.bitwiseOR(y), bits)
 
-    return F.aggregate(grams, zero, add, finish)
+    # Never null, and said so: else a join would have it worked out twice, to filter nulls.
+    return F.coalesce(F.aggregate(grams, zero, add, finish), F.lit(0).cast("long"))
 
 
 def block_masks(radius: int) -> list[int]:
@@ -138,15 +143,31 @@ def item_table(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, li
     return worded.select("item", "m", "k", grams.alias("grams")), sizes
 
 
+def in_parts(worded: DataFrame, more: int) -> DataFrame:
+    """The rows of ``worded`` with n, the number of their words, and instead of these a row for each ``part``.
+
+    A part has ``PART`` words and ``more`` of those that follow.
+    """
+    kept = [c for c in worded.columns if c != "words"]
+    counted = worded.select(*kept, F.size("words").alias("n"), "words")
+    begins = F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)), F.lit(PART))
+    parts = F.transform(begins, lambda at: F.slice("words", at + 1, PART + more))
+    return counted.select(*kept, "n", F.posexplode(parts).alias("part", "words"))
+
+
 def shared_places(worded: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
     """(k1, k2, n, m, k, at): places of texts with a shingle that an item of m words holds too."""
     known = items.select("m", "k", F.explode(F.array_distinct("grams")).alias("h")).distinct()
     known = size_checked(known, BROADCAST_SHINGLES)
+    # Of the columns only the list that is exploded mentions the words: another one would copy them into every row.
     found = [
-        worded.select("k1", "k2", F.size("words").alias("n"), F.posexplode(shingles(F.col("words"), k)).alias("at", "h"))
+        in_parts(worded, k - 1).select(
+            "k1", "k2", "n", "part", F.posexplode(shingles(F.col("words"), k)).alias("place", "h")
+        )
         for k in sizes
     ]
-    return reduce(DataFrame.union, found).join(known, "h").select("k1", "k2", "n", "m", "k", "at")
+    at = (F.col("part") * PART + F.col("place")).alias("at")
+    return reduce(DataFrame.union, found).join(known, "h").select("k1", "k2", "n", "m", "k", at)
 
 
 def possible_windows(places: DataFrame, similar: float) -> DataFrame:
@@ -197,21 +218,23 @@ def leaks(
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), *row_key(id_col, text))
     worded = keyed.select("k1", "k2", word_hashes(F.col("text")).alias("words"))
     places = written(shared_places(worded, item_rows, sizes), "leak-places")
+    key = ["k1", "k2", "part"]
     around = (
         possible_windows(places, similar)
-        .groupBy("k1", "k2")
+        .groupBy("k1", "k2", F.floor(F.col("start") / PART).cast("int").alias("part"))
         .agg(F.collect_list(F.struct("m", "k", "start")).alias("windows"))
     )
-    around = size_checked(written(around, "leak-windows"), BROADCAST_TEXTS)
-    texts = keyed.join(around, ["k1", "k2"]).select(
-        "k1", "k2", "id", "windows", word_hashes(F.col("text")).alias("words")
-    )
-    texts = texts.select("*", *[shingles(F.col("words"), k).alias(f"grams{k}") for k in sizes])
-    laid = texts.select(
-        "k1", "k2", "id", F.size("words").alias("n"), *[f"grams{k}" for k in sizes], F.inline("windows")
-    )
+    around = written(around, "leak-windows")
+    hit = size_checked(around.select("k1", "k2").distinct(), BROADCAST_TEXTS)
+    texts = keyed.join(hit, ["k1", "k2"], "left_semi")
+    texts = in_parts(texts.select("k1", "k2", "id", word_hashes(F.col("text")).alias("words")), longest)
+    # Rows equal in id and text are one, so that no key has many rows to join.
+    texts = texts.dropDuplicates(key).join(around.hint("merge"), key)
+    texts = texts.select(*key, "id", "n", "windows", *[shingles(F.col("words"), k).alias(f"grams{k}") for k in sizes])
+    laid = texts.select(*key, "id", "n", *[f"grams{k}" for k in sizes], F.inline("windows"))
     cut = F.least("m", "n") - F.col("k") + 1
-    grams = by_size(F.col("k"), sizes, lambda k: F.slice(f"grams{k}", F.col("start") + 1, cut))
+    place = F.col("start") - F.col("part") * PART
+    grams = by_size(F.col("k"), sizes, lambda k: F.slice(f"grams{k}", place + 1, cut))
     windows = laid.select("k1", "k2", "id", "m", "start", F.least("m", "n").alias("n_words"), grams.alias("grams"))
     windows = windows.select("*", simhash(F.col("grams"), longest).alias("fp"))
     searched = item_rows.select("item", "m", F.col("grams").alias("item_grams"), simhash(F.col("grams"), longest).alias("fp"))

@@ -178,6 +178,43 @@ def test_leaks_of_odd_rows(spark, odd, odd_rows, empty):
     assert decontaminate.without_leaks(odd, spark.createDataFrame([], ITEMS)).count() == len(odd_rows)
 
 
+@pytest.mark.parametrize("part", [1, 7, 64])
+def test_leaks_across_parts_of_long_texts(spark, monkeypatch, part):
+    monkeypatch.setattr(decontaminate, "PART", part)
+    rng = random.Random(4)
+    items = [(k, " ".join(f"w{rng.randrange(40)}" for _ in range(size))) for k, size in enumerate((2, 4, 9, 23, 60))]
+    rows = [(0, None), (1, ""), (2, "w1"), (None, items[2][1]), (None, items[2][1])]
+    for k in range(12):
+        held = [edited(rng, words(text), k % 3) for _, text in rng.sample(items, 3)]
+        gaps = [" ".join(f"w{rng.randrange(300)}" for _ in range(rng.randrange(50))) for _ in range(4)]
+        rows += [(10 + k, " ".join(x for pair in zip(gaps, [*held, ""], strict=True) for x in pair))] * (1 + k % 2)
+    expected = brute_leaks(rows, items)
+    assert len(expected) > 12
+    found = decontaminate.leaked_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, ITEMS))
+    assert as_dict(found) == expected
+
+
+def test_only_keys_of_texts_are_broadcast_and_no_words_copied(spark, monkeypatch):
+    """Windows and words of texts grow with the input: they are neither sent to all tasks nor copied into exploded rows."""
+    checked, wrote, real = [], {}, decontaminate.written
+
+    def written(df, purpose, *rest):
+        wrote[purpose] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, purpose, *rest)
+
+    monkeypatch.setattr(decontaminate, "written", written)
+    monkeypatch.setattr(decontaminate, "size_checked", lambda df, n: checked.append(df) or df)
+    docs = spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")
+    found = decontaminate.leaked_items(docs, spark.createDataFrame([(5, "b c d e f g")], ITEMS))
+    of_texts = [df.columns for df in checked if "k1" in df.columns]
+    assert of_texts == [["k1", "k2"]]
+    lines = [x for x in wrote["leak-places"].splitlines() if "Generate posexplode" in x]
+    kept = [x.rpartition(", false, [")[0].rpartition("[")[2] for x in lines]
+    assert kept and not any("words" in x for x in kept), kept
+    assert "strategy=merge" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r)[:2] for r in found.collect()] == [(1, 5)]
+
+
 def test_hamming_blocks_guarantee_the_radius():
     masks = decontaminate.block_masks(decontaminate.RADIUS)
     assert len(masks) == decontaminate.RADIUS + 1
